@@ -169,6 +169,10 @@ class CoercionReport:
             return {}
         return {k: v for k, v in self.observation.get.items() if v}
 
+    def frame(self) -> DataFrame:
+        """The counts as one lazy row, for when no other action is going to run."""
+        return self.source.agg(*[F.count_if(c).alias(name) for name, c in self.checks.items()])
+
     def examples(self, check: str) -> list:
         """At most five distinct values a check counted."""
         rows = (

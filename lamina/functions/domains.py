@@ -50,12 +50,13 @@ def mapped(c: Column, dtype: T.DataType, lookup: dict) -> Column:
 
 
 def recode_domains(
-    df: DataFrame, fields: FieldSet, *, direction: str = "from_esri"
+    df: DataFrame, fields: FieldSet, *, direction: str = "from_esri", observe: bool = True
 ) -> tuple[DataFrame, CoercionReport]:
     """Replace codes by names (``from_esri``) or names by codes (``to_esri``).
 
     Values without an entry pass through and null stays null. A recoded column is
     text, because one Spark column cannot hold both names and numeric codes.
+    ``observe=False`` leaves the counting out, so filters can move through.
     """
     direction_key = "to_name" if direction == "from_esri" else "to_code"
     dtypes = {f.name: f.dataType for f in df.schema}
@@ -73,7 +74,7 @@ def recode_domains(
         literal_columns[name] = F.coalesce(found, c.cast("string"))
         report.add(name, "mapped", found.isNotNull())
         report.add(name, "unmapped", c.isNotNull() & found.isNull())
-    out = report.observe(df)
+    out = report.observe(df) if observe else df
     if literal_columns:
         out = out.withColumns(literal_columns)
     for name, dtype, lookup in joins:

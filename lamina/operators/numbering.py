@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lamina.session import stage
 
 POSITION = "position"
-_TAG = "_row_tag"
+TAG = "_row_tag"
 # A tag is (task number << 33) + running number within the task.
 _TASK_BITS = 33
 _LOCAL_MASK = (1 << _TASK_BITS) - 1
@@ -31,16 +31,25 @@ def number_rows(df: DataFrame, order: list[Column]) -> DataFrame:
     per task, at most as many rows as there were tasks, turns them into positions.
     """
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    tagged = stage(ranged.withColumn(_TAG, F.monotonically_increasing_id()), "numbered")
-    counts = tagged.groupBy(task_of(F.col(_TAG)).alias("_task")).count().collect()
+    return place_tagged(stage(ranged.withColumn(TAG, F.monotonically_increasing_id()), "numbered"))
+
+
+def number_in_place(df: DataFrame) -> DataFrame:
+    """Add ``position`` in the order the rows already have, task by task."""
+    return place_tagged(stage(df.withColumn(TAG, F.monotonically_increasing_id()), "numbered"))
+
+
+def place_tagged(tagged: DataFrame) -> DataFrame:
+    """Positions for a written table with row tags."""
+    counts = tagged.groupBy(task_of(F.col(TAG)).alias("_task")).count().collect()
     starts, total = [], 0
     for task, count in sorted((r["_task"], r["count"]) for r in counts):
         starts.append((task, total))
         total += count
-    lookup = df.sparkSession.createDataFrame(starts, "_task bigint, _start bigint")
+    lookup = tagged.sparkSession.createDataFrame(starts, "_task bigint, _start bigint")
     return (
-        tagged.withColumn("_task", task_of(F.col(_TAG)))
+        tagged.withColumn("_task", task_of(F.col(TAG)))
         .join(F.broadcast(lookup), "_task")
-        .withColumn(POSITION, F.col("_start") + place_in_task(F.col(_TAG)))
-        .drop("_task", "_start", _TAG)
+        .withColumn(POSITION, F.col("_start") + place_in_task(F.col(TAG)))
+        .drop("_task", "_start", TAG)
     )

@@ -74,7 +74,7 @@ class QueryResult:
         if parse_dtypes or decode:
             df, _ = enforce_types(df, self.fields)
         if decode:
-            df, _ = recode_domains(df, self.fields)
+            df, _ = recode_domains(df, self.fields, observe=False)
         return df
 
 
