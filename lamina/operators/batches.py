@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,9 @@ KINDS = ("adds", "updates", "deletes")
 # this many batches, and only the seams between runs may cost an extra batch.
 BATCHES_PER_RUN = 64
 
+# The packing functions travel to the executors, which need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PACKED_SCHEMA = (
     "kind_rank int, seq bigint, oid bigint, problem string, size bigint, "
     "batch_id bigint, position bigint"
@@ -122,18 +127,19 @@ def pack_edits(edits: DataFrame, max_bytes: int) -> tuple[DataFrame, dict[str, i
     pieces = (
         edits.groupBy("kind_rank", task_of(F.col("seq")).alias("task"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
-        .collect()
+        .toPandas()
+        .sort_values(["kind_rank", "task"], ignore_index=True)
+    )
+    n = pieces["n"]
+    runs, _ = fill_batches(pieces["bytes"].to_numpy(np.int64), 0, max(budget, 1) * BATCHES_PER_RUN)
+    lookup = pieces[["kind_rank", "task"]].assign(
+        piece=np.arange(len(pieces)),
+        run=runs,
+        start=n.groupby(pieces["kind_rank"]).cumsum() - n,
     )
-    lookup, counts, total = [], dict.fromkeys(KINDS, 0), 0
-    run, run_bytes = 0, 0
-    for number, p in enumerate(sorted(pieces, key=lambda p: (p["kind_rank"], p["task"]))):
-        if run_bytes and run_bytes + p["bytes"] > max(budget, 1) * BATCHES_PER_RUN:
-            run, run_bytes = run + 1, 0
-        kind = KINDS[p["kind_rank"]]
-        lookup.append((p["kind_rank"], p["task"], number, run, counts[kind]))
-        run_bytes += p["bytes"]
-        counts[kind] += p["n"]
-        total += p["bytes"]
+    per_kind = n.groupby(pieces["kind_rank"]).sum()
+    counts = {kind: int(per_kind.get(rank, 0)) for rank, kind in enumerate(KINDS)}
+    total = int(pieces["bytes"].sum())
     table = edits.sparkSession.createDataFrame(
         lookup, "kind_rank int, task bigint, piece bigint, run bigint, start bigint"
     )

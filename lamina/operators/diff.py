@@ -97,17 +97,24 @@ def match_input(
     contract: LayerContract,
     key_fields: list[str],
     apply_coded_values: bool = False,
+    *,
+    small_input: bool = False,
 ) -> DataFrame:
     """The input with the object id its key has in the layer.
 
     A key that several layer rows share belongs to the largest object id; reducing
-    the layer to one row per key first keeps the join one-to-one and unskewed.
+    the layer to one row per key first keeps the join one-to-one and unskewed. With
+    ``small_input``, for an input whose keys were measured, the layer is first cut to
+    those keys where it is read, and never shuffled as a whole.
     """
     keyed = df.withColumns(input_keys(df, layer, contract, key_fields, apply_coded_values))
     names = [_key_name(k) for k in key_fields]
+    rows = layer_keys(layer, contract, key_fields)
+    if small_input:
+        wanted = keyed.select(*names)
+        rows = rows.join(F.broadcast(wanted), _same_keys(rows, wanted, key_fields), "left_semi")
     owners = (
-        layer_keys(layer, contract, key_fields)
-        .groupBy(*names)
+        rows.groupBy(*names)
         .agg(F.max(MATCHED_OID).alias(MATCHED_OID))
         .withColumn(IS_MATCHED, F.lit(True))
     )
@@ -138,16 +145,21 @@ def deletes_of(
     contract: LayerContract,
     key_fields: list[str],
     apply_coded_values: bool = False,
+    *,
+    small_input: bool = False,
 ) -> DataFrame:
     """Layer rows whose key the input lacks: the object id, then the key fields.
 
     Layer rows are the splittable side of this anti join, the unique input keys
     the other, so adaptive execution can divide a key that many layer rows share.
+    A ``small_input`` is broadcast to where the layer is read.
     """
     keys = df.select(
         *[c.alias(n) for n, c in input_keys(
             df, layer, contract, key_fields, apply_coded_values).items()]
     )
+    if small_input:
+        keys = F.broadcast(keys)
     rows = layer_keys(layer, contract, key_fields)
     gone = rows.join(keys, _same_keys(rows, keys, key_fields), "left_anti")
     oid = contract.objectid_field

@@ -41,7 +41,7 @@ from lamina.operators.results import (
     error_struct,
 )
 from lamina.plans.contract import GEOMETRY_COLUMN, LayerContract
-from lamina.session import stage
+from lamina.session import Staging
 
 SEQ = "_seq"
 # A side this small is broadcast instead of shuffling the layer to meet it.
@@ -64,15 +64,31 @@ class EditOutcome:
     dropped: dict[str, list[str]]
     reports: dict[str, CoercionReport]
     n_adds: int = 0
+    staging: Staging | None = None
+
+    def release(self) -> None:
+        """Delete the working tables. ``results`` and ``rows`` read them, so call this
+        once what is needed of both has been written elsewhere."""
+        if self.staging is not None:
+            self.staging.release()
 
     @property
     def items(self) -> DataFrame:
         return self.results.items
 
 
-def tag_input(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once, each row tagged in input order."""
-    return stage(df.withColumn(SEQ, F.monotonically_increasing_id()), label)
+def tag_input(df: DataFrame) -> DataFrame:
+    """``df`` with a row tag in input order; write it before using it twice."""
+    return df.withColumn(SEQ, F.monotonically_increasing_id())
+
+
+def is_small(df: DataFrame, columns: list[str]) -> bool:
+    """Whether the given columns of ``df`` can be broadcast, measured in one aggregate."""
+    width = F.lit(0).cast("bigint")
+    for c in columns:
+        width = width + F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0))
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes")).first()
+    return found["n"] <= MAX_BROADCAST_ROWS and (found["bytes"] or 0) <= MAX_BROADCAST_BYTES
 
 
 def deletes_frame(deletes: Any, layer: DataFrame, objectid_field: str) -> DataFrame | None:
@@ -104,6 +120,7 @@ class EditJob:
         self.rollback = rollback_on_failure
         self.apply_coded_values = apply_coded_values
         self.next_object_id = next_object_id
+        self.staging = Staging(layer.sparkSession)
         self.inputs: dict[str, DataFrame] = {}
         self.names: dict[str, list[str]] = {}
         self.dropped: dict[str, list[str]] = {}
@@ -120,7 +137,7 @@ class EditJob:
         }
         for kind, df in frames.items():
             if df is not None:
-                self.inputs[kind] = tag_input(df, kind)
+                self.inputs[kind] = self.staging.write(tag_input(df), kind)
         judged = {kind: self._judge(kind, self.inputs[kind]) for kind in self.inputs}
         targets = [judged[k] for k in ("updates", "deletes") if k in judged]
         if targets:
@@ -132,19 +149,20 @@ class EditJob:
         """Upsert, or sync if layer rows without an input row are to be deleted."""
         keys.check_key_names(df, key_fields)
         self.contract.check_names(key_fields)
-        source = tag_input(df, "input")
+        source = self.staging.write(tag_input(df), "input")
         keys.check_unique_keys(source, key_fields)
         args = (self.layer, self.contract, key_fields, self.apply_coded_values)
-        matched = keys.match_input(source, *args)
+        small = is_small(source, key_fields)
+        matched = keys.match_input(source, *args, small_input=small)
         self.inputs = {"adds": source, "updates": source}
         judged = [
             self._judge("adds", matched.where(~F.col(keys.IS_MATCHED))),
             self._judge("updates", matched.where(F.col(keys.IS_MATCHED)), keys.MATCHED_OID),
         ]
         if delete_missing:
-            gone = keys.deletes_of(source, *args)
+            gone = keys.deletes_of(source, *args, small_input=small)
             ordered = gone.repartitionByRange(self.oid).sortWithinPartitions(self.oid)
-            self.inputs["deletes"] = tag_input(ordered, "deletes")
+            self.inputs["deletes"] = self.staging.write(tag_input(ordered), "deletes")
             judged.append(self._judge("deletes", self.inputs["deletes"]))
         return self._finish(judged)
 
@@ -214,12 +232,23 @@ class EditJob:
         A small edit set is broadcast to the layer's id column; a large one meets it
         in a shuffle where the edits, which may repeat an id, are the splittable side.
         """
-        ids = self.layer.select(F.col(f"`{self.oid}`").cast("bigint").alias("_layer_oid"))
+        ids = self.layer.select(
+            F.col(f"`{self.oid}`").cast("bigint").alias("_layer_oid"), F.lit(0).alias("_layer_salt")
+        )
         n_rows = sum(self.inputs[k].count() for k in ("updates", "deletes") if k in self.inputs)
         if n_rows <= MAX_BROADCAST_ROWS:
             wanted = F.broadcast(targets.select(F.col("oid").alias("_wanted")).distinct())
-            ids = ids.join(wanted, F.col("_layer_oid") == F.col("_wanted"), "left_semi")
-        joined = targets.join(ids, F.col("oid") == F.col("_layer_oid"), "left")
+            # at most as many rows as the edits have
+            ids = F.broadcast(
+                ids.join(wanted, F.col("_layer_oid") == F.col("_wanted"), "left_semi")
+            )
+        # edits without an id match nothing; the salt keeps them out of one partition
+        salt = F.when(F.col("oid").isNull(), F.col("seq") % 1024 + 1).otherwise(F.lit(0))
+        joined = targets.withColumn("_salt", salt).join(
+            ids,
+            (F.col("oid") == F.col("_layer_oid")) & (F.col("_salt") == F.col("_layer_salt")),
+            "left",
+        )
         missing = F.when(
             F.col("_layer_oid").isNull(),
             F.concat(
@@ -228,22 +257,26 @@ class EditJob:
                 F.lit(" does not exist."),
             ),
         )
-        return joined.withColumn("problem", F.coalesce(missing, F.col("problem"))).drop("_layer_oid")
+        return joined.withColumn("problem", F.coalesce(missing, F.col("problem"))).drop(
+            "_layer_oid", "_layer_salt", "_salt"
+        )
 
     # ---- verdict ----------------------------------------------------------
 
     def _finish(self, judged: list[DataFrame]) -> EditOutcome:
         if not judged:
             return EditOutcome(self._no_results(), self.layer, {}, {})
-        written = stage(reduce(DataFrame.unionByName, judged), "judged")
+        written = self.staging.write(reduce(DataFrame.unionByName, judged), "judged")
         packed, counts, n_bytes = pack_edits(written, self.max_bytes)
         inputs = {k: df for k, df in self.inputs.items() if counts[k]}
         if not inputs:
             return EditOutcome(self._no_results(), self.layer, self.dropped, self.reports)
-        items = self._items(stage(packed, "packed"))
+        items = self._items(self.staging.write(packed, "packed"))
         results = EditResults(items, inputs, self.oid)
         rows = self._new_rows(items, counts, n_bytes)
-        return EditOutcome(results, rows, self.dropped, self.reports, counts["adds"])
+        return EditOutcome(
+            results, rows, self.dropped, self.reports, counts["adds"], self.staging
+        )
 
     def _no_results(self) -> EditResults:
         schema = (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,11 +42,11 @@ def number_in_place(df: DataFrame) -> DataFrame:
 
 def place_tagged(tagged: DataFrame) -> DataFrame:
     """Positions for a written table with row tags."""
-    counts = tagged.groupBy(task_of(F.col(TAG)).alias("_task")).count().collect()
-    starts, total = [], 0
-    for task, count in sorted((r["_task"], r["count"]) for r in counts):
-        starts.append((task, total))
-        total += count
+    counts = tagged.groupBy(task_of(F.col(TAG)).alias("_task")).count().toPandas()
+    counts = counts.sort_values("_task")
+    starts = pd.DataFrame(
+        {"_task": counts["_task"], "_start": counts["count"].cumsum() - counts["count"]}
+    )
     lookup = tagged.sparkSession.createDataFrame(starts, "_task bigint, _start bigint")
     return (
         tagged.withColumn("_task", task_of(F.col(TAG)))

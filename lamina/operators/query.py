@@ -218,7 +218,7 @@ class QueryPlan:
         offset, count = self._window()
         if offset or count is not None:
             return take_window(ids, [F.col(f"`{oid}`")], offset, count)
-        return ids.orderBy(F.col(f"`{oid}`"))
+        return ids
 
     def extent(self) -> DataFrame:
         """Box around all matching geometries, from the stored boxes alone."""

@@ -15,6 +15,7 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -58,17 +59,35 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` once to the shared folder and return the written table.
+class Staging:
+    """Tables one job writes to the shared folder, and their removal once it is over."""
 
-    This fixes values such as row ids before anything fans out from them, and
-    lost executors re-read files instead of recomputing their lineage. Parquet
-    keeps later reads pruned to the columns they use.
-    """
-    spark = df.sparkSession
-    path = os.path.join(shared_folder(spark), "lamina", f"{label}-{uuid.uuid4().hex}")
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def write(self, df: DataFrame, label: str) -> DataFrame:
+        """Write ``df`` once and return the written table.
+
+        This fixes values such as row ids before anything fans out from them, and
+        lost executors re-read files instead of recomputing their lineage. Parquet
+        keeps later reads pruned to the columns they use.
+        """
+        name = f"{label}-{uuid.uuid4().hex}"
+        path = os.path.join(shared_folder(self.spark), "lamina", name)
+        self.paths.append(path)
+        df.write.mode("errorifexists").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def release(self) -> None:
+        """Delete the written tables. Whatever still reads them must have run."""
+        conf = self.spark._jsc.hadoopConfiguration()
+        for path in self.paths:
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+        self.paths.clear()
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder, where it stays as long as the folder does."""
+    return Staging(df.sparkSession).write(df, label)

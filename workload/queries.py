@@ -18,6 +18,7 @@ from lamina.operators.numbering import POSITION
 from lamina.operators.payloads import serialize_features
 from lamina.operators.query import take_window
 from lamina.plans.literals import literal_is_valid
+from lamina.session import stage
 from lamina.sources import pages as page_files
 from lamina.sources import responses
 from workload import layers as on
@@ -719,7 +720,7 @@ def has_failures(spark, folder):
 )
 def batch_packing(spark, folder):
     """Deletes packed into requests of 20,000 bytes, in order."""
-    ids = tag_input(on.table(spark, folder, "orders").select("o_orderkey"), "deletes")
+    ids = stage(tag_input(on.table(spark, folder, "orders").select("o_orderkey")), "deletes")
     edits = ids.select(
         F.lit(2).alias("kind_rank"),
         F.col("_seq").alias("seq"),
