@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from dataclasses import replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -115,12 +116,13 @@ class Layer:
         if not rollback_on_failure and not self.contract.supports_rollback_parameter:
             log.warning("The layer does not support rollback_on_failure=False; batches roll back.")
             rollback_on_failure = True
-        next_id = None if self.store is None else self.store.state().get("next_object_id")
+        state = {} if self.store is None else self.store.state()
         return EditJob(
             self.rows,
             self.contract,
             rollback_on_failure=rollback_on_failure,
-            next_object_id=next_id,
+            next_object_id=state.get("next_object_id"),
+            buckets=state.get("buckets"),
             **kwargs,
         )
 
@@ -132,7 +134,7 @@ class Layer:
             outcome.rows, None if next_id is None else next_id + outcome.n_adds
         )
         self.store.write_results(outcome.results.metadata_frame(), version)
-        return outcome
+        return replace(outcome, rows=self.store.read())
 
     def apply_edits(
         self,

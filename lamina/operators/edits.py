@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -112,6 +112,7 @@ class EditJob:
         apply_coded_values: bool = False,
         max_batch_bytes: int | None = None,
         next_object_id: int | None = None,
+        buckets: int | None = None,
     ):
         self.max_bytes = DEFAULT_MAX_BATCH_BYTES if max_batch_bytes is None else max_batch_bytes
         check_batch_bytes(self.max_bytes)
@@ -120,6 +121,7 @@ class EditJob:
         self.rollback = rollback_on_failure
         self.apply_coded_values = apply_coded_values
         self.next_object_id = next_object_id
+        self.buckets = buckets
         self.staging = Staging(layer.sparkSession)
         self.inputs: dict[str, DataFrame] = {}
         self.names: dict[str, list[str]] = {}
@@ -271,7 +273,7 @@ class EditJob:
         inputs = {k: df for k, df in self.inputs.items() if counts[k]}
         if not inputs:
             return EditOutcome(self._no_results(), self.layer, self.dropped, self.reports)
-        items = self._items(self.staging.write(packed, "packed"))
+        items = self.staging.write(self._items(packed), "items")
         results = EditResults(items, inputs, self.oid)
         rows = self._new_rows(items, counts, n_bytes)
         return EditOutcome(
@@ -290,13 +292,11 @@ class EditJob:
         problem = F.col("problem")
         error = F.when(problem.isNotNull(), engine_error(problem))
         if self.rollback:
-            # one cause per failing batch, combined before the shuffle
-            causes = (
-                packed.where(problem.isNotNull())
-                .groupBy("batch_id")
-                .agg(F.min_by(problem, F.struct("kind_rank", "position")).alias("_cause"))
+            # a batch is bounded by its bytes, so one task can hold it
+            batch = Window.partitionBy("batch_id").orderBy("kind_rank", "position").rowsBetween(
+                Window.unboundedPreceding, Window.unboundedFollowing
             )
-            packed = packed.join(causes, "batch_id", "left")
+            packed = packed.withColumn("_cause", F.first(problem, ignorenulls=True).over(batch))
             cause = F.col("_cause")
             error = F.when(
                 cause.isNotNull(),
@@ -411,4 +411,6 @@ class EditJob:
             else:
                 value = F.lit(None)
             columns.append(value.cast(f.dataType).alias(f.name))
-        return joined.select(*columns)
+        new = joined.select(*columns)
+        # one task per bucket, so that each writes one file
+        return new.repartition(self.buckets, self.oid) if self.buckets else new

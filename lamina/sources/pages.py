@@ -101,12 +101,11 @@ def page_bodies(numbered: DataFrame, contract: LayerContract, names: list[str])
     grouped = numbered.groupBy("page_id").agg(
         F.array_sort(F.collect_list(F.struct("position", feature.alias("f")))).alias("rows")
     )
-    last = numbered.agg(F.max("page_id").alias("last_page"))
-    more = F.when(F.col("page_id") < F.col("last_page"), F.lit("true")).otherwise(F.lit("false"))
+    last_page = numbered.agg(F.max("page_id")).first()[0]
+    more = F.when(F.col("page_id") < F.lit(last_page), F.lit("true")).otherwise(F.lit("false"))
     body = F.concat(
         F.lit('{"features":['),
         F.array_join(F.transform("rows", lambda r: r["f"]), ","),
         F.lit('],"exceededTransferLimit":'), more, F.lit("}"),
     )
-    # the other side is the single row of an aggregate
-    return grouped.join(F.broadcast(last)).select("page_id", body.alias("body"))
+    return grouped.select("page_id", body.alias("body"))
