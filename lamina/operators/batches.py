@@ -23,9 +23,10 @@ DELETE_EXTRA_BYTES = 2
 
 KINDS = ("adds", "updates", "deletes")
 
-# Packing is a running sum and so sequential; one task packs runs of at least
-# this many batches, and only the seams between runs may cost an extra batch.
-BATCHES_PER_RUN = 64
+# Packing is a running sum and so sequential. Edits are packed in runs of up to this
+# many batches or rows; only the seams between runs may cost an extra batch.
+BATCHES_PER_RUN = 32
+ROWS_PER_RUN = 500_000
 
 # The packing functions travel to the executors, which need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -120,8 +121,8 @@ def pack_edits(edits: DataFrame, max_bytes: int) -> tuple[DataFrame, dict[str, i
 
     Counts per (kind, writing task), one small row each, place the tasks in order
     and join neighbours into runs. A run is a function of the stored tags, so
-    re-running a lost task packs the same batches; an edit set of up to
-    ``BATCHES_PER_RUN`` batches is one run and packed as one sequence.
+    re-running a lost task packs the same batches; an edit set within the limits of
+    a run is packed as one sequence.
     """
     budget = max_bytes - OVERHEAD_BYTES
     pieces = (
@@ -131,7 +132,11 @@ def pack_edits(edits: DataFrame, max_bytes: int) -> tuple[DataFrame, dict[str, i
         .sort_values(["kind_rank", "task"], ignore_index=True)
     )
     n = pieces["n"]
-    runs, _ = fill_batches(pieces["bytes"].to_numpy(np.int64), 0, max(budget, 1) * BATCHES_PER_RUN)
+    # how much of a run each piece takes, in millionths
+    share = np.maximum(
+        pieces["bytes"] / (max(budget, 1) * BATCHES_PER_RUN), n / ROWS_PER_RUN
+    )
+    runs, _ = fill_batches(np.ceil(share * 1e6).to_numpy().astype(np.int64), 0, 1_000_000)
     lookup = pieces[["kind_rank", "task"]].assign(
         piece=np.arange(len(pieces)),
         run=runs,

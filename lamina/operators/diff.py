@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lamina.errors import InvalidParameterError
 from lamina.functions.coerce import outbound, stored
 from lamina.functions.domains import mapped
+from lamina.operators.skew import join_spread
 from lamina.plans.contract import LayerContract
 
 MAX_EXAMPLES = 5
@@ -150,18 +151,20 @@ def deletes_of(
 ) -> DataFrame:
     """Layer rows whose key the input lacks: the object id, then the key fields.
 
-    Layer rows are the splittable side of this anti join, the unique input keys
-    the other, so adaptive execution can divide a key that many layer rows share.
-    A ``small_input`` is broadcast to where the layer is read.
+    A ``small_input`` is broadcast to where the layer is read. Otherwise both sides are
+    shuffled, and layer rows that crowd under one key are spread.
     """
     keys = df.select(
-        *[c.alias(n) for n, c in input_keys(
+        *[c.alias(f"_in{n}") for n, c in input_keys(
             df, layer, contract, key_fields, apply_coded_values).items()]
     )
-    if small_input:
-        keys = F.broadcast(keys)
     rows = layer_keys(layer, contract, key_fields)
-    gone = rows.join(keys, _same_keys(rows, keys, key_fields), "left_anti")
+    pairs = [(_key_name(k), f"_in{_key_name(k)}") for k in key_fields]
+    if small_input:
+        same = reduce(lambda a, b: a & b, [rows[x].eqNullSafe(keys[y]) for x, y in pairs])
+        gone = rows.join(F.broadcast(keys), same, "left_anti")
+    else:
+        gone = join_spread(rows, keys, pairs, "left_anti", F.col(MATCHED_OID))
     oid = contract.objectid_field
     return gone.select(
         F.col(MATCHED_OID).alias(oid),

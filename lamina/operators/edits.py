@@ -40,6 +40,7 @@ from lamina.operators.results import (
     engine_error,
     error_struct,
 )
+from lamina.operators.skew import join_spread
 from lamina.plans.contract import GEOMETRY_COLUMN, LayerContract
 from lamina.session import Staging
 
@@ -231,26 +232,21 @@ class EditJob:
     def _require_existing(self, targets: DataFrame) -> DataFrame:
         """Mark updates and deletes whose object id the layer does not have.
 
-        A small edit set is broadcast to the layer's id column; a large one meets it
-        in a shuffle where the edits, which may repeat an id, are the splittable side.
+        A small edit set is broadcast to the layer's id column; a large one meets it in a
+        shuffle, and edits that crowd under one id, or under none, are spread.
         """
-        ids = self.layer.select(
-            F.col(f"`{self.oid}`").cast("bigint").alias("_layer_oid"), F.lit(0).alias("_layer_salt")
-        )
+        ids = self.layer.select(F.col(f"`{self.oid}`").cast("bigint").alias("_layer_oid"))
         n_rows = sum(self.inputs[k].count() for k in ("updates", "deletes") if k in self.inputs)
         if n_rows <= MAX_BROADCAST_ROWS:
             wanted = F.broadcast(targets.select(F.col("oid").alias("_wanted")).distinct())
             # at most as many rows as the edits have
-            ids = F.broadcast(
+            found = F.broadcast(
                 ids.join(wanted, F.col("_layer_oid") == F.col("_wanted"), "left_semi")
             )
-        # edits without an id match nothing; the salt keeps them out of one partition
-        salt = F.when(F.col("oid").isNull(), F.col("seq") % 1024 + 1).otherwise(F.lit(0))
-        joined = targets.withColumn("_salt", salt).join(
-            ids,
-            (F.col("oid") == F.col("_layer_oid")) & (F.col("_salt") == F.col("_layer_salt")),
-            "left",
-        )
+            joined = targets.join(found, F.col("oid") == F.col("_layer_oid"), "left")
+        else:
+            targets = self.staging.write(targets, "targets")
+            joined = join_spread(targets, ids, [("oid", "_layer_oid")], "left", F.col("seq"))
         missing = F.when(
             F.col("_layer_oid").isNull(),
             F.concat(
@@ -259,9 +255,7 @@ class EditJob:
                 F.lit(" does not exist."),
             ),
         )
-        return joined.withColumn("problem", F.coalesce(missing, F.col("problem"))).drop(
-            "_layer_oid", "_layer_salt", "_salt"
-        )
+        return joined.withColumn("problem", F.coalesce(missing, F.col("problem"))).drop("_layer_oid")
 
     # ---- verdict ----------------------------------------------------------
 
