@@ -105,7 +105,9 @@ def make_geometry(kind: Column, coordinates: Column, crs: Column | int) -> Colum
             _bind(positions(parts), _box).alias("bbox"),
         )
 
-    return F.when(kind.isNotNull() & coordinates.isNotNull(), _bind(raw, build))
+    # a type without coordinates of its own is kept, to be refused when it is sent
+    present = kind.isNotNull() & (coordinates.isNotNull() | ~kind.isin(list(NESTING)))
+    return F.when(present, _bind(raw, build))
 
 
 def geometry_from_geojson(text: Column, crs: Column | int) -> Column:

@@ -6,12 +6,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lamina.errors import InvalidParameterError
 from lamina.functions.coerce import outbound, stored
 from lamina.functions.domains import mapped
 from lamina.operators.skew import join_spread
-from lamina.plans.contract import LayerContract
+from lamina.plans.contract import GUID_TYPES, LayerContract
 
 MAX_EXAMPLES = 5
 MATCHED_OID = "_matched_oid"
@@ -61,21 +62,27 @@ def input_keys(
     contract: LayerContract,
     key_fields: list[str],
     apply_coded_values: bool,
-) -> dict[str, Column]:
+) -> tuple[dict[str, Column], Column | None]:
     """Key expressions over the input, in the layer's own column types.
 
-    Names become codes and dates the stored type, so a decoded key finds its row.
+    Names become codes and dates the stored type, so a decoded key finds its row. The
+    second value says which rows have a key that the layer's type cannot hold, which no
+    layer row has, null or not; it is None where no conversion can fail.
     """
-    columns = {}
+    columns, failures = {}, []
     for k in key_fields:
-        c, dtype = F.col(f"`{k}`"), df.schema[k].dataType
+        c, dtype, target = F.col(f"`{k}`"), df.schema[k].dataType, layer.schema[k].dataType
         field_def = contract.fields.get(k)
         domain = contract.fields.domain_maps.get(k)
-        if apply_coded_values and domain is not None and dtype.typeName() == "string":
+        if apply_coded_values and domain is not None and isinstance(dtype, T.StringType):
             c = F.coalesce(mapped(c, dtype, domain.to_code), c)
+        if dtype == target and field_def.get("type") not in GUID_TYPES:
+            columns[_key_name(k)] = c
+            continue
         sent = outbound({**field_def, "length": None}, c, dtype)
-        columns[_key_name(k)] = stored(field_def, sent, layer.schema[k].dataType)
-    return columns
+        columns[_key_name(k)] = stored(field_def, sent, target)
+        failures.append(c.isNotNull() & columns[_key_name(k)].isNull())
+    return columns, (reduce(lambda a, b: a | b, failures) if failures else None)
 
 
 def _same_keys(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
@@ -108,7 +115,8 @@ def match_input(
     ``small_input``, for an input whose keys were measured, the layer is first cut to
     those keys where it is read, and never shuffled as a whole.
     """
-    keyed = df.withColumns(input_keys(df, layer, contract, key_fields, apply_coded_values))
+    columns, unfit = input_keys(df, layer, contract, key_fields, apply_coded_values)
+    keyed = (df if unfit is None else df.where(~unfit)).withColumns(columns)
     names = [_key_name(k) for k in key_fields]
     rows = layer_keys(layer, contract, key_fields)
     if small_input:
@@ -120,11 +128,19 @@ def match_input(
         .withColumn(IS_MATCHED, F.lit(True))
     )
     joined = keyed.join(owners, _same_keys(keyed, owners, key_fields), "left")
-    return joined.select(
+    matched = joined.select(
         *[keyed[f"`{c}`"] for c in df.columns],
         owners[MATCHED_OID],
         F.coalesce(owners[IS_MATCHED], F.lit(False)).alias(IS_MATCHED),
     )
+    if unfit is None:
+        return matched
+    oid_type = matched.schema[MATCHED_OID].dataType
+    return matched.unionByName(
+        df.where(unfit).withColumns(
+            {MATCHED_OID: F.lit(None).cast(oid_type), IS_MATCHED: F.lit(False)}
+        )
+    )
 
 
 def adds_of(matched: DataFrame) -> DataFrame:
@@ -154,10 +170,9 @@ def deletes_of(
     A ``small_input`` is broadcast to where the layer is read. Otherwise both sides are
     shuffled, and layer rows that crowd under one key are spread.
     """
-    keys = df.select(
-        *[c.alias(f"_in{n}") for n, c in input_keys(
-            df, layer, contract, key_fields, apply_coded_values).items()]
-    )
+    columns, unfit = input_keys(df, layer, contract, key_fields, apply_coded_values)
+    fit = df if unfit is None else df.where(~unfit)
+    keys = fit.select(*[c.alias(f"_in{n}") for n, c in columns.items()])
     rows = layer_keys(layer, contract, key_fields)
     pairs = [(_key_name(k), f"_in{_key_name(k)}") for k in key_fields]
     if small_input:

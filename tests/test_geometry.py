@@ -1,0 +1,85 @@
+import json
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from lamina import InvalidParameterError
+from lamina.functions import geometry as geo
+
+RING, HOLE = [[0, 0], [4, 0], [4, 4], [0, 0]], [[1, 1], [2, 1], [2, 2], [1, 1]]
+RING_Z = [[0, 0, 5], [4, 0, 5], [4, 4, 5], [0, 0, 5]]
+CASES = [
+    ("Point", [1, 2], {"x": 1, "y": 2}, [1, 2, 1, 2]),
+    ("Point", [1, 2, 3], {"x": 1, "y": 2, "z": 3}, [1, 2, 1, 2]),
+    ("MultiPoint", [[1, 2], [3, 0]], {"points": [[1, 2], [3, 0]]}, [1, 0, 3, 2]),
+    ("MultiPoint", [[1, 2, 9]], {"points": [[1, 2, 9]], "hasZ": True}, [1, 2, 1, 2]),
+    ("LineString", [[1, 2], [3, 4]], {"paths": [[[1, 2], [3, 4]]]}, [1, 2, 3, 4]),
+    ("LineString", [[1, 2, 3, 4], [3, 4, 5, 6]], {"paths": [[[1, 2], [3, 4]]]}, [1, 2, 3, 4]),
+    ("MultiLineString", [[[1, 2], [3, 4]], [[5, 6], [7, 8]]],
+     {"paths": [[[1, 2], [3, 4]], [[5, 6], [7, 8]]]}, [1, 2, 7, 8]),
+    ("Polygon", [RING, HOLE], {"rings": [RING, HOLE]}, [0, 0, 4, 4]),
+    ("Polygon", [RING_Z], {"rings": [RING_Z], "hasZ": True}, [0, 0, 4, 4]),
+    ("MultiPolygon", [[RING, HOLE], [RING, HOLE]], {"rings": [RING, HOLE, RING, HOLE]},
+     [0, 0, 4, 4]),
+]
+
+
+@pytest.fixture(scope="module")
+def shapes(spark):
+    rows = [
+        (i, json.dumps({"type": kind, "coordinates": at})) for i, (kind, at, _, _) in enumerate(CASES)
+    ]
+    rows += [(100, None), (101, "null"), (102, '{"type":"GeometryCollection","geometries":[]}'),
+             (103, '{"type":"CircularString","coordinates":[[1,2]]}')]
+    df = spark.createDataFrame(rows, "i int, text string")
+    shaped = geo.geometry_from_geojson(F.col("text"), 4326)
+    return df.select("i", shaped.alias("geometry"))
+
+
+def test_wire_and_box(shapes):
+    g = F.col("geometry")
+    found = shapes.select("i", geo.geometry_to_wire(g).alias("w"), "geometry.bbox").collect()
+    for row in found:
+        if row["i"] >= 100:
+            assert row["w"] is None
+            continue
+        _, _, wire, box = CASES[row["i"]]
+        assert json.loads(row["w"]) == wire
+        assert list(row["bbox"]) == box
+
+
+def test_unsupported_types(shapes):
+    bad = shapes.where(geo.is_unsupported(F.col("geometry"))).collect()
+    assert sorted(r["i"] for r in bad) == [102, 103]
+
+
+def test_reproject_there_and_back(shapes):
+    g = F.col("geometry")
+    there = shapes.where("i < 100").select("i", geo.reshape(g, 4326, 3857).alias("g"))
+    back = there.select("i", "g.crs", geo.reshape(F.col("g"), 3857, 4326, digits=6).alias("b"))
+    for row in back.collect():
+        kind, at, _, box = CASES[row["i"]]
+        assert row["crs"] == 3857 and row["b"]["crs"] == 4326
+        assert [round(v, 5) for v in row["b"]["bbox"]] == box
+    first = there.where("i = 0").first()["g"]["bbox"]
+    assert first[0] == pytest.approx(111319.490793)
+    assert first[1] == pytest.approx(6378137 * math.log(math.tan(math.pi / 4 + math.radians(1))))
+
+
+def test_other_crs_is_refused():
+    with pytest.raises(InvalidParameterError):
+        geo.projection(4326, 25832)
+    with pytest.raises(InvalidParameterError):
+        geo.parse_envelope("1,2,3", 4326, 4326)
+
+
+def test_drop_z_and_round(shapes):
+    changed = geo.reshape(F.col("geometry"), 4326, 4326, keep_z=False, digits=0)
+    row = shapes.where("i = 8").select(changed.alias("g")).first()["g"]
+    assert json.loads(row["coordinates"]) == [[p[:2] for p in RING_Z]]
+
+
+def test_envelope(shapes):
+    near = shapes.where(geo.intersects_envelope(F.col("geometry"), (6.5, 7.5, 9, 9)))
+    assert [r["i"] for r in near.collect()] == [6]
