@@ -101,7 +101,6 @@ def test_arguments(mixed):
     with pytest.raises(InvalidParameterError, match="cannot both"):
         mixed.to_frame(include_input=False, include_metadata=False)
     with pytest.raises(InvalidParameterError, match="already exist"):
-        mixed.to_frame(metadata_prefix="").columns
         clash = {"adds": mixed.inputs["adds"].withColumn("kind", F.lit(1))}
         EditResults(mixed.items, clash).to_frame(metadata_prefix="")
 

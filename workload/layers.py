@@ -172,6 +172,11 @@ def spots(spark: SparkSession, folder: str) -> Layer:
     return Layer(rows.select("vec_id", "label", place.alias("geometry")), SPOTS)
 
 
+def thousandths(x):
+    """Rounded by plain arithmetic, which gives the same double everywhere."""
+    return F.floor(x * 1000 + 0.5) / 1000.0
+
+
 def tracks(spark: SparkSession, folder: str) -> Layer:
     """Embeddings as lines: each pair of numbers is one position with height 1."""
     rows = table(spark, folder, "embeddings")
@@ -179,8 +184,8 @@ def tracks(spark: SparkSession, folder: str) -> Layer:
     line = F.transform(
         step,
         lambda i: F.array(
-            F.round(F.get("embedding", 2 * i).cast("double") * 100, 3),
-            F.round(F.get("embedding", 2 * i + 1).cast("double") * 50, 3),
+            thousandths(F.get("embedding", 2 * i).cast("double") * 100),
+            thousandths(F.get("embedding", 2 * i + 1).cast("double") * 50),
             F.lit(1.0),
         ),
     )

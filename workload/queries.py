@@ -262,8 +262,8 @@ def geometry_precision(spark, folder):
 
 
 TRACK_ROWS = """(SELECT vec_id, label,
-    list_transform(embedding[1:len(embedding):2], lambda v: round(v::DOUBLE * 100, 3)) AS xs,
-    list_transform(embedding[2:len(embedding):2], lambda v: round(v::DOUBLE * 50, 3)) AS ys
+    list_transform(embedding[1:len(embedding):2], lambda v: floor(v::DOUBLE * 100 * 1000 + 0.5) / 1000.0) AS xs,
+    list_transform(embedding[2:len(embedding):2], lambda v: floor(v::DOUBLE * 50 * 1000 + 0.5) / 1000.0) AS ys
     FROM embeddings)"""
 
 
