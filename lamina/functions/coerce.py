@@ -26,6 +26,7 @@ from lamina.plans.contract import (
 
 MAX_EXAMPLES = 5
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
 _INFINITY = r"(?i)^\s*[+-]?inf(inity)?\s*$"
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
@@ -42,10 +43,9 @@ def to_integer(c: Column, dtype: T.DataType, target: T.DataType) -> Column:
     if isinstance(dtype, (*_INTEGRAL, *_FRACTIONAL, T.BooleanType)):
         return c.try_cast(target)
     text = c.cast("string")
-    # direct parse first: whole numbers beyond 2^53 must not pass through double
-    return F.when(
-        text.rlike(_NUMBER),
-        F.coalesce(text.try_cast(target), text.try_cast("double").try_cast(target)),
+    # whole numbers are parsed as such: beyond 2^53 they must not pass through double
+    return F.when(text.rlike(_WHOLE_NUMBER), text.try_cast(target)).when(
+        text.rlike(_NUMBER), text.try_cast("double").try_cast(target)
     )
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lamina.errors import InvalidParameterError
+from lamina.functions.binding import bind
 
 # Supported GeoJSON types, with how deep positions are nested.
 NESTING = {
@@ -42,14 +43,6 @@ GEOMETRY_TYPE = T.StructType(
 )
 
 
-def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` evaluated once, however often ``use`` mentions it.
-
-    Catalyst copies an expression at every mention; a lambda variable is copied instead.
-    """
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _of_depth(geom: Column, depth: int) -> Column:
     return geom["type"].isin([t for t, d in NESTING.items() if d == depth])
 
@@ -102,18 +95,18 @@ def make_geometry(kind: Column, coordinates: Column, crs: Column | int) -> Colum
             parts["type"].alias("type"),
             parts["coordinates"].alias("coordinates"),
             parts["crs"].alias("crs"),
-            _bind(positions(parts), _box).alias("bbox"),
+            bind(positions(parts), _box).alias("bbox"),
         )
 
     # a type without coordinates of its own is kept, to be refused when it is sent
     present = kind.isNotNull() & (coordinates.isNotNull() | ~kind.isin(list(NESTING)))
-    return F.when(present, _bind(raw, build))
+    return F.when(present, bind(raw, build))
 
 
 def geometry_from_geojson(text: Column, crs: Column | int) -> Column:
     """Geometry struct from GeoJSON geometry text; null text or ``null`` gives null."""
     parsed = F.from_json(text, "type string, coordinates string")
-    return _bind(parsed, lambda p: make_geometry(p["type"], p["coordinates"], crs))
+    return bind(parsed, lambda p: make_geometry(p["type"], p["coordinates"], crs))
 
 
 def point(x: Column, y: Column, crs: int) -> Column:
@@ -168,7 +161,7 @@ def geometry_to_wire(geom: Column) -> Column:
 
     has_z = F.exists(positions(geom), lambda p: F.size(p) == 3)
     return F.when(
-        geom.isNotNull() & ~is_unsupported(geom), _bind(has_z, lambda z: wire(geom, z))
+        geom.isNotNull() & ~is_unsupported(geom), bind(has_z, lambda z: wire(geom, z))
     )
 
 
@@ -188,7 +181,7 @@ def map_positions(geom: Column, change: Change, crs: Column | None = None) -> Co
     )
     crs = geom["crs"] if crs is None else crs
     return F.when(
-        geom.isNotNull(), _bind(text, lambda changed: make_geometry(geom["type"], changed, crs))
+        geom.isNotNull(), bind(text, lambda changed: make_geometry(geom["type"], changed, crs))
     )
 
 
@@ -250,7 +243,7 @@ def reshape(
 
     def change(p: Column) -> Column:
         for step in changes:
-            p = _bind(p, step)
+            p = bind(p, step)
         return p
 
     return map_positions(geom, change, F.lit(target))

@@ -154,6 +154,21 @@ class Layer:
         )
         return self._commit(job, job.apply(adds, updates, deletes))
 
+    def edit_bodies(
+        self,
+        adds: DataFrame | None = None,
+        updates: DataFrame | None = None,
+        deletes: Any = None,
+        *,
+        apply_coded_values: bool = False,
+        max_batch_bytes: int | None = None,
+    ) -> DataFrame:
+        """The edits as request bodies, ``(batch_id, body)``, without applying them."""
+        job = self._job(
+            True, apply_coded_values=apply_coded_values, max_batch_bytes=max_batch_bytes
+        )
+        return job.bodies(adds, updates, deletes)
+
     def append(self, df: DataFrame, **kwargs: Any) -> EditOutcome:
         """Add every row; object ids are given out by the layer."""
         return self.apply_edits(adds=df, **kwargs)

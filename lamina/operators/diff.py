@@ -21,11 +21,11 @@ IS_MATCHED = "_is_matched"
 
 def check_key_names(df: DataFrame, key_fields: list[str]) -> None:
     if not key_fields:
-        raise InvalidParameterError("key_fields must not be empty.")
+        raise InvalidParameterError("At least one key field is needed; key_fields is empty.")
     missing = [k for k in key_fields if k not in df.columns]
     if missing:
         raise InvalidParameterError(
-            "key_fields contains columns not present in df: "
+            "Key columns not present in the input: "
             f"{', '.join(repr(m) for m in missing)}."
         )
 
@@ -47,7 +47,7 @@ def check_unique_keys(df: DataFrame, key_fields: list[str]) -> None:
     if examples:
         shown = [tuple(row[k] for k in key_fields) for row in examples]
         raise InvalidParameterError(
-            f"key_fields {key_fields!r} do not uniquely identify rows in df. "
+            f"Several input rows share a key of {key_fields!r}. "
             f"Duplicate key examples: {shown}"
         )
 

@@ -21,6 +21,7 @@ from lamina.operators import diff as keys
 from lamina.operators.batches import (
     DEFAULT_MAX_BATCH_BYTES,
     KINDS,
+    batch_bodies,
     check_batch_bytes,
     delete_size,
     pack_edits,
@@ -133,14 +134,7 @@ class EditJob:
 
     def apply(self, adds: DataFrame | None, updates: DataFrame | None, deletes: Any) -> EditOutcome:
         """Adds, updates and deletes as given; updates and deletes must exist."""
-        frames = {
-            "adds": adds,
-            "updates": updates,
-            "deletes": deletes_frame(deletes, self.layer, self.oid),
-        }
-        for kind, df in frames.items():
-            if df is not None:
-                self.inputs[kind] = self.staging.write(tag_input(df), kind)
+        self._take_in(adds, updates, deletes)
         judged = {kind: self._judge(kind, self.inputs[kind]) for kind in self.inputs}
         targets = [judged[k] for k in ("updates", "deletes") if k in judged]
         if targets:
@@ -169,6 +163,41 @@ class EditJob:
             judged.append(self._judge("deletes", self.inputs["deletes"]))
         return self._finish(judged)
 
+    def bodies(self, adds: DataFrame | None, updates: DataFrame | None, deletes: Any) -> DataFrame:
+        """Request bodies that would send the edits, one JSON text per batch, in order
+        of ``batch_id``; nothing is applied."""
+        self._take_in(adds, updates, deletes)
+        if not self.inputs:
+            return self.layer.sparkSession.createDataFrame([], "batch_id bigint, body string")
+        judged = [self._judge(kind, df) for kind, df in self.inputs.items()]
+        written = self.staging.write(reduce(DataFrame.unionByName, judged), "judged")
+        packed, _, _ = pack_edits(written, self.max_bytes)
+        packed = packed.select("kind_rank", "seq", "oid", "position", "batch_id")
+        parts = [self._features(kind, packed) for kind in self.inputs]
+        return batch_bodies(reduce(DataFrame.unionByName, parts))
+
+    def _features(self, kind: str, packed: DataFrame) -> DataFrame:
+        """One kind's packed edits with their feature JSON."""
+        edits = packed.where(F.col("kind_rank") == KINDS.index(kind))
+        feature = F.lit(None).cast("string").alias("feature")
+        if kind != "deletes":
+            names, sent = self._sent(kind, self.inputs[kind])
+            found = sent.select(
+                F.col(SEQ), feature_json(names, geometry_of(sent)).alias("feature")
+            )
+            edits, feature = edits.join(found, F.col("seq") == F.col(SEQ)), F.col("feature")
+        return edits.select("batch_id", F.lit(kind).alias("kind"), "position", feature, "oid")
+
+    def _take_in(self, adds: DataFrame | None, updates: DataFrame | None, deletes: Any) -> None:
+        frames = {
+            "adds": adds,
+            "updates": updates,
+            "deletes": deletes_frame(deletes, self.layer, self.oid),
+        }
+        for kind, df in frames.items():
+            if df is not None:
+                self.inputs[kind] = self.staging.write(tag_input(df), kind)
+
     # ---- judging ----------------------------------------------------------
 
     def _judge(self, kind: str, rows: DataFrame, oid_column: str | None = None) -> DataFrame:

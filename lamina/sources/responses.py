@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lamina.functions.binding import bind
 from lamina.operators.batches import KINDS
 from lamina.operators.results import ERROR_TYPE, NO_OBJECT_ID
 
@@ -40,17 +41,20 @@ MAY_HAVE_ARRIVED = (
 
 def parse_error(text: Column) -> Column:
     """Error value from its JSON text; keys without a column go to ``extra``."""
-    known = F.from_json(text, _KNOWN_ERROR)
-    every = F.from_json(text, "map<string,string>")
     names = [f.name for f in ERROR_TYPE if f.name != "extra"]
-    extra = F.map_filter(every, lambda k, _: ~k.isin(names))
-    return F.when(
-        text.isNotNull(),
-        F.struct(
-            *[known[n].alias(n) for n in names],
+
+    def build(parsed: Column) -> Column:
+        extra = F.map_filter(parsed["every"], lambda k, _: ~k.isin(names))
+        return F.struct(
+            *[parsed["known"][n].alias(n) for n in names],
             F.when(F.size(extra) > 0, extra).alias("extra"),
-        ).cast(ERROR_TYPE),
+        )
+
+    parsed = F.struct(
+        F.from_json(text, _KNOWN_ERROR).alias("known"),
+        F.from_json(text, "map<string,string>").alias("every"),
     )
+    return F.when(text.isNotNull(), bind(parsed, build)).cast(ERROR_TYPE)
 
 
 def parse_edit_responses(responses: DataFrame, keep: list[str]) -> DataFrame:
@@ -60,10 +64,10 @@ def parse_edit_responses(responses: DataFrame, keep: list[str]) -> DataFrame:
     in its list.
     """
     schema = ", ".join(f"{name} array<{_ITEM}>" for name in _RESULT_LISTS.values())
-    body = F.from_json(F.col("body"), schema)
+    parsed = responses.select(*keep, F.from_json(F.col("body"), schema).alias("_body"))
 
     def tagged(kind: str) -> Column:
-        listed = F.coalesce(body[_RESULT_LISTS[kind]], F.lit([]).cast(f"array<{_ITEM}>"))
+        listed = F.coalesce(F.col("_body")[_RESULT_LISTS[kind]], F.lit([]).cast(f"array<{_ITEM}>"))
         return F.transform(
             listed,
             lambda r, i: F.struct(
@@ -71,7 +75,7 @@ def parse_edit_responses(responses: DataFrame, keep: list[str]) -> DataFrame:
             ),
         )
 
-    rows = responses.select(*keep, F.explode(F.concat(*[tagged(k) for k in KINDS])).alias("_e"))
+    rows = parsed.select(*keep, F.explode(F.concat(*[tagged(k) for k in KINDS])).alias("_e"))
     r = F.col("_e.r")
     return rows.select(
         *keep,

@@ -282,3 +282,24 @@ def test_coded_layer_round_trip(spark):
     decoded = Layer(rows, contract).query(out_fields="OBJECTID,Name,Status", apply_coded_values=True)
     outcome = Layer(rows, contract).upsert(decoded.to_frame(), ["Name"], apply_coded_values=True)
     assert values(outcome.rows) == values(rows)
+
+
+def test_bodies(spark, layer):
+    args = dict(
+        adds=spark.createDataFrame([("n1", "Active"), ("n2", None)], "Name string, Status string"),
+        updates=names(spark, [(2, "Rob")]),
+        deletes=[1, 3],
+    )
+    whole = layer.edit_bodies(**args, apply_coded_values=True).collect()
+    assert [json.loads(r["body"]) for r in whole] == [
+        {
+            "adds": [{"attributes": {"Name": "n1", "Status": 1}},
+                     {"attributes": {"Name": "n2", "Status": None}}],
+            "updates": [{"attributes": {"OBJECTID": 2, "Name": "Rob"}}],
+            "deletes": "1,3",
+        }
+    ]
+    single = layer.edit_bodies(**args, max_batch_bytes=1).orderBy("batch_id").collect()
+    assert [list(json.loads(r["body"])) for r in single] == [
+        ["adds"], ["adds"], ["updates"], ["deletes"], ["deletes"]]
+    assert layer.edit_bodies().count() == 0

@@ -682,6 +682,19 @@ def edits_rollback(spark, folder):
     )
 
 
+@query(
+    f"""SELECT batch AS batch_id,
+               '{{"deletes":"' || string_agg(object_id::VARCHAR, ',' ORDER BY object_id) || '"}}' AS body
+        FROM (SELECT o_orderkey + {_SHIFT} AS object_id,
+                     (row_number() OVER (ORDER BY o_orderkey) - 1) // 5 AS batch FROM orders)
+        GROUP BY batch"""
+)
+def edit_bodies(spark, folder):
+    """Deletes as request bodies of at most 45 bytes."""
+    ids = on.table(spark, folder, "orders").select((F.col("o_orderkey") + _SHIFT).alias("objectid"))
+    return on.orders(spark, folder).edit_bodies(deletes=ids, max_batch_bytes=_FIVE_DELETES)
+
+
 @query(
     f"""SELECT objectid, o_totalprice * 2 AS o_totalprice FROM {ORDER_ROWS}
         WHERE o_orderdate >= TIMESTAMP '2000-01-01'"""
