@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -112,12 +113,22 @@ def _stretches(values: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[:-1], edges[1:]))
 
 
-def pack_edits(edits: DataFrame, max_bytes: int) -> tuple[DataFrame, dict[str, int], int]:
+@dataclass(frozen=True)
+class Pack:
+    """Packed edits, their number per kind, all their bytes, and the first position of
+    each (kind, task)."""
+
+    edits: DataFrame
+    counts: dict[str, int]
+    n_bytes: int
+    starts: DataFrame
+
+
+def pack_edits(edits: DataFrame, max_bytes: int) -> Pack:
     """Give every edit its batch and its position among the edits of its kind.
 
     ``edits`` is a written table ``(kind_rank, seq, oid, problem, size)`` whose
-    ``seq`` is a task tag (see :mod:`lamina.operators.numbering`). Also returns the
-    number of edits per kind and all their bytes.
+    ``seq`` is a task tag (see :mod:`lamina.operators.numbering`).
 
     Counts per (kind, writing task), one small row each, place the tasks in order
     and join neighbours into runs. A run is a function of the stored tags, so
@@ -153,7 +164,7 @@ def pack_edits(edits: DataFrame, max_bytes: int) -> tuple[DataFrame, dict[str, i
     )
     ordered = placed.repartition("run").sortWithinPartitions("run", "kind_rank", "seq")
     packed = ordered.mapInArrow(_packer(budget), PACKED_SCHEMA)
-    return packed, counts, total
+    return Pack(packed, counts, total, table)
 
 
 def batch_bodies(features: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from lamina.errors import InvalidParameterError
 from lamina.functions.coerce import outbound, stored
 from lamina.functions.domains import mapped
+from lamina.operators.sizes import is_small
 from lamina.operators.skew import join_spread
 from lamina.plans.contract import GUID_TYPES, LayerContract
 
@@ -197,9 +198,11 @@ def diff(
     """Adds, updates and deletes that turn the layer's keys into the input's."""
     check_unique_keys(df, key_fields)
     contract.check_names(key_fields)
-    matched = match_input(df, layer, contract, key_fields, apply_coded_values)
+    args = (layer, contract, key_fields, apply_coded_values)
+    small = is_small(df, key_fields)
+    matched = match_input(df, *args, small_input=small)
     return (
         adds_of(matched),
         updates_of(matched, contract.objectid_field),
-        deletes_of(df, layer, contract, key_fields, apply_coded_values),
+        deletes_of(df, *args, small_input=small),
     )

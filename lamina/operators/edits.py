@@ -18,14 +18,17 @@ from pyspark.sql import types as T
 from lamina.functions import geometry as geo
 from lamina.functions.coerce import CoercionReport
 from lamina.operators import diff as keys
+from lamina.operators import sizes
 from lamina.operators.batches import (
     DEFAULT_MAX_BATCH_BYTES,
     KINDS,
+    Pack,
     batch_bodies,
     check_batch_bytes,
     delete_size,
     pack_edits,
 )
+from lamina.operators.numbering import place_in_task, task_of
 from lamina.operators.payloads import (
     feature_json,
     geometry_of,
@@ -46,10 +49,6 @@ from lamina.plans.contract import GEOMETRY_COLUMN, LayerContract
 from lamina.session import Staging
 
 SEQ = "_seq"
-# A side this small is broadcast instead of shuffling the layer to meet it.
-MAX_BROADCAST_ROWS = 1_000_000
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-
 # Error of every edit in a batch that was rolled back.
 ROLLBACK_CODE = 400
 ROLLBACK_EXTENDED_CODE = "-2146"
@@ -84,15 +83,6 @@ def tag_input(df: DataFrame) -> DataFrame:
     return df.withColumn(SEQ, F.monotonically_increasing_id())
 
 
-def is_small(df: DataFrame, columns: list[str]) -> bool:
-    """Whether the given columns of ``df`` can be broadcast, measured in one aggregate."""
-    width = F.lit(0).cast("bigint")
-    for c in columns:
-        width = width + F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0))
-    found = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes")).first()
-    return found["n"] <= MAX_BROADCAST_ROWS and (found["bytes"] or 0) <= MAX_BROADCAST_BYTES
-
-
 def deletes_frame(deletes: Any, layer: DataFrame, objectid_field: str) -> DataFrame | None:
     """Deletes as a DataFrame with the object id column: a DataFrame is kept as it
     is, a list of ids becomes one column, None stays None."""
@@ -149,7 +139,7 @@ class EditJob:
         source = self.staging.write(tag_input(df), "input")
         keys.check_unique_keys(source, key_fields)
         args = (self.layer, self.contract, key_fields, self.apply_coded_values)
-        small = is_small(source, key_fields)
+        small = sizes.is_small(source, key_fields)
         matched = keys.match_input(source, *args, small_input=small)
         self.inputs = {"adds": source, "updates": source}
         judged = [
@@ -171,8 +161,7 @@ class EditJob:
             return self.layer.sparkSession.createDataFrame([], "batch_id bigint, body string")
         judged = [self._judge(kind, df) for kind, df in self.inputs.items()]
         written = self.staging.write(reduce(DataFrame.unionByName, judged), "judged")
-        packed, _, _ = pack_edits(written, self.max_bytes)
-        packed = packed.select("kind_rank", "seq", "oid", "position", "batch_id")
+        packed = pack_edits(written, self.max_bytes).edits.select("kind_rank", "seq", "oid", "position", "batch_id")
         parts = [self._features(kind, packed) for kind in self.inputs]
         return batch_bodies(reduce(DataFrame.unionByName, parts))
 
@@ -266,7 +255,7 @@ class EditJob:
         """
         ids = self.layer.select(F.col(f"`{self.oid}`").cast("bigint").alias("_layer_oid"))
         n_rows = sum(self.inputs[k].count() for k in ("updates", "deletes") if k in self.inputs)
-        if n_rows <= MAX_BROADCAST_ROWS:
+        if n_rows <= sizes.MAX_BROADCAST_ROWS:
             wanted = F.broadcast(targets.select(F.col("oid").alias("_wanted")).distinct())
             # at most as many rows as the edits have
             found = F.broadcast(
@@ -292,13 +281,14 @@ class EditJob:
         if not judged:
             return EditOutcome(self._no_results(), self.layer, {}, {})
         written = self.staging.write(reduce(DataFrame.unionByName, judged), "judged")
-        packed, counts, n_bytes = pack_edits(written, self.max_bytes)
+        pack = pack_edits(written, self.max_bytes)
+        counts = pack.counts
         inputs = {k: df for k, df in self.inputs.items() if counts[k]}
         if not inputs:
             return EditOutcome(self._no_results(), self.layer, self.dropped, self.reports)
-        items = self.staging.write(self._items(packed), "items")
+        items = self.staging.write(self._items(pack.edits), "items")
         results = EditResults(items, inputs, self.oid)
-        rows = self._new_rows(items, counts, n_bytes)
+        rows = self._new_rows(items, pack)
         return EditOutcome(
             results, rows, self.dropped, self.reports, counts["adds"], self.staging
         )
@@ -343,7 +333,7 @@ class EditJob:
             "oid",
             "batch_id",
             object_id.cast("bigint").alias("object_id"),
-            self._new_global_id(success, new_id).alias("global_id"),
+            F.when((F.col("kind_rank") == 0) & success, self._global_id(new_id)).alias("global_id"),
             success.alias("success"),
             error.alias("error"),
         )
@@ -354,32 +344,37 @@ class EditJob:
             self.next_object_id = 1 if top is None else int(top) + 1
         return self.next_object_id
 
-    def _new_global_id(self, success: Column, new_id: Column) -> Column:
-        """An id for successful adds to layers that have global ids, always the same
-        for the same new object id."""
+    def _global_id(self, new_id: Column) -> Column:
+        """A global id for a new row, always the same for the same object id; null for
+        layers without global ids."""
         if self.contract.globalid_field is None:
             return F.lit(None).cast("string")
-        digest = F.upper(F.md5(F.concat(F.lit(f"{self.contract.description}/"), new_id.cast("string"))))
+        digest = F.upper(
+            F.md5(F.concat(F.lit(f"{self.contract.description}/"), new_id.cast("string")))
+        )
         parts = [F.substring(digest, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
-        guid = F.concat(F.lit("{"), F.concat_ws("-", *parts), F.lit("}"))
-        return F.when((F.col("kind_rank") == 0) & success, guid)
+        return F.concat(F.lit("{"), F.concat_ws("-", *parts), F.lit("}"))
 
     # ---- new rows ---------------------------------------------------------
 
-    def _new_rows(self, items: DataFrame, counts: dict[str, int], n_bytes: int) -> DataFrame:
+    def _new_rows(self, items: DataFrame, pack: Pack) -> DataFrame:
         """The layer's rows after the successful edits: deletes win over updates, and
         of several updates to one object id the last wins."""
-        small = n_bytes <= MAX_BROADCAST_BYTES and sum(counts.values()) <= MAX_BROADCAST_ROWS
+        small = sizes.fits(sum(pack.counts.values()), pack.n_bytes)
         hint = F.broadcast if small else (lambda df: df)
         done = items.where(F.col("success"))
         rows, oid = self.layer, F.col(f"`{self.oid}`")
-        if counts["deletes"]:
+        if pack.counts["deletes"]:
             gone = done.where("kind = 'deletes'").select(F.col("oid").alias("_gone")).distinct()
             rows = rows.join(hint(gone), oid == F.col("_gone"), "left_anti")
-        if counts["updates"]:
+        if pack.counts["updates"]:
             rows = self._updated(rows, done.where("kind = 'updates'"), hint)
-        if counts["adds"]:
-            rows = rows.unionByName(self._added(done.where("kind = 'adds'")))
+        if pack.counts["adds"]:
+            if small or self.inputs["adds"] is self.inputs.get("updates"):
+                new = self._added(done.where("kind = 'adds'"))
+            else:
+                new = self._appended(items, pack)
+            rows = rows.unionByName(new)
         return rows
 
     def _typed(self, kind: str) -> tuple[list[str], DataFrame]:
@@ -420,20 +415,42 @@ class EditJob:
         return joined.select(*columns)
 
     def _added(self, done: DataFrame) -> DataFrame:
+        """New rows of the successful adds, which may be some of many input rows."""
         names, typed = self._typed("adds")
         ids = done.select(F.col("seq").alias("_new_seq"), "object_id", "global_id")
         joined = typed.join(ids, F.col(SEQ) == F.col("_new_seq"))
+        return self._layer_rows(joined, names, F.col("object_id"), F.col("global_id"))
+
+    def _appended(self, items: DataFrame, pack: Pack) -> DataFrame:
+        """New rows of a large input that is all adds. An add's position follows from its
+        tag, so the input is not shuffled to meet its ids, only cleared of failures."""
+        names, typed = self._typed("adds")
+        failed = items.where((F.col("kind") == "adds") & ~F.col("success"))
+        failed = failed.select(F.col("seq").alias("_failed"))
+        n_failed = failed.count()
+        if n_failed:
+            if n_failed <= sizes.MAX_BROADCAST_ROWS:
+                failed = F.broadcast(failed)
+            typed = typed.join(failed, F.col(SEQ) == F.col("_failed"), "left_anti")
+        starts = pack.starts.where(F.col("kind_rank") == 0).select("task", "start")
+        placed = typed.withColumn("task", task_of(F.col(SEQ))).join(F.broadcast(starts), "task")
+        new_id = F.lit(self._first_new_id()) + F.col("start") + place_in_task(F.col(SEQ))
+        return self._layer_rows(placed, names, new_id, self._global_id(new_id))
+
+    def _layer_rows(
+        self, rows: DataFrame, names: list[str], object_id: Column, global_id: Column
+    ) -> DataFrame:
         columns = []
         for f in self.layer.schema:
             if f.name == self.oid:
-                value = F.col("object_id")
+                value = object_id
             elif f.name == self.contract.globalid_field:
-                value = F.col("global_id")
+                value = global_id
             elif f.name in names:
                 value = F.col(f"`{f.name}`")
             else:
                 value = F.lit(None)
             columns.append(value.cast(f.dataType).alias(f.name))
-        new = joined.select(*columns)
+        new = rows.select(*columns)
         # one task per bucket, so that each writes one file
         return new.repartition(self.buckets, self.oid) if self.buckets else new

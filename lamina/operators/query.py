@@ -349,7 +349,7 @@ def keep_ids(df: DataFrame, column: str, ids: Any) -> DataFrame:
         table = F.broadcast(table) if len(values) <= MAX_BROADCAST_IDS else table
     else:
         source = column if column in ids.columns else ids.columns[0]
-        table = ids.select(F.col(f"`{source}`").alias("_wanted"))
+        table = ids.select(F.col(f"`{source}`").alias("_wanted")).distinct()
     return df.join(table, c == F.col("_wanted"), "left_semi")
 
 

@@ -49,10 +49,9 @@ def edits(spark, rows, partitions):
 
 
 def packed(spark, rows, partitions, budget):
-    df, counts, total = batches.pack_edits(
-        edits(spark, rows, partitions), budget + batches.OVERHEAD_BYTES
-    )
-    found = sorted(df.collect(), key=lambda r: (r["kind_rank"], r["seq"]))
+    pack = batches.pack_edits(edits(spark, rows, partitions), budget + batches.OVERHEAD_BYTES)
+    counts, total = pack.counts, pack.n_bytes
+    found = sorted(pack.edits.collect(), key=lambda r: (r["kind_rank"], r["seq"]))
     assert sum(counts.values()) == len(rows) and total == sum(r[2] for r in rows)
     return found
 

@@ -2,7 +2,7 @@ import pytest
 from conftest import STATUS, metadata, values
 
 from lamina import FieldSet, InvalidParameterError, Layer, LayerContract
-from lamina.operators import skew
+from lamina.operators import sizes, skew
 
 CONTRACT = LayerContract.from_metadata(metadata())
 CONTRACT = CONTRACT.with_(
@@ -41,6 +41,7 @@ def test_diff(spark, monkeypatch, sampled, rows, schema, layer, keys, adds, upda
     if sampled:  # every key counts as hot, so every row goes through the spreading
         monkeypatch.setattr(skew, "SAMPLE", 1.0)
         monkeypatch.setattr(skew, "HOT_SAMPLES", 1)
+        monkeypatch.setattr(sizes, "MAX_BROADCAST_ROWS", -1)
     target = Layer(spark.createDataFrame(layer, SCHEMA), CONTRACT)
     found = target.diff(spark.createDataFrame(rows, schema), keys)
     assert values(found[0], "Name") == sorted(((n,) for n in adds), key=repr)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lamina import InvalidParameterError, Layer, LayerCapabilityError, LayerContract, LayerStore
 from lamina.functions import geometry as geo
-from lamina.operators import batches, edits, skew
+from lamina.operators import batches, sizes, skew
 from lamina.operators.payloads import serialize_features, writable_columns
 
 ALL = ["OBJECTID", "Name", "Status", "Score"]
@@ -47,7 +47,7 @@ def test_all_kinds(spark, layer):
 @pytest.mark.parametrize("large", [False, True])
 def test_missing_id_without_rollback(spark, layer, monkeypatch, large):
     if large:
-        monkeypatch.setattr(edits, "MAX_BROADCAST_ROWS", 0)
+        monkeypatch.setattr(sizes, "MAX_BROADCAST_ROWS", 0)
         monkeypatch.setattr(skew, "SAMPLE", 1.0)
         monkeypatch.setattr(skew, "HOT_SAMPLES", 1)
     outcome = layer.apply_edits(
@@ -140,7 +140,7 @@ def test_upsert_and_sync(spark, layer):
 
 @pytest.mark.parametrize("small", [0, 1_000_000])
 def test_sync_leaves_exactly_the_keys_of_the_input(spark, layer, monkeypatch, small):
-    monkeypatch.setattr(edits, "MAX_BROADCAST_ROWS", small)
+    monkeypatch.setattr(sizes, "MAX_BROADCAST_ROWS", small)
     df = spark.range(40).select(F.concat(F.lit("n"), "id").alias("Name"))
     first = layer.sync(df.unionByName(names(spark, [("Bob",)], "Name string")), ["Name"])
     wanted = sorted([("Bob",)] + [(f"n{i}",) for i in range(40)])
@@ -265,6 +265,27 @@ def test_store(spark, people, coded, tmp_path, buckets):
         assert text.count("Exchange") == 1 and "Bucketed: true" in text
 
 
+@pytest.mark.parametrize("limit", [1_000_000, 1, -1])
+def test_large_append(spark, monkeypatch, limit):
+    """Ids from tags equal ids from a join, with and without failures."""
+    meta = metadata(globalIdField="GlobalID")
+    meta["fields"].append({"name": "GlobalID", "type": "esriFieldTypeGlobalID"})
+    meta["fields"][1]["nullable"] = False
+    layer = Layer(
+        spark.createDataFrame([(1, "a", "{G}")], "OBJECTID bigint, Name string, GlobalID string"),
+        LayerContract.from_metadata(meta),
+    )
+    monkeypatch.setattr(sizes, "MAX_BROADCAST_ROWS", limit)
+    good = spark.range(0, 500, numPartitions=5).select(F.concat(F.lit("n"), "id").alias("Name"))
+    bad = good.select(F.when(F.col("Name").endswith("7"), None).otherwise(F.col("Name")).alias("Name"))
+    for df, kept in ((good, range(500)), (bad, [i for i in range(500) if i % 10 != 7])):
+        outcome = layer.append(df, rollback_on_failure=False)
+        new = outcome.rows.where("OBJECTID > 1").collect()
+        assert sorted((r["OBJECTID"], r["Name"]) for r in new) == [(i + 2, f"n{i}") for i in kept]
+        told = {r["object_id"]: r["global_id"] for r in outcome.items.where("success").collect()}
+        assert {r["OBJECTID"]: r["GlobalID"] for r in new} == told
+
+
 def test_input_order_gives_positions(spark, layer):
     df = spark.range(0, 3000, numPartitions=6).select(
         F.when(F.col("id") % 500 == 0, F.lit("Bob")).otherwise(F.lit("x")).alias("Score"),

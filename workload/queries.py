@@ -741,8 +741,8 @@ def batch_packing(spark, folder):
         F.lit(None).cast("string").alias("problem"),
         batches.delete_size(F.col("o_orderkey")).cast("bigint").alias("size"),
     )
-    packed, _, _ = batches.pack_edits(edits, 20_000 + batches.OVERHEAD_BYTES)
-    return packed.select("oid", "position", "batch_id")
+    pack = batches.pack_edits(edits, 20_000 + batches.OVERHEAD_BYTES)
+    return pack.edits.select("oid", "position", "batch_id")
 
 
 @query(
