@@ -116,6 +116,7 @@ class EditJob:
         self.buckets = buckets
         self.staging = Staging(layer.sparkSession)
         self.inputs: dict[str, DataFrame] = {}
+        self._is_merge = False
         self.names: dict[str, list[str]] = {}
         self.dropped: dict[str, list[str]] = {}
         self.reports: dict[str, CoercionReport] = {}
@@ -142,6 +143,7 @@ class EditJob:
         small = sizes.is_small(source, key_fields)
         matched = keys.match_input(source, *args, small_input=small)
         self.inputs = {"adds": source, "updates": source}
+        self._is_merge = True
         judged = [
             self._judge("adds", matched.where(~F.col(keys.IS_MATCHED))),
             self._judge("updates", matched.where(F.col(keys.IS_MATCHED)), keys.MATCHED_OID),
@@ -191,11 +193,7 @@ class EditJob:
 
     def _judge(self, kind: str, rows: DataFrame, oid_column: str | None = None) -> DataFrame:
         """Narrow view of one kind's edits: sequence, object id, size, first problem."""
-        named = oid_column or self.oid
-        if kind != "adds" and named in rows.columns:
-            oid = F.col(f"`{named}`").try_cast("bigint")
-        else:
-            oid = F.lit(None).cast("bigint")
+        oid = self._given_oid(kind, rows, oid_column)
         if kind == "deletes":
             return rows.select(
                 F.lit(KINDS.index(kind)).alias("kind_rank"),
@@ -368,9 +366,9 @@ class EditJob:
             gone = done.where("kind = 'deletes'").select(F.col("oid").alias("_gone")).distinct()
             rows = rows.join(hint(gone), oid == F.col("_gone"), "left_anti")
         if pack.counts["updates"]:
-            rows = self._updated(rows, done.where("kind = 'updates'"), hint)
+            rows = self._updated(rows, hint(self._last_updates(items, pack, small)))
         if pack.counts["adds"]:
-            if small or self.inputs["adds"] is self.inputs.get("updates"):
+            if small or self._is_merge:
                 new = self._added(done.where("kind = 'adds'"))
             else:
                 new = self._appended(items, pack)
@@ -391,19 +389,49 @@ class EditJob:
         if GEOMETRY_COLUMN in sent.columns and GEOMETRY_COLUMN in self.layer.columns:
             here = F.col(GEOMETRY_COLUMN).withField("crs", F.lit(self.contract.crs))
             geometry = [here.cast(self.layer.schema[GEOMETRY_COLUMN].dataType).alias(GEOMETRY_COLUMN)]
-        out = sent.select(F.col(SEQ), *[c.alias(n) for n, c in columns.items()], *geometry)
-        return [c for c in out.columns if c != SEQ], out
+        out = sent.select(
+            F.col(SEQ),
+            self._given_oid(kind, sent).alias("_sent_oid"),
+            *[c.alias(n) for n, c in columns.items()],
+            *geometry,
+        )
+        return [c for c in out.columns if c not in (SEQ, "_sent_oid")], out
+
+    def _given_oid(self, kind: str, rows: DataFrame, column: str | None = None) -> Column:
+        """The object id an update or delete names; null if it names none, or for an add."""
+        named = column or self.oid
+        if kind == "adds" or named not in rows.columns:
+            return F.lit(None).cast("bigint")
+        return F.col(f"`{named}`").try_cast("bigint")
+
+    def _last_updates(self, items: DataFrame, pack: Pack, small: bool) -> DataFrame:
+        """The last successful update of each object id, in the layer's column types.
 
-    def _updated(self, rows: DataFrame, done: DataFrame, hint: Any) -> DataFrame:
-        # the last update per object id, chosen on two numbers before any wide row moves
-        last = done.groupBy(F.col("oid").alias("_oid")).agg(
+        It is chosen on narrow columns. Where nearly every input row is one, as in most
+        large inputs, the wide rows are only cleared of the others, not shuffled for it.
+        """
+        updates = items.where("kind = 'updates'")
+        last = updates.where("success").groupBy(F.col("oid").alias("_oid")).agg(
             F.max_by("seq", "position").alias("_last_seq")
         )
         names, typed = self._typed("updates")
-        new = typed.join(last, F.col(SEQ) == F.col("_last_seq")).select(
+        same = F.col(SEQ) == F.col("_last_seq")
+        n_others = None if small or self._is_merge else pack.counts["updates"] - last.count()
+        if n_others is None or n_others > sizes.MAX_BROADCAST_ROWS:
+            found = typed.join(last, same)
+        else:
+            found = typed.withColumn("_oid", F.col("_sent_oid"))
+            if n_others:
+                tags = updates.select(F.col("seq").alias("_other"))
+                others = tags.join(last, F.col("_other") == F.col("_last_seq"), "left_anti")
+                found = found.join(F.broadcast(others), F.col(SEQ) == F.col("_other"), "left_anti")
+        return found.select(
             "_oid", F.lit(True).alias("_hit"), *[F.col(f"`{n}`").alias(f"_new_{n}") for n in names]
         )
-        joined = rows.join(hint(new), F.col(f"`{self.oid}`") == F.col("_oid"), "left")
+
+    def _updated(self, rows: DataFrame, new: DataFrame) -> DataFrame:
+        names = [c.removeprefix("_new_") for c in new.columns if c.startswith("_new_")]
+        joined = rows.join(new, F.col(f"`{self.oid}`") == F.col("_oid"), "left")
         columns = []
         for name in rows.columns:
             old, sent = F.col(f"`{name}`"), F.col(f"`_new_{name}`")

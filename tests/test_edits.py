@@ -286,6 +286,28 @@ def test_large_append(spark, monkeypatch, limit):
         assert {r["OBJECTID"]: r["GlobalID"] for r in new} == told
 
 
+@pytest.mark.parametrize("limit", [1_000_000, 300, 1])
+def test_large_updates(spark, coded, monkeypatch, limit):
+    """A third of the updates name one id, some name none or a missing one."""
+    rows = spark.range(1, 400).select(F.col("id").alias("OBJECTID"), F.lit(0.0).alias("Score"))
+    if limit < 1000:
+        monkeypatch.setattr(sizes, "MAX_BROADCAST_BYTES", 0)
+    monkeypatch.setattr(sizes, "MAX_BROADCAST_ROWS", limit)
+    updates = spark.range(0, 600, numPartitions=4).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") > 580, F.lit(None))
+        .otherwise(F.col("id")).cast("bigint").alias("OBJECTID"),
+        F.col("id").cast("double").alias("Score"),
+    )
+    outcome = Layer(rows, coded).apply_edits(updates=updates, rollback_on_failure=False)
+    wanted = {i: float(i) if i % 3 else 0.0 for i in range(1, 400)}
+    wanted[7] = 597.0
+    assert dict(values(outcome.rows, "OBJECTID", "Score")) == wanted
+    plain = updates.where("OBJECTID < 400 and OBJECTID <> 7")  # nothing to clear away
+    outcome = Layer(rows, coded).apply_edits(updates=plain, rollback_on_failure=False)
+    wanted[7] = 0.0
+    assert dict(values(outcome.rows, "OBJECTID", "Score")) == wanted
+
+
 def test_input_order_gives_positions(spark, layer):
     df = spark.range(0, 3000, numPartitions=6).select(
         F.when(F.col("id") % 500 == 0, F.lit("Bob")).otherwise(F.lit("x")).alias("Score"),

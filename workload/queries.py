@@ -1014,21 +1014,22 @@ def attach_groups(spark, folder):
 
 
 def _page_requests(spark, folder):
-    """Web pages as files for the document of the same number, some without one."""
+    """Web pages as files of documents, some of which do not exist. Pages whose address has
+    a query get a name of their own, the others the last part of the address."""
     return on.table(spark, folder, "pages").select(
         (F.col("page_id") * 8).alias("parentObjectId"),
         F.lit(None).cast("bigint").alias("id"),
         F.split("url", r"\?")[0].alias("path"),
         F.encode("html", "UTF-8").alias("content"),
-        F.when(F.col("page_id") < 100, F.concat(F.lit("page-"), "page_id", F.lit(".html"))).alias(
-            "filename"
-        ),
+        F.when(
+            F.col("url").contains("?"), F.concat(F.lit("page-"), "page_id", F.lit(".html"))
+        ).alias("filename"),
         F.lit(None).cast("string").alias("content_type"),
     )
 
 
 _REQUESTED = """(SELECT page_id, page_id * 8 AS parent,
-    CASE WHEN page_id < 100 THEN 'page-' || page_id || '.html'
+    CASE WHEN contains(url, '?') THEN 'page-' || page_id || '.html'
          ELSE split_part(rtrim(split_part(url, '?', 1), '/'), '/', -1) END AS name,
     strlen(html) AS size,
     (SELECT max(conv_id * 1000 + turn) FROM conversations) + row_number() OVER (ORDER BY page_id)
