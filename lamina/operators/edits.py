@@ -58,7 +58,11 @@ ROLLBACK_DETAIL = "Operation rolled back."
 
 @dataclass(frozen=True)
 class EditOutcome:
-    """What an edit call produced: per-edit results and the layer's new rows."""
+    """What an edit call produced: per-edit results and the layer's new rows.
+
+    ``dropped`` lists input columns that were not sent, ``reports`` what the coercion
+    changed, per kind, or under ``input`` for the one input of an upsert or sync.
+    """
 
     results: EditResults
     rows: DataFrame
@@ -144,10 +148,7 @@ class EditJob:
         matched = keys.match_input(source, *args, small_input=small)
         self.inputs = {"adds": source, "updates": source}
         self._is_merge = True
-        judged = [
-            self._judge("adds", matched.where(~F.col(keys.IS_MATCHED))),
-            self._judge("updates", matched.where(F.col(keys.IS_MATCHED)), keys.MATCHED_OID),
-        ]
+        judged = [self._judge_matched(matched)]
         if delete_missing:
             gone = keys.deletes_of(source, *args, small_input=small)
             ordered = gone.repartitionByRange(self.oid).sortWithinPartitions(self.oid)
@@ -191,9 +192,9 @@ class EditJob:
 
     # ---- judging ----------------------------------------------------------
 
-    def _judge(self, kind: str, rows: DataFrame, oid_column: str | None = None) -> DataFrame:
+    def _judge(self, kind: str, rows: DataFrame) -> DataFrame:
         """Narrow view of one kind's edits: sequence, object id, size, first problem."""
-        oid = self._given_oid(kind, rows, oid_column)
+        oid = self._given_oid(kind, rows)
         if kind == "deletes":
             return rows.select(
                 F.lit(KINDS.index(kind)).alias("kind_rank"),
@@ -215,6 +216,30 @@ class EditJob:
             size.cast("bigint").alias("size"),
         )
 
+    def _judge_matched(self, matched: DataFrame) -> DataFrame:
+        """The same for an input whose rows are adds or updates, in one pass over the match."""
+        _, self.dropped["adds"] = writable_columns(
+            matched.drop(*HIDDEN_COLUMNS), self.contract, with_oid=False
+        )
+        names, sent = self._sent("updates", matched)
+        self.names["adds"] = self.names["updates"]
+        self.reports = {"input": self.reports["updates"]}
+        sent = sent.withColumn(self.oid, F.col(keys.MATCHED_OID))
+        geometry, is_update = geometry_of(matched), F.col(keys.IS_MATCHED)
+        feature = F.when(is_update, feature_json(names, geometry)).otherwise(
+            feature_json(self.names["adds"], geometry)
+        )
+        problem = F.when(is_update, self._problem("updates", names, geometry)).otherwise(
+            self._problem("adds", self.names["adds"], geometry)
+        )
+        return sent.select(
+            F.when(is_update, KINDS.index("updates")).otherwise(KINDS.index("adds")).alias("kind_rank"),
+            F.col(SEQ).alias("seq"),
+            F.col(keys.MATCHED_OID).cast("bigint").alias("oid"),
+            problem.alias("problem"),
+            F.octet_length(feature).cast("bigint").alias("size"),
+        )
+
     def _sent(self, kind: str, rows: DataFrame) -> tuple[list[str], DataFrame]:
         """Rows with their sent values, and the columns of a payload."""
         with_oid = kind == "updates"
@@ -397,12 +422,11 @@ class EditJob:
         )
         return [c for c in out.columns if c not in (SEQ, "_sent_oid")], out
 
-    def _given_oid(self, kind: str, rows: DataFrame, column: str | None = None) -> Column:
+    def _given_oid(self, kind: str, rows: DataFrame) -> Column:
         """The object id an update or delete names; null if it names none, or for an add."""
-        named = column or self.oid
-        if kind == "adds" or named not in rows.columns:
+        if kind == "adds" or self.oid not in rows.columns:
             return F.lit(None).cast("bigint")
-        return F.col(f"`{named}`").try_cast("bigint")
+        return F.col(f"`{self.oid}`").try_cast("bigint")
 
     def _last_updates(self, items: DataFrame, pack: Pack, small: bool) -> DataFrame:
         """The last successful update of each object id, in the layer's column types.
