@@ -25,6 +25,8 @@ from lamina.plans.contract import (
 )
 
 MAX_EXAMPLES = 5
+# Timestamps are microseconds in a long.
+MAX_MILLIS = (2**63 - 1) // 1000
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 _WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
 _INFINITY = r"(?i)^\s*[+-]?inf(inity)?\s*$"
@@ -62,28 +64,34 @@ def to_float(c: Column, dtype: T.DataType) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def _in_range(millis: Column) -> Column:
+    """Milliseconds a timestamp can hold; null for others, which would fail the job."""
+    return F.when(millis.between(-MAX_MILLIS, MAX_MILLIS), millis)
+
+
 def to_epoch_ms(c: Column, dtype: T.DataType) -> Column:
     """UTC epoch milliseconds. Zone-less values are read as UTC; whole numbers
     are taken as milliseconds already."""
     if isinstance(dtype, T.TimestampNTZType):
         micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), c)
-        return F.floor((micros - F.pmod(micros, F.lit(1000))) / 1000).cast("bigint")
+        # floored in whole numbers: doubles are too coarse for late dates
+        return F.call_function("div", micros - F.pmod(micros, F.lit(1000)), F.lit(1000))
     if isinstance(dtype, T.TimestampType):
         return F.unix_millis(c)
     if isinstance(dtype, T.DateType):
         return F.unix_millis(c.cast("timestamp"))
     if isinstance(dtype, (*_INTEGRAL, *_FRACTIONAL)):
-        return c.try_cast("bigint")
+        return _in_range(c.try_cast("bigint"))
     return F.unix_millis(c.cast("string").try_cast("timestamp"))
 
 
 def from_epoch_ms(c: Column, dtype: T.DataType) -> Column:
     """Timestamp of a stored or received date value."""
     if isinstance(dtype, (*_INTEGRAL, *_FRACTIONAL)):
-        return F.timestamp_millis(c.try_cast("bigint"))
+        return F.timestamp_millis(_in_range(c.try_cast("bigint")))
     if isinstance(dtype, T.StringType):
-        millis = F.when(c.rlike(r"^\s*-?\d+\s*$"), F.timestamp_millis(c.try_cast("bigint")))
-        return F.coalesce(millis, c.try_cast("timestamp"))
+        whole = F.timestamp_millis(_in_range(c.try_cast("bigint")))
+        return F.when(c.rlike(_WHOLE_NUMBER), whole).otherwise(c.try_cast("timestamp"))
     return c.cast("timestamp")
 
 
@@ -149,7 +157,7 @@ def stored(field_def: dict, sent: Column, dtype: T.DataType) -> Column:
     if field_def.get("type") == DATE_TYPE and isinstance(
         dtype, (T.TimestampType, T.TimestampNTZType)
     ):
-        return F.timestamp_millis(sent).cast(dtype)
+        return F.timestamp_millis(_in_range(sent)).cast(dtype)
     return sent.try_cast(dtype)
 
 
