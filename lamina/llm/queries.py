@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lamina.llm import id_files, packing, token_counts, trie_bpe
+from lamina.llm import exact_dedup, id_files, packing, token_counts, trie_bpe
 from lamina.llm.common import read_documents, tokenizer_path
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 
+def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(spark, f"{sf_dir}/documents.parquet").select(
+        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
+    )
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_documents(spark, sf_dir), tokenizer_path(BYTE_BPE))
 
@@ -28,5 +35,14 @@ def op10_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_bpe.round_trip_digests(read_documents(spark, sf_dir), tokenizer_path(BYTE_BPE))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op8_id_files, op9_packing, op10_trie_bpe)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_token_counts, op8_id_files, op9_packing, op10_trie_bpe)}
+SQL = {
+    "op1_exact_dedup": """
+        WITH t AS (
+            SELECT doc_id, sha256(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+            FROM documents)
+        SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+            doc_id = max(doc_id) OVER w AS kept, text_sha256
+        FROM t WINDOW w AS (PARTITION BY text_sha256)""",
+}
