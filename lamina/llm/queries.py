@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import exact_dedup, id_files, packing, token_counts, trie_bpe
+from lamina.llm import exact_dedup, id_files, near_dedup, packing, token_counts, trie_bpe
 from lamina.llm.common import read_documents, tokenizer_path
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -21,6 +21,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_documents(spark, sf_dir), tokenizer_path(BYTE_BPE))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(read_documents(spark, sf_dir))
+
+
 def op8_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = id_files.output_folder(spark, "id-files")
     files = id_files.write_ids(read_documents(spark, sf_dir), tokenizer_path(BYTE_BPE), folder)
@@ -35,7 +39,7 @@ def op10_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_bpe.round_trip_digests(read_documents(spark, sf_dir), tokenizer_path(BYTE_BPE))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_token_counts, op8_id_files, op9_packing, op10_trie_bpe)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_token_counts, op7_near_dedup, op8_id_files, op9_packing, op10_trie_bpe)}
 SQL = {
     "op1_exact_dedup": """
         WITH t AS (
