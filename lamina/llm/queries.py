@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import exact_dedup, id_files, near_dedup, packing, token_counts, trie_bpe
+from lamina.llm import exact_dedup, id_files, near_dedup, packing, token_counts, toxicity, trie_bpe
 from lamina.llm.common import read_documents, tokenizer_path
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -21,6 +21,12 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_documents(spark, sf_dir), tokenizer_path(BYTE_BPE))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score_texts(docs, model)
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(read_documents(spark, sf_dir))
 
@@ -39,7 +45,7 @@ def op10_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_bpe.round_trip_digests(read_documents(spark, sf_dir), tokenizer_path(BYTE_BPE))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_token_counts, op7_near_dedup, op8_id_files, op9_packing, op10_trie_bpe)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_token_counts, op5_toxicity, op7_near_dedup, op8_id_files, op9_packing, op10_trie_bpe)}
 SQL = {
     "op1_exact_dedup": """
         WITH t AS (
