@@ -70,8 +70,8 @@ def softplus(x: np.ndarray) -> np.ndarray:
 
 
 def train(
-    rows: list[np.ndarray], positive: np.ndarray, prior: float, steps: int = 150,
-    rate: float = 0.1, sparsity: float = 2e-4, least: int = 5,
+    rows: list[np.ndarray], positive: np.ndarray, prior: float, steps: int = 200,
+    rate: float = 0.1, sparsity: float = 5e-4, least: int = 5,
 ) -> Model:
     """Fit the non-negative risk. ``rows`` hold each text's features, repeats kept."""
     weights = np.zeros(DIMENSIONS)
@@ -102,9 +102,10 @@ def train(
         grad = np.append(np.bincount(flat, slope[row], len(used)), slope.sum())
         first = 0.9 * first + 0.1 * grad
         second = 0.99 * second + 0.01 * grad * grad
-        move = rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-6)
+        pace = rate * (1 - (step - 1) / steps)
+        move = pace * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-6)
         w, bias = w - move[:-1], bias - move[-1]
-        pull = rate * sparsity / (np.sqrt(second[:-1] / (1 - 0.99**step)) + 1e-6)
+        pull = pace * sparsity / (np.sqrt(second[:-1] / (1 - 0.99**step)) + 1e-6)
         w = np.sign(w) * np.maximum(np.abs(w) - pull, 0)
     weights[used] = w
     return Model(weights, float(bias))
