@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import class_lm, exact_dedup, id_files, line_quality, near_dedup, packing, token_counts, toxicity, trie_bpe
+from lamina.llm import class_lm, exact_dedup, id_files, line_quality, near_dedup, packing, substring_dedup, token_counts, toxicity, trie_bpe
 from lamina.llm.common import read_documents, tokenizer_path
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -37,6 +37,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_texts(docs, model)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.removal_digests(read_documents(spark, sf_dir))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(read_documents(spark, sf_dir))
 
@@ -55,7 +59,7 @@ def op10_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_bpe.round_trip_digests(read_documents(spark, sf_dir), tokenizer_path(BYTE_BPE))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_token_counts, op3_class_lm, op4_line_quality, op5_toxicity, op7_near_dedup, op8_id_files, op9_packing, op10_trie_bpe)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_token_counts, op3_class_lm, op4_line_quality, op5_toxicity, op6_substring_dedup, op7_near_dedup, op8_id_files, op9_packing, op10_trie_bpe)}
 SQL = {
     "op1_exact_dedup": """
         WITH t AS (
