@@ -71,7 +71,7 @@ def softplus(x: np.ndarray) -> np.ndarray:
 
 def train(
     rows: list[np.ndarray], positive: np.ndarray, prior: float, steps: int = 200,
-    rate: float = 0.1, sparsity: float = 5e-4, least: int = 5,
+    rate: float = 0.1, sparsity: float = 3e-4, least: int = 3, clear: float = 4.5,
 ) -> Model:
     """Fit the non-negative risk. ``rows`` hold each text's features, repeats kept."""
     weights = np.zeros(DIMENSIONS)
@@ -81,8 +81,16 @@ def train(
     sizes = np.array([len(r) for r in rows])
     flat = np.concatenate(rows).astype(np.int64)
     row = np.repeat(np.arange(len(rows)), sizes)
-    seen = np.unique(row[positive[row]] * DIMENSIONS + flat[positive[row]]) % DIMENSIONS
-    often = np.bincount(seen, minlength=DIMENSIONS) >= least
+    n_of = [np.zeros(DIMENSIONS), np.zeros(DIMENSIONS)]  # texts with a feature: unlabelled, positive
+    seen = np.unique(row * DIMENSIONS + flat)
+    for kind in (0, 1):
+        own = seen[positive[seen // DIMENSIONS] == kind] % DIMENSIONS
+        n_of[kind] += np.bincount(own, minlength=DIMENSIONS)
+    # Only what positives have clearly more often than unlabelled texts can speak for a text
+    # being toxic; everything else is left at zero.
+    share = (n_of[0] + n_of[1]) / len(rows)
+    error = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n_pos + 1 / n_unl))
+    often = (n_of[1] >= least) & (n_of[1] / n_pos - n_of[0] / n_unl > clear * error)
     row, flat = row[often[flat]], flat[often[flat]]
     used, flat = np.unique(flat, return_inverse=True)
     w, bias = np.zeros(len(used)), float(np.log(prior / (1 - prior)))
