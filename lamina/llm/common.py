@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import time
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -53,8 +54,10 @@ def release_shuffles(spark: SparkSession) -> None:
     The cleaner removes a shuffle once the driver no longer refers to it, which otherwise
     waits for the driver to collect its garbage.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # what the first round frees lets go of more
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def is_held_out(column, modulus: int):
