@@ -18,7 +18,7 @@ import regex
 
 #: White space that a pre-token may join over a cut: a text that has it is encoded whole.
 JOINED = re.compile(r"\s\s\s|\s\s\Z")
-UNITS, PIECES = 500_000, 300_000
+UNITS, PIECES = 1_200_000, 500_000
 #: Fixed value: the pattern byte-level BPE cuts texts by.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 IDS = np.dtype("<u4")
@@ -114,7 +114,11 @@ class Units:
         if self.pattern is not None and (not literal or max(literal) < "\u0100"):
             if self.lower:
                 literal = literal.lower()
-            found = self.pattern.findall(literal)
+            bare = literal[not self.dropped :]
+            if bare.isalpha() and literal[:1] != "\n":
+                found = [literal]
+            else:
+                found = self.pattern.findall(literal)
             return [p.encode().decode("latin-1").translate(self.alphabet) for p in found]
         normalizer = self.tokenizer.normalizer
         if normalizer is not None:
