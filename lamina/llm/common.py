@@ -22,8 +22,9 @@ def tokenizer_path(name: str, folder: str = TOKENIZER_FOLDER) -> str:
 
 
 def ascii_lower(column):
-    """Lower-case A-Z and nothing else."""
-    return F.translate(column, UPPER, UPPER.lower())
+    """Lower-case A-Z and nothing else; in a text of ASCII alone that is what ``lower`` does."""
+    ascii_only = F.octet_length(column) == F.length(column)
+    return F.when(ascii_only, F.lower(column)).otherwise(F.translate(column, UPPER, UPPER.lower()))
 
 
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -32,6 +32,7 @@ STREAM_CONF = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # many small stores
 }
 #: A digest with more rows is hot: its entry is copied and its rows are dealt over the copies.
 ROWS_PER_COPY = 2000
@@ -134,7 +135,7 @@ class DedupStream:
         )
         # The text an entry points to goes once to each copy; the other rows of the digest
         # are dealt over the copies, so no task gets a whole hot group.
-        met = marked.where(F.col("n").isNotNull())
+        met = staging.write(marked.where(F.col("n").isNotNull()), "dedup-met")
         first = F.col("place") == F.col("entry.place")
         held = met.where(first).select(
             "digest", F.col("text").alias("held"),

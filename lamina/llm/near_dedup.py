@@ -37,6 +37,9 @@ from lamina.session import Staging
 
 SLOTS, ROWS = 128, 4
 BANDS = SLOTS // ROWS
+#: Sketches of 128 slots differ in 16 bits on average at a similarity of 0.75, and in
+#: more than 38 about once in ten million pairs.
+MOST_BITS = 38
 PERCENT = 75
 #: Hash values of a set that are drawn for at once.
 AT_ONCE = 1 << 15
@@ -72,25 +75,30 @@ def band_keys(signature: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_key (digest of the set) and bands (keys, 8 bytes each)."""
+    """doc_id, n_shingles, set_key (digest of the set), bands (keys, 8 bytes each) and sketch
+    (one bit of each slot, as two longs)."""
 
     def run(batches):
         shingler = of_worker(Shingler)
         for batch in slices(batches, 500):
-            n, keys, bands = [], [], []
+            n, keys, bands, sketches = [], [], [], []
             for text in batch.column("text").to_pylist():
                 own = shingler.shingles(text)
                 n.append(len(own))
                 keys.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
-                bands.append(band_keys(super_minhash(own)).tobytes() if len(own) else b"")
+                signature = super_minhash(own)
+                bands.append(band_keys(signature).tobytes() if len(own) else b"")
+                bits = np.packbits((mix(signature) & np.uint64(1)).astype(np.uint8))
+                sketches.append(bits.view(np.int64))
+            sketches = np.array(sketches).reshape(-1, SLOTS // 64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array(bands, pa.binary())],
-                names=["doc_id", "n_shingles", "set_key", "bands"],
+                 pa.array(bands, pa.binary()), *map(pa.array, sketches.T.copy())],
+                names=["doc_id", "n_shingles", "set_key", "bands", "s0", "s1"],
             )
 
     return texts_of(docs).mapInArrow(
-        run, "doc_id long, n_shingles long, set_key binary, bands binary"
+        run, "doc_id long, n_shingles long, set_key binary, bands binary, s0 long, s1 long"
     )
 
 
@@ -216,7 +224,8 @@ def near_groups(
     reps = with_id.join(
         first.select("set_key", F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi"
     )
-    reps = reps.groupBy("doc_id").agg(F.min(F.struct("set_key", "bands")).alias("x"))
+    reps = reps.groupBy("doc_id").agg(F.min(F.struct("set_key", "bands", "s0", "s1")).alias("x"))
+    sketches = staging.write(reps.select("doc_id", "x.s0", "x.s1"), "near-sketches")
     placed = buckets(reps.select("doc_id", "x.bands"))
     least = placed.groupBy("bucket").agg(
         F.min("doc_id").alias("centre"), F.count(F.lit(1)).alias("n")
@@ -246,14 +255,23 @@ def near_groups(
             .where("lo <> hi")
             .select("bucket")
         )
-        open_members = staging.write(of_member.join(split, "bucket", "left_semi"), "near-open")
+        open_members = of_member.join(split, "bucket", "left_semi").join(sketches, "doc_id")
+        open_members = staging.write(open_members, "near-open")
         x, y = (
             open_members.select(
-                "bucket", F.col("doc_id").alias(d), F.col("component").alias(f"c{d}")
+                "bucket",
+                *[F.col(c).alias(f"{d}_{c}") for c in ("doc_id", "component", "s0", "s1")],
             )
             for d in "ab"
         )
-        across = x.join(y, "bucket").where("a < b AND ca <> cb").select("a", "b").distinct()
+        bits = "bit_count(a_s0 ^ b_s0) + bit_count(a_s1 ^ b_s1)"
+        chance = f"a_doc_id < b_doc_id AND a_component <> b_component AND {bits} <= {MOST_BITS}"
+        across = (
+            x.join(y, "bucket")
+            .where(chance)
+            .select(F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b"))
+            .distinct()
+        )
         more = staging.write(across.join(tried, ["a", "b"], "left_anti"), "near-more")
         if more.isEmpty():
             break

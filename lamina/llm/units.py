@@ -114,8 +114,8 @@ class Units:
         if self.pattern is not None and (not literal or max(literal) < "\u0100"):
             if self.lower:
                 literal = literal.lower()
-            bare = literal[not self.dropped :]
-            if bare.isalpha() and literal[:1] != "\n":
+            spaced = not self.dropped and literal[:1] == " "
+            if (literal[1:] if spaced else literal).isalpha():
                 found = [literal]
             else:
                 found = self.pattern.findall(literal)
