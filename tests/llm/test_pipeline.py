@@ -1,0 +1,21 @@
+"""The pipeline's stages on a small table, each against what it is meant to do."""
+
+import corpus_pipeline
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def test_stages(spark, tmp_path):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    columns, before = docs.columns, docs.count()
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        path = f"{tmp_path}/{k}"
+        stage(spark, docs, FOLDER).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if k < len(corpus_pipeline.STAGES) - 1:
+            assert docs.columns == columns and docs.count() <= before
+            before = docs.count()
+        if name == "exact dedup":
+            texts = [r.text.encode().lower() for r in docs.collect()]
+            assert len(texts) == len(set(texts))
+    assert docs.select("doc_id").distinct().count() == before
