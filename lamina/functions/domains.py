@@ -22,22 +22,22 @@ def _usable(code: Any, dtype: T.DataType) -> bool:
     return isinstance(code, str) == isinstance(dtype, T.StringType)
 
 
-def _entries(lookup: dict, dtype: T.DataType) -> list[tuple[str, str]]:
-    """Lookup as text pairs; numeric keys in the text form the column's type gives them."""
+NUMBERS = (T.FloatType, T.DoubleType, T.DecimalType)
+
+
+def _entries(lookup: dict, dtype: T.DataType) -> list[tuple]:
+    """Lookup as pairs of a key and a text; the key is a number where the column may have
+    fractions, because a number has several texts, and its text otherwise."""
     if isinstance(dtype, T.StringType):
         return [(k, str(v)) for k, v in lookup.items() if isinstance(k, str)]
     numeric = [(k, v) for k, v in lookup.items() if _usable(k, dtype)]
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return [(str(float(k)), str(v)) for k, v in numeric]
+    if isinstance(dtype, NUMBERS):
+        return [(float(k), str(v)) for k, v in numeric]
     return [(str(int(k)), str(v)) for k, v in numeric if float(k).is_integer()]
 
 
 def _lookup_key(c: Column, dtype: T.DataType) -> Column:
-    if isinstance(dtype, T.StringType):
-        return c
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return c.cast("double").cast("string")
-    return c.cast("string")
+    return c.cast("double" if isinstance(dtype, NUMBERS) else "string")
 
 
 def mapped(c: Column, dtype: T.DataType, lookup: dict) -> Column:
@@ -84,7 +84,9 @@ def recode_domains(
 
 def _recode_by_join(df: DataFrame, name: str, dtype: T.DataType, lookup: dict) -> DataFrame:
     entries = _entries(lookup, dtype)
-    table = df.sparkSession.createDataFrame(entries, "_key string, _value string")
+    table = df.sparkSession.createDataFrame(
+        entries, f"_key {'double' if isinstance(dtype, NUMBERS) else 'string'}, _value string"
+    )
     if len(entries) <= MAX_BROADCAST_ENTRIES:
         table = F.broadcast(table)
     c = F.col(f"`{name}`")

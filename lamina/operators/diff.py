@@ -41,12 +41,35 @@ def duplicate_keys(df: DataFrame, key_fields: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
 
 
-def check_unique_keys(df: DataFrame, key_fields: list[str]) -> None:
+def repeated_keys(
+    df: DataFrame,
+    layer: DataFrame,
+    contract: LayerContract,
+    key_fields: list[str],
+    apply_coded_values: bool = False,
+) -> DataFrame:
+    """Keys that more than one input row has once they are coded and typed as the layer's,
+    with their row counts; a key the layer cannot hold counts as it was sent."""
+    columns, unfit = input_keys(df, layer, contract, key_fields, apply_coded_values)
+    if unfit is not None:
+        sent = F.to_json(F.struct(*[F.col(f"`{k}`") for k in key_fields]))
+        columns = {**columns, "_unfit": F.when(unfit, sent)}
+    return duplicate_keys(df.select(*[c.alias(n) for n, c in columns.items()]), list(columns))
+
+
+def check_unique_keys(
+    df: DataFrame,
+    layer: DataFrame,
+    contract: LayerContract,
+    key_fields: list[str],
+    apply_coded_values: bool = False,
+) -> None:
     """Raise, with at most five examples, unless the keys identify the input rows."""
     check_key_names(df, key_fields)
-    examples = duplicate_keys(df, key_fields).limit(MAX_EXAMPLES).collect()
+    repeated = repeated_keys(df, layer, contract, key_fields, apply_coded_values)
+    examples = repeated.limit(MAX_EXAMPLES).collect()
     if examples:
-        shown = [tuple(row[k] for k in key_fields) for row in examples]
+        shown = [tuple(row[_key_name(k)] for k in key_fields) for row in examples]
         raise InvalidParameterError(
             f"Several input rows share a key of {key_fields!r}. "
             f"Duplicate key examples: {shown}"
@@ -82,7 +105,11 @@ def input_keys(
             continue
         sent = outbound({**field_def, "length": None}, c, dtype)
         columns[_key_name(k)] = stored(field_def, sent, target)
-        failures.append(c.isNotNull() & columns[_key_name(k)].isNull())
+        key = columns[_key_name(k)]
+        unheld = key.isNull()
+        if isinstance(dtype, T.FractionalType) and isinstance(target, T.IntegralType):
+            unheld = unheld | (key.cast(dtype) != c)  # 1.5 is no integer, so nobody's key
+        failures.append(c.isNotNull() & unheld)
     return columns, (reduce(lambda a, b: a | b, failures) if failures else None)
 
 
@@ -196,8 +223,9 @@ def diff(
     apply_coded_values: bool = False,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Adds, updates and deletes that turn the layer's keys into the input's."""
-    check_unique_keys(df, key_fields)
+    check_key_names(df, key_fields)
     contract.check_names(key_fields)
+    check_unique_keys(df, layer, contract, key_fields, apply_coded_values)
     args = (layer, contract, key_fields, apply_coded_values)
     small = is_small(df, key_fields)
     matched = match_input(df, *args, small_input=small)

@@ -142,8 +142,8 @@ class EditJob:
         keys.check_key_names(df, key_fields)
         self.contract.check_names(key_fields)
         source = self.staging.write(tag_input(df), "input")
-        keys.check_unique_keys(source, key_fields)
         args = (self.layer, self.contract, key_fields, self.apply_coded_values)
+        keys.check_unique_keys(source, *args)
         small = sizes.is_small(source, key_fields)
         matched = keys.match_input(source, *args, small_input=small)
         self.inputs = {"adds": source, "updates": source}

@@ -1,8 +1,9 @@
 import pytest
 from conftest import STATUS, metadata, values
+from pyspark.sql import functions as F
 
 from lamina import FieldSet, InvalidParameterError, Layer, LayerContract
-from lamina.operators import sizes, skew
+from lamina.operators import diff, sizes, skew
 
 CONTRACT = LayerContract.from_metadata(metadata())
 CONTRACT = CONTRACT.with_(
@@ -119,3 +120,17 @@ def test_gate_shows_five_examples(spark):
     with pytest.raises(InvalidParameterError) as caught:
         target.diff(df, ["Name"])
     assert str(caught.value).count("',)") == 5
+
+
+def test_fractional_key_is_no_integers_key(spark, contract, people):
+    given = spark.createDataFrame([(1.5, "a"), (2.0, "b")], "Status double, Name string")
+    layer = people.where("Status IS NOT NULL").withColumn("Status", F.col("OBJECTID").cast("int"))
+    adds, updates, _ = diff.diff(given, layer, contract, ["Status"])
+    assert [r["Name"] for r in adds.collect()] == ["a"]
+    assert [r["Name"] for r in updates.collect()] == ["b"]
+
+
+def test_keys_are_compared_after_coding(spark, coded, people):
+    given = spark.createDataFrame([("Active",), ("1",)], "Status string")
+    with pytest.raises(InvalidParameterError):
+        diff.diff(given, people, coded, ["Status"], apply_coded_values=True)
