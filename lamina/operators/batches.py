@@ -7,13 +7,15 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lamina.errors import InvalidParameterError
-from lamina.operators.numbering import task_of
+from lamina.operators.numbering import TASK_BITS
+from lamina.session import stage
 
 # Default and largest size of a request body, and the part of it
 # kept for framing; what a delete costs beyond the digits of its id.
@@ -24,10 +26,10 @@ DELETE_EXTRA_BYTES = 2
 
 KINDS = ("adds", "updates", "deletes")
 
-# Packing is a running sum and so sequential. Edits are packed in runs of up to this
-# many batches or rows; only the seams between runs may cost an extra batch.
-BATCHES_PER_RUN = 32
-ROWS_PER_RUN = 500_000
+# Edits are packed in pieces of up to this many rows of one writing task, and so many
+# pieces are joined into one at a time. Neither number shows in the result.
+PIECE_BITS = 18
+PIECES_AT_ONCE = 8
 
 # The packing functions travel to the executors, which need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -71,28 +73,175 @@ def fill_batches(sizes: np.ndarray, used: int, budget: int) -> tuple[np.ndarray,
     return numbers, used
 
 
+@dataclass(frozen=True)
+class Passage:
+    """What a stretch of edits makes of the open batch it finds.
+
+    A batch that enters with ``u`` bytes and has room for all ``total`` bytes leaves with
+    ``u + total`` and no batch is begun. Otherwise the last entry of ``low`` up to ``u``
+    says how many batches are begun and how full the last one is. ``first`` is the same
+    for a stretch with nothing before it.
+    """
+
+    total: int
+    low: np.ndarray
+    begun: np.ndarray
+    used: np.ndarray
+    first: tuple[int, int]
+
+    def leave(self, used: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
+        """Batches begun and bytes in the last one, for open batches of ``used`` bytes."""
+        fits = used + self.total <= budget
+        at = np.maximum(np.searchsorted(self.low, used, side="right") - 1, 0)
+        if not len(self.low):
+            return np.zeros_like(used), used + self.total
+        return np.where(fits, 0, self.begun[at]), np.where(fits, used + self.total, self.used[at])
+
+    def enter(self, used: int, budget: int) -> tuple[int, int]:
+        if used == 0:
+            return self.first
+        begun, left = self.leave(np.array([used], np.int64), budget)
+        return int(begun[0]), int(left[0])
+
+    def then(self, later: Passage, budget: int) -> Passage:
+        begun, used = later.leave(self.used, budget)
+        # entries that pass through here and break in the later stretch
+        inner = later.low - self.total
+        some = inner <= budget - self.total
+        some &= np.append(inner[1:], budget) > 1  # of those below 1 the last is enough
+        first, left = later.enter(self.first[1], budget)
+        return _passage(
+            self.total + later.total,
+            np.concatenate([np.maximum(inner[some], 1), self.low]),
+            np.concatenate([later.begun[some], self.begun + begun]),
+            np.concatenate([later.used[some], used]),
+            (self.first[0] + first, left),
+            budget - self.total,
+            int(some.sum()),
+        )
+
+
+def _passage(total, low, begun, used, first, passing, n_inner) -> Passage:
+    """A passage without steps that change nothing; of the first ``n_inner`` steps only
+    those for entries up to ``passing`` count."""
+    real = np.ones(len(low), bool)
+    real[:n_inner] = low[:n_inner] <= passing
+    low, begun, used = low[real], begun[real], used[real]
+    new = np.ones(len(low), bool)
+    new[1:] = (begun[1:] != begun[:-1]) | (used[1:] != used[:-1])
+    return Passage(int(total), low[new], begun[new], used[new], first)
+
+
+def passage_of(sizes: np.ndarray, budget: int) -> Passage:
+    """The passage of a piece of at least one edit.
+
+    Whatever enters, the piece goes on like one that begins a batch at the first edit
+    without room, so one trajectory per edit within a budget of the start says all.
+    """
+    ends = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+    n = len(sizes)
+    breaks = np.arange(min(n, int(np.searchsorted(ends[1:], budget, side="left")) + 1))
+    at, begun = breaks.copy(), np.ones(len(breaks), np.int64)
+    moving = np.arange(len(breaks))
+    while len(moving):
+        here = at[moving]
+        stop = np.searchsorted(ends, ends[here] + budget, side="right") - 1
+        stop = np.maximum(stop, here + 1)
+        moving, stop = moving[stop < n], stop[stop < n]
+        at[moving] = stop
+        begun[moving] += 1
+    used = ends[n] - ends[at]
+    first = (int(begun[0]) - 1, int(used[0]))
+    low = np.maximum(budget - ends[breaks + 1] + 1, 1)
+    # A later break needs a smaller entry; of those with the same least entry the first holds.
+    once = np.unique(low, return_index=True)[1]
+    return _passage(ends[n], low[once], begun[once], used[once], first, budget, 0)
+
+
+PASSAGE_SCHEMA = (
+    "piece bigint, total bigint, low array<bigint>, begun array<bigint>, used array<bigint>, "
+    "first_begun bigint, first_used bigint"
+)
+
+
+def _as_row(piece: int, p: Passage) -> dict:
+    return {
+        "piece": piece, "total": p.total, "low": p.low.tolist(), "begun": p.begun.tolist(),
+        "used": p.used.tolist(), "first_begun": p.first[0], "first_used": p.first[1],
+    }
+
+
+def _as_passage(row) -> Passage:
+    steps = [np.asarray(x, np.int64) for x in (row.low, row.begun, row.used)]
+    return Passage(int(row.total), *steps, (int(row.first_begun), int(row.first_used)))
+
+
+def entries(placed: DataFrame, n_pieces: int, budget: int) -> DataFrame:
+    """piece, base (batches begun before it) and entry (bytes in the batch it finds open).
+
+    Passages of neighbours are joined eight at a time until one is left; the way back
+    hands each its entry. A task holds eight passages, whose steps a budget bounds.
+    """
+    spark = placed.sparkSession
+
+    def measure(edits: pd.DataFrame) -> pd.DataFrame:
+        sizes = edits.sort_values("seq")["size"].to_numpy(np.int64)
+        return pd.DataFrame([_as_row(int(edits["piece"].iloc[0]), passage_of(sizes, budget))])
+
+    def join(group: pd.DataFrame) -> pd.DataFrame:
+        rows = list(group.sort_values("piece").itertuples())
+        joined = _as_passage(rows[0])
+        for row in rows[1:]:
+            joined = joined.then(_as_passage(row), budget)
+        return pd.DataFrame([_as_row(rows[0].piece // PIECES_AT_ONCE, joined)])
+
+    def hand_down(group: pd.DataFrame) -> pd.DataFrame:
+        found, rows = [], list(group.sort_values("piece").itertuples())
+        base, entry = int(rows[0].base), int(rows[0].entry)
+        for row in rows:
+            found.append((row.piece, base, entry))
+            begun, entry = _as_passage(row).enter(entry, budget)
+            base += begun
+        return pd.DataFrame(found, columns=["piece", "base", "entry"])
+
+    above = F.expr(f"piece div {PIECES_AT_ONCE}")
+    known = spark.createDataFrame([(0, 0, 0)], "piece bigint, base bigint, entry bigint")
+    levels, left = [], n_pieces
+    while left > 1:
+        if levels:
+            level = levels[-1].groupBy(above).applyInPandas(join, PASSAGE_SCHEMA)
+        else:
+            sizes = placed.select("piece", "seq", "size")
+            level = sizes.groupBy("piece").applyInPandas(measure, PASSAGE_SCHEMA)
+        levels.append(stage(level, "passages"))
+        left = -(-left // PIECES_AT_ONCE)
+    for level in reversed(levels):
+        parents = known.withColumnRenamed("piece", "parent")
+        below = level.withColumn("parent", above).join(parents, "parent")
+        known = below.groupBy("parent").applyInPandas(
+            hand_down, "piece bigint, base bigint, entry bigint"
+        )
+    return known
+
+
 def _packer(budget: int):
-    """Arrow function over edits sorted by run, kind and sequence."""
+    """Arrow function over edits sorted by piece and sequence."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run, number, used = None, 0, 0
-        piece, place = None, 0
+        piece, number, used, place = None, 0, 0, 0
         for batch in batches:
             columns = {n: batch.column(n) for n in batch.schema.names}
-            runs = columns["run"].to_numpy(zero_copy_only=False)
-            starts = columns["start"].to_numpy(zero_copy_only=False)
-            pieces = columns["piece"].to_numpy(zero_copy_only=False)
-            sizes = columns["size"].to_numpy(zero_copy_only=False)
-            ids, positions = np.empty(len(runs), np.int64), np.empty(len(runs), np.int64)
-            for lo, hi in _stretches(runs):
-                if runs[lo] != run:
-                    run, number, used = runs[lo], 0, 0
-                numbers, used = fill_batches(sizes[lo:hi], used, budget)
-                ids[lo:hi] = (int(run) << 33) + number + numbers
-                number += int(numbers[-1])
+            pieces, starts, bases, opened, sizes = (
+                columns[n].to_numpy(zero_copy_only=False)
+                for n in ("piece", "start", "base", "entry", "size")
+            )
+            ids, positions = np.empty(len(pieces), np.int64), np.empty(len(pieces), np.int64)
             for lo, hi in _stretches(pieces):
                 if pieces[lo] != piece:
-                    piece, place = pieces[lo], 0
+                    piece, number, used, place = pieces[lo], int(bases[lo]), int(opened[lo]), 0
+                numbers, used = fill_batches(sizes[lo:hi], used, budget)
+                ids[lo:hi] = number + numbers
+                number += int(numbers[-1])
                 positions[lo:hi] = starts[lo:hi] + place + np.arange(hi - lo)
                 place += hi - lo
             kept = [columns[n] for n in ("kind_rank", "seq", "oid", "problem", "size")]
@@ -130,41 +279,37 @@ def pack_edits(edits: DataFrame, max_bytes: int) -> Pack:
     ``edits`` is a written table ``(kind_rank, seq, oid, problem, size)`` whose
     ``seq`` is a task tag (see :mod:`lamina.operators.numbering`).
 
-    Counts per (kind, writing task), one small row each, place the tasks in order
-    and join neighbours into runs. A run is a function of the stored tags, so
-    re-running a lost task packs the same batches; an edit set within the limits of
-    a run is packed as one sequence.
+    Batches are what one pass over all edits would give, however they are spread over
+    tasks: pieces are measured for every batch they may find open, see :func:`entries`.
+    Counts per piece, one small row each, place the pieces in order.
     """
     budget = max_bytes - OVERHEAD_BYTES
+    part = F.shiftright(F.col("seq"), PIECE_BITS)
     pieces = (
-        edits.groupBy("kind_rank", task_of(F.col("seq")).alias("task"))
+        edits.groupBy("kind_rank", part.alias("part"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
         .toPandas()
-        .sort_values(["kind_rank", "task"], ignore_index=True)
+        .sort_values(["kind_rank", "part"], ignore_index=True)
     )
     n = pieces["n"]
-    # how much of a run each piece takes, in millionths
-    share = np.maximum(
-        pieces["bytes"] / (max(budget, 1) * BATCHES_PER_RUN), n / ROWS_PER_RUN
-    )
-    runs, _ = fill_batches(np.ceil(share * 1e6).to_numpy().astype(np.int64), 0, 1_000_000)
-    lookup = pieces[["kind_rank", "task"]].assign(
-        piece=np.arange(len(pieces)),
-        run=runs,
-        start=n.groupby(pieces["kind_rank"]).cumsum() - n,
+    lookup = pieces[["kind_rank", "part"]].assign(
+        piece=np.arange(len(pieces)), start=n.groupby(pieces["kind_rank"]).cumsum() - n
     )
     per_kind = n.groupby(pieces["kind_rank"]).sum()
     counts = {kind: int(per_kind.get(rank, 0)) for rank, kind in enumerate(KINDS)}
     total = int(pieces["bytes"].sum())
     table = edits.sparkSession.createDataFrame(
-        lookup, "kind_rank int, task bigint, piece bigint, run bigint, start bigint"
+        lookup, "kind_rank int, part bigint, piece bigint, start bigint"
     )
-    placed = edits.withColumn("task", task_of(F.col("seq"))).join(
-        F.broadcast(table), ["kind_rank", "task"]
+    placed = edits.withColumn("part", part).join(F.broadcast(table), ["kind_rank", "part"])
+    opened = F.broadcast(entries(placed, len(pieces), budget))  # one row per piece
+    ordered = (
+        placed.join(opened, "piece").repartition("piece").sortWithinPartitions("piece", "seq")
     )
-    ordered = placed.repartition("run").sortWithinPartitions("run", "kind_rank", "seq")
     packed = ordered.mapInArrow(_packer(budget), PACKED_SCHEMA)
-    return Pack(packed, counts, total, table)
+    task = F.shiftright(F.col("part"), TASK_BITS - PIECE_BITS)
+    starts = table.groupBy("kind_rank", task.alias("task")).agg(F.min("start").alias("start"))
+    return Pack(packed, counts, total, starts)
 
 
 def batch_bodies(features: DataFrame) -> DataFrame:

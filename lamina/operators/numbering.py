@@ -11,12 +11,12 @@ from lamina.session import stage
 POSITION = "position"
 TAG = "_row_tag"
 # A tag is (task number << 33) + running number within the task.
-_TASK_BITS = 33
-_LOCAL_MASK = (1 << _TASK_BITS) - 1
+TASK_BITS = 33
+_LOCAL_MASK = (1 << TASK_BITS) - 1
 
 
 def task_of(tag: Column) -> Column:
-    return F.shiftright(tag, _TASK_BITS)
+    return F.shiftright(tag, TASK_BITS)
 
 
 def place_in_task(tag: Column) -> Column:

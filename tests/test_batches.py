@@ -67,21 +67,31 @@ def test_one_run_equals_the_rule(spark, partitions):
     assert [r["position"] for r in found] == list(range(70)) * 3
 
 
-def test_many_runs_keep_the_budget(spark, monkeypatch):
-    monkeypatch.setattr(batches, "BATCHES_PER_RUN", 2)
-    rng = random.Random(4)
+@pytest.mark.parametrize("partitions", [1, 6, 23])
+def test_batches_do_not_depend_on_tasks(spark, partitions, monkeypatch):
+    monkeypatch.setattr(batches, "PIECE_BITS", 4)  # pieces of 16 edits: three levels
+    rng = random.Random(partitions)
     rows = [(k, i, rng.randint(1, 60)) for k in range(3) for i in range(k * 1000, k * 1000 + 200)]
-    found = packed(spark, rows, 6, 100)
-    by_batch = {}
-    for r in found:
-        by_batch.setdefault(r["batch_id"], []).append(r["size"])
-    assert all(sum(s) <= 100 or len(s) == 1 for s in by_batch.values())
-    ids = [r["batch_id"] for r in found]
-    assert ids == sorted(ids)
+    found = packed(spark, rows, partitions, 100)
+    assert [r["batch_id"] for r in found] == one_by_one([r[2] for r in rows], 0, 100)[0]
     assert [r["position"] for r in found] == list(range(200)) * 3
-    least = one_by_one([r[2] for r in rows], 0, 100)[0][-1] + 1
-    runs = len({i >> 33 for i in ids})
-    assert 1 < runs and len(by_batch) <= least + runs - 1
+
+
+@given(
+    st.lists(st.lists(st.integers(1, 60), min_size=1, max_size=12), min_size=1, max_size=9),
+    st.integers(-5, 90),
+    st.randoms(use_true_random=False),
+)
+@settings(max_examples=600, deadline=None)
+def test_joined_passages_equal_the_rule(parts, budget, rng):
+    passages = [batches.passage_of(np.array(p, np.int64), budget) for p in parts]
+    while len(passages) > 1:  # in any grouping
+        at = rng.randrange(len(passages) - 1)
+        passages[at : at + 2] = [passages[at].then(passages[at + 1], budget)]
+    sizes = [s for p in parts for s in p]
+    for used in range(0, 100):
+        numbers, left = one_by_one(sizes, used, budget)
+        assert passages[0].enter(used, budget) == (numbers[-1], left)
 
 
 def test_oversized_items_stand_alone(spark):

@@ -45,7 +45,7 @@ def test_scan_reads_what_it_needs(spark):
 
 
 def test_diff_reads_id_and_keys_only(spark):
-    deletes = on.orders_before_2000(spark, FOLDER).diff(
+    deletes = on.orders_renumbered(spark, FOLDER).diff(
         on.order_feed(spark, FOLDER), ["o_orderkey"]
     )[2]
     text = plan_of(deletes)

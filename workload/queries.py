@@ -39,7 +39,9 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 ORDER_ROWS = "(SELECT o_orderkey + 1 AS objectid, * FROM orders)"
-LAYER_2000 = f"(SELECT * FROM {ORDER_ROWS} WHERE o_orderdate < TIMESTAMP '2000-01-01')"
+_MORE = f"CASE WHEN o_orderdate >= TIMESTAMP '2000-01-01' THEN {on.RENUMBERED} ELSE 0 END"
+RENUMBERED = f"""(SELECT * REPLACE (objectid + {_MORE} AS objectid, o_orderkey + {_MORE} AS o_orderkey)
+                 FROM {ORDER_ROWS})"""
 FEED = """(
     SELECT l_orderkey AS o_orderkey,
            CASE WHEN count(*) FILTER (WHERE l_linestatus = 'O') = 0 THEN 'Finished'
@@ -467,14 +469,14 @@ def error_text(spark, folder):
 
 
 def _diff(spark, folder):
-    return on.orders_before_2000(spark, folder).diff(
+    return on.orders_renumbered(spark, folder).diff(
         on.order_feed(spark, folder), ["o_orderkey"], apply_coded_values=True
     )
 
 
 @query(
     f"""SELECT o_orderkey, o_orderstatus, o_totalprice FROM {FEED}
-        WHERE o_orderkey NOT IN (SELECT o_orderkey FROM {LAYER_2000})"""
+        WHERE o_orderkey NOT IN (SELECT o_orderkey FROM {RENUMBERED})"""
 )
 def diff_adds(spark, folder):
     return _diff(spark, folder)[0].select("o_orderkey", "o_orderstatus", "o_totalprice")
@@ -482,7 +484,7 @@ def diff_adds(spark, folder):
 
 @query(
     f"""SELECT l.objectid, f.o_orderkey, f.o_orderstatus, f.o_totalprice
-        FROM {FEED} f JOIN {LAYER_2000} l ON f.o_orderkey = l.o_orderkey"""
+        FROM {FEED} f JOIN {RENUMBERED} l ON f.o_orderkey = l.o_orderkey"""
 )
 def diff_updates(spark, folder):
     return _diff(spark, folder)[1].select(
@@ -491,7 +493,7 @@ def diff_updates(spark, folder):
 
 
 @query(
-    f"""SELECT objectid, o_orderkey FROM {LAYER_2000}
+    f"""SELECT objectid, o_orderkey FROM {RENUMBERED}
         WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)"""
 )
 def diff_deletes(spark, folder):
@@ -521,8 +523,8 @@ _PRIORITY = "CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_orderpriority
     f"""SELECT objectid, p AS o_orderpriority, o_orderstatus
         FROM (SELECT objectid, {_PRIORITY} AS p, o_orderstatus FROM {ORDER_ROWS}) l
         WHERE NOT EXISTS (
-          SELECT 1 FROM (SELECT DISTINCT {_PRIORITY} AS p, o_orderstatus FROM orders
-                         WHERE o_totalprice >= 499500) f
+          SELECT 1 FROM (SELECT DISTINCT {_PRIORITY} AS p, l_linestatus AS o_orderstatus
+                         FROM orders JOIN lineitem ON l_orderkey = o_orderkey) f
           WHERE f.p IS NOT DISTINCT FROM l.p AND f.o_orderstatus = l.o_orderstatus)"""
 )
 def diff_null_keys(spark, folder):
@@ -531,8 +533,11 @@ def diff_null_keys(spark, folder):
         F.col("o_orderpriority") != "4-NOT SPECIFIED", F.col("o_orderpriority")
     )
     rows = on.order_rows(spark, folder).withColumn("o_orderpriority", priority)
+    lines = on.table(spark, folder, "lineitem").select("l_orderkey", "l_linestatus")
     feed = (
-        rows.where("o_totalprice >= 499500").select("o_orderpriority", "o_orderstatus").distinct()
+        rows.join(lines, F.col("l_orderkey") == F.col("o_orderkey"))
+        .select("o_orderpriority", F.col("l_linestatus").alias("o_orderstatus"))
+        .distinct()
     )
     layer = Layer(rows, on.ORDERS)
     return layer.diff(feed, ["o_orderpriority", "o_orderstatus"])[2]
@@ -557,11 +562,11 @@ _UPDATED = f"""SELECT l.objectid, l.o_orderkey, l.o_custkey,
     epoch_ms(CASE WHEN f.o_orderkey IS NULL THEN l.o_orderdate ELSE f.o_orderdate END)
       AS o_orderdate,
     l.o_orderpriority, f.o_orderkey IS NOT NULL AS hit
-    FROM {LAYER_2000} l LEFT JOIN {FEED} f ON f.o_orderkey = l.o_orderkey"""
+    FROM {RENUMBERED} l LEFT JOIN {FEED} f ON f.o_orderkey = l.o_orderkey"""
 _ADDED = f"""SELECT o_orderkey, NULL::BIGINT AS o_custkey,
     {CODE.format('o_orderstatus')} AS o_orderstatus, o_totalprice,
     epoch_ms(o_orderdate) AS o_orderdate, NULL::VARCHAR AS o_orderpriority
-    FROM {FEED} WHERE o_orderkey NOT IN (SELECT o_orderkey FROM {LAYER_2000})"""
+    FROM {FEED} WHERE o_orderkey NOT IN (SELECT o_orderkey FROM {RENUMBERED})"""
 
 
 def _natural(rows: DataFrame) -> DataFrame:
@@ -573,7 +578,7 @@ def _natural(rows: DataFrame) -> DataFrame:
 
 @query(f"SELECT * EXCLUDE (objectid, hit) FROM ({_UPDATED}) UNION ALL {_ADDED}")
 def upsert_snapshot(spark, folder):
-    outcome = on.orders_before_2000(spark, folder).upsert(
+    outcome = on.orders_renumbered(spark, folder).upsert(
         on.order_feed(spark, folder), ["o_orderkey"], apply_coded_values=True
     )
     return _natural(outcome.rows)
@@ -581,7 +586,7 @@ def upsert_snapshot(spark, folder):
 
 @query(f"SELECT * EXCLUDE (objectid, hit) FROM ({_UPDATED}) WHERE hit UNION ALL {_ADDED}")
 def sync_snapshot(spark, folder):
-    outcome = on.orders_before_2000(spark, folder).sync(
+    outcome = on.orders_renumbered(spark, folder).sync(
         on.order_feed(spark, folder), ["o_orderkey"], apply_coded_values=True
     )
     return _natural(outcome.rows)
@@ -589,15 +594,15 @@ def sync_snapshot(spark, folder):
 
 @query(
     f"""SELECT f.o_orderkey, f.o_orderstatus, 'updates' AS kind, 'succeeded' AS status
-        FROM {FEED} f JOIN {LAYER_2000} l ON f.o_orderkey = l.o_orderkey
+        FROM {FEED} f JOIN {RENUMBERED} l ON f.o_orderkey = l.o_orderkey
         UNION ALL SELECT o_orderkey, o_orderstatus, 'adds', 'succeeded' FROM {FEED}
-        WHERE o_orderkey NOT IN (SELECT o_orderkey FROM {LAYER_2000})
-        UNION ALL SELECT o_orderkey, NULL, 'deletes', 'succeeded' FROM {LAYER_2000}
+        WHERE o_orderkey NOT IN (SELECT o_orderkey FROM {RENUMBERED})
+        UNION ALL SELECT o_orderkey, NULL, 'deletes', 'succeeded' FROM {RENUMBERED}
         WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)"""
 )
 def sync_results(spark, folder):
     """Every edit next to the input row it came from."""
-    outcome = on.orders_before_2000(spark, folder).sync(
+    outcome = on.orders_renumbered(spark, folder).sync(
         on.order_feed(spark, folder), ["o_orderkey"], apply_coded_values=True
     )
     return outcome.results.to_frame().select(
@@ -626,7 +631,7 @@ def append_snapshot(spark, folder):
 
 
 def _price_updates(spark, folder):
-    """New prices for every order, also those the layer of 1999 does not have."""
+    """New prices for every order by its first number, which the layer may not have."""
     rows = on.order_rows(spark, folder)
     return rows.select("objectid", (F.col("o_totalprice") * 2).alias("o_totalprice"))
 
@@ -635,11 +640,11 @@ def _price_updates(spark, folder):
     f"""SELECT 'updates' AS kind, o.objectid AS object_id, l.objectid IS NOT NULL AS success,
                CASE WHEN l.objectid IS NULL
                     THEN 'Object id ' || o.objectid || ' does not exist.' END AS description
-        FROM {ORDER_ROWS} o LEFT JOIN {LAYER_2000} l ON l.objectid = o.objectid"""
+        FROM {ORDER_ROWS} o LEFT JOIN {RENUMBERED} l ON l.objectid = o.objectid"""
 )
 def edits_no_rollback(spark, folder):
     """Without rollback each edit stands alone."""
-    outcome = on.orders_before_2000(spark, folder).apply_edits(
+    outcome = on.orders_renumbered(spark, folder).apply_edits(
         updates=_price_updates(spark, folder), rollback_on_failure=False
     )
     return outcome.items.select(
@@ -648,10 +653,11 @@ def edits_no_rollback(spark, folder):
 
 
 @query(
-    f"SELECT objectid, o_totalprice * 2 AS o_totalprice FROM {LAYER_2000}"
+    f"""SELECT objectid, CASE WHEN objectid < {on.RENUMBERED} THEN o_totalprice * 2
+                              ELSE o_totalprice END AS o_totalprice FROM {RENUMBERED}"""
 )
 def edits_no_rollback_snapshot(spark, folder):
-    outcome = on.orders_before_2000(spark, folder).apply_edits(
+    outcome = on.orders_renumbered(spark, folder).apply_edits(
         updates=_price_updates(spark, folder), rollback_on_failure=False
     )
     return outcome.rows.select("objectid", "o_totalprice")
@@ -673,9 +679,23 @@ _FIVE_DELETES = batches.OVERHEAD_BYTES + 45
 )
 def edits_rollback(spark, folder):
     """With rollback one bad delete fails its whole batch, and no other."""
+    return _rolled_back(spark, folder, on.table(spark, folder, "orders"))
+
+
+@query(SQL["edits_rollback"])
+def edits_rollback_many_tasks(spark, folder):
+    """The same edits from many tasks: batches and verdicts stay."""
+    return _rolled_back(spark, folder, _in_tasks(on.table(spark, folder, "orders")))
+
+
+def _in_tasks(rows: DataFrame) -> DataFrame:
+    return rows.repartitionByRange(7, "o_orderkey").sortWithinPartitions("o_orderkey")
+
+
+def _rolled_back(spark, folder, edited: DataFrame) -> DataFrame:
     shifted = F.col("o_orderkey") + _SHIFT
-    rows = on.orders_before_2000(spark, folder).rows.withColumn("objectid", shifted)
-    ids = on.table(spark, folder, "orders").select(shifted.alias("objectid"))
+    rows = on.orders_renumbered(spark, folder).rows.withColumn("objectid", shifted)
+    ids = edited.select(shifted.alias("objectid"))
     outcome = Layer(rows, on.ORDERS).apply_edits(deletes=ids, max_batch_bytes=_FIVE_DELETES)
     return outcome.results.metadata_frame().select(
         "object_id", (F.col("status") == "succeeded").alias("success"), "error_code"
@@ -695,13 +715,21 @@ def edit_bodies(spark, folder):
     return on.orders(spark, folder).edit_bodies(deletes=ids, max_batch_bytes=_FIVE_DELETES)
 
 
+@query(SQL["edit_bodies"])
+def edit_bodies_many_tasks(spark, folder):
+    """The same bodies from many tasks."""
+    rows = _in_tasks(on.table(spark, folder, "orders"))
+    ids = rows.select((F.col("o_orderkey") + _SHIFT).alias("objectid"))
+    return on.orders(spark, folder).edit_bodies(deletes=ids, max_batch_bytes=_FIVE_DELETES)
+
+
 @query(
     f"""SELECT objectid, o_totalprice * 2 AS o_totalprice FROM {ORDER_ROWS}
         WHERE o_orderdate >= TIMESTAMP '2000-01-01'"""
 )
 def result_filter_failed(spark, folder):
     """The rejected input rows as they came, ready for another try."""
-    outcome = on.orders_before_2000(spark, folder).apply_edits(
+    outcome = on.orders_renumbered(spark, folder).apply_edits(
         updates=_price_updates(spark, folder), rollback_on_failure=False
     )
     rejected = outcome.results.filter(kinds="updates", statuses=["failed", "unknown"])
@@ -710,7 +738,7 @@ def result_filter_failed(spark, folder):
 
 @query("SELECT count(*) > 0 AS has_failures FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01'")
 def has_failures(spark, folder):
-    outcome = on.orders_before_2000(spark, folder).apply_edits(
+    outcome = on.orders_renumbered(spark, folder).apply_edits(
         deletes=on.order_rows(spark, folder).select("objectid"), rollback_on_failure=False
     )
     return results.any_failure(outcome.items)
@@ -733,7 +761,17 @@ def has_failures(spark, folder):
 )
 def batch_packing(spark, folder):
     """Deletes packed into requests of 20,000 bytes, in order."""
-    ids = stage(tag_input(on.table(spark, folder, "orders").select("o_orderkey")), "deletes")
+    return _packed_deletes(on.table(spark, folder, "orders"))
+
+
+@query(SQL["batch_packing"])
+def batch_packing_many_tasks(spark, folder):
+    """The same batches from many tasks."""
+    return _packed_deletes(_in_tasks(on.table(spark, folder, "orders")))
+
+
+def _packed_deletes(rows: DataFrame) -> DataFrame:
+    ids = stage(tag_input(rows.select("o_orderkey")), "deletes")
     edits = ids.select(
         F.lit(2).alias("kind_rank"),
         F.col("_seq").alias("seq"),
