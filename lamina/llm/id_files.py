@@ -29,7 +29,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.llm.common import slices, texts_of
@@ -240,9 +240,12 @@ def write_ids(
     )
     written = ordered.mapInArrow(run, "file long, uri string, n_docs long, n_ids long")
     files = (staging or Staging(docs.sparkSession)).write(written, "id-files")
-    # One row per file: few enough for one task whatever the documents are.
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    return files.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
+    # One short row per writing task, whatever the documents are.
+    listed = files.toPandas().sort_values("file", ignore_index=True)
+    listed["start"] = listed["n_ids"].cumsum() - listed["n_ids"]
+    return docs.sparkSession.createDataFrame(
+        listed, "file long, uri string, n_docs long, n_ids long, start long"
+    )
 
 
 def read_ids(files: DataFrame) -> DataFrame:
@@ -275,8 +278,7 @@ def _per_document(files: DataFrame, column: str, value, kind) -> DataFrame:
             arrays, names=["doc_id", "start", "n_tokens", column.split()[0]]
         )
 
-    tasks = max(1, files.count())
-    dealt = files.repartition(tasks, "file")
+    dealt = files.repartition(max(2, files.count()), "file")
     return dealt.mapInArrow(run, f"doc_id long, start long, n_tokens long, {column}")
 
 
