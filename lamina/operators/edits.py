@@ -266,7 +266,7 @@ class EditJob:
             elif kind == "adds":
                 checks.append(F.lit(f"Field '{n}' cannot be null."))
         if geometry is not None:
-            text = F.concat(F.lit("Unsupported geometry type: "), geometry["type"], F.lit("."))
+            text = F.concat(F.lit("A geometry of type "), geometry["type"], F.lit(" cannot be stored."))
             checks.append(F.when(geo.is_unsupported(geometry), text))
         return F.coalesce(*checks, F.lit(None).cast("string"))
 

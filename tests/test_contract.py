@@ -83,7 +83,7 @@ def test_out_fields(contract, given, names):
 
 @pytest.mark.parametrize("given", ["Ghost", "Foo,Bar", "name", "Name, Score"])
 def test_unknown_out_fields(contract, given):
-    with pytest.raises(InvalidParameterError, match="Unknown field names"):
+    with pytest.raises(InvalidParameterError, match="No such columns"):
         contract.resolve_out_fields(given)
 
 

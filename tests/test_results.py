@@ -100,7 +100,7 @@ def test_arguments(mixed):
         mixed.filter(statuses="ok")
     with pytest.raises(InvalidParameterError, match="cannot both"):
         mixed.to_frame(include_input=False, include_metadata=False)
-    with pytest.raises(InvalidParameterError, match="already exist"):
+    with pytest.raises(InvalidParameterError, match="columns of its own|metadata_prefix"):
         clash = {"adds": mixed.inputs["adds"].withColumn("kind", F.lit(1))}
         EditResults(mixed.items, clash).to_frame(metadata_prefix="")
 
