@@ -17,7 +17,6 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -97,7 +96,7 @@ def encoded(docs: DataFrame, path: str, end_id: int, staging: Staging) -> DataFr
 
 
 def with_key(points: DataFrame) -> DataFrame:
-    """Adds ``key``: the place on the curve, by the corpus's own centre and spread."""
+    """doc_id, ids and ``key``: the place on the curve, by the corpus's own centre and spread."""
     names = [f"v{d}" for d in range(DIMENSIONS)]
     found = points.agg(
         *[F.avg(n).alias(f"m{n}") for n in names], *[F.stddev_pop(n).alias(f"s{n}") for n in names]
@@ -105,13 +104,16 @@ def with_key(points: DataFrame) -> DataFrame:
     middle = [found[f"m{n}"] or 0.0 for n in names]
     spread = [found[f"s{n}"] or 1.0 for n in names]
 
-    @F.pandas_udf("long")
-    def key_of(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
-        at = (np.column_stack([a, b, c]) - middle) / spread
-        cells = ((at + 3) / 6 * (1 << BITS)).clip(0, (1 << BITS) - 1).astype(np.int64)
-        return pd.Series(hilbert(cells))
+    def run(batches):
+        for batch in batches:
+            at = (np.column_stack([batch.column(n).to_numpy() for n in names]) - middle) / spread
+            cells = ((at + 3) / 6 * (1 << BITS)).clip(0, (1 << BITS) - 1).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("ids"), pa.array(hilbert(cells))],
+                names=["doc_id", "ids", "key"],
+            )
 
-    return points.withColumn("key", key_of(*names)).drop(*names)
+    return points.mapInArrow(run, "doc_id long, ids binary, key long")
 
 
 def powers(rest: int) -> list[int]:
