@@ -185,9 +185,14 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
     """The rows of ``docs`` the model does not reject, all columns as they are."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score_of(texts):
+    text, names = docs.columns.index("text"), [f"c{i}" for i in range(len(docs.columns))]
+
+    def run(batches):
         score = held.value.scorer()
-        return texts.map(score).astype(float)
+        for batch in slices(batches, 2000):
+            kept = [score(t or "") < threshold for t in batch.column(text).to_pylist()]
+            yield batch.filter(pa.array(kept, pa.bool_()))
 
-    return docs.where(score_of(F.coalesce(docs["text"], F.lit(""))) < threshold)
+    # By place, not by name: other columns may share a name.
+    placed = docs.toDF(*names)
+    return placed.mapInArrow(run, placed.schema).toDF(*docs.columns)
