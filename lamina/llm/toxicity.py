@@ -116,7 +116,9 @@ def train(
         pull = pace * sparsity / (np.sqrt(second[:-1] / (1 - 0.99**step)) + 1e-6)
         w = np.sign(w) * np.maximum(np.abs(w) - pull, 0)
     weights[used] = w
-    return Model(weights, float(bias))
+    # A text without any of these features is no likelier toxic than the prior says; steps
+    # against noise in a small sample can leave the bias above that.
+    return Model(weights, float(min(bias, np.log(prior / (1 - prior)))))
 
 
 def features_of(docs: DataFrame) -> DataFrame:
