@@ -224,8 +224,8 @@ def near_groups(
     reps = with_id.join(
         first.select("set_key", F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi"
     )
-    reps = reps.groupBy("doc_id").agg(F.min(F.struct("set_key", "bands", "s0", "s1")).alias("x"))
-    sketches = staging.write(reps.select("doc_id", "x.s0", "x.s1"), "near-sketches")
+    reps = reps.groupBy("doc_id").agg(F.min(F.struct("set_key", "bands", "s0", "s1", "n_shingles")).alias("x"))
+    sketches = staging.write(reps.select("doc_id", "x.s0", "x.s1", "x.n_shingles"), "near-sketches")
     placed = buckets(reps.select("doc_id", "x.bands"))
     least = placed.groupBy("bucket").agg(
         F.min("doc_id").alias("centre"), F.count(F.lit(1)).alias("n")
@@ -260,12 +260,16 @@ def near_groups(
         x, y = (
             open_members.select(
                 "bucket",
-                *[F.col(c).alias(f"{d}_{c}") for c in ("doc_id", "component", "s0", "s1")],
+                *[F.col(c).alias(f"{d}_{c}") for c in ("doc_id", "component", "s0", "s1", "n_shingles")],
             )
             for d in "ab"
         )
         bits = "bit_count(a_s0 ^ b_s0) + bit_count(a_s1 ^ b_s1)"
-        chance = f"a_doc_id < b_doc_id AND a_component <> b_component AND {bits} <= {MOST_BITS}"
+        sizes = "least(a_n_shingles, b_n_shingles) * 100 >= greatest(a_n_shingles, b_n_shingles)"
+        chance = (
+            f"a_doc_id < b_doc_id AND a_component <> b_component AND {sizes} * {percent} "
+            f"AND {bits} <= {MOST_BITS}"
+        )
         across = (
             x.join(y, "bucket")
             .where(chance)
