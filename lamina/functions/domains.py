@@ -60,7 +60,7 @@ def recode_domains(
     """
     direction_key = "to_name" if direction == "from_esri" else "to_code"
     dtypes = {f.name: f.dataType for f in df.schema}
-    report, literal_columns, joins = CoercionReport(df), {}, []
+    report, recoded, looked_up, out = CoercionReport(df), {}, [], df
     for name, domain in fields.domain_maps.items():
         if name not in dtypes:
             continue
@@ -68,32 +68,30 @@ def recode_domains(
         if direction == "to_esri" and not isinstance(dtype, T.StringType):
             continue  # values that are not text cannot be names: they stay codes
         if len(lookup) > MAX_LITERAL_ENTRIES:
-            joins.append((name, dtype, lookup))
-            continue
-        found = mapped(c, dtype, lookup)
-        literal_columns[name] = F.coalesce(found, c.cast("string"))
+            looked_up.append(f"_entry{len(looked_up)}")
+            out = _with_entry(out, c, dtype, lookup, looked_up[-1])
+            found = F.col(looked_up[-1])
+        else:
+            found = mapped(c, dtype, lookup)
+        recoded[name] = F.coalesce(found, c.cast("string"))
         report.add(name, "mapped", found.isNotNull())
         report.add(name, "unmapped", c.isNotNull() & found.isNull())
-    out = report.observe(df) if observe else df
-    if literal_columns:
-        out = out.withColumns(literal_columns)
-    for name, dtype, lookup in joins:
-        out = _recode_by_join(out, name, dtype, lookup)
-    return out, report
+    if observe:
+        out = report.observe(out)
+    if recoded:
+        out = out.withColumns(recoded)
+    return out.drop(*looked_up), report
 
 
-def _recode_by_join(df: DataFrame, name: str, dtype: T.DataType, lookup: dict) -> DataFrame:
+def _with_entry(df: DataFrame, c: Column, dtype: T.DataType, lookup: dict, entry: str) -> DataFrame:
+    """``df`` with the looked-up text as column ``entry``, null where there is none."""
     entries = _entries(lookup, dtype)
     table = df.sparkSession.createDataFrame(
-        entries, f"_key {'double' if isinstance(dtype, NUMBERS) else 'string'}, _value string"
+        entries, f"_key {'double' if isinstance(dtype, NUMBERS) else 'string'}, {entry} string"
     )
     if len(entries) <= MAX_BROADCAST_ENTRIES:
         table = F.broadcast(table)
-    c = F.col(f"`{name}`")
-    joined = df.join(table, _lookup_key(c, dtype) == F.col("_key"), "left")
-    return joined.withColumn(name, F.coalesce(F.col("_value"), c.cast("string"))).drop(
-        "_key", "_value"
-    )
+    return df.join(table, _lookup_key(c, dtype) == F.col("_key"), "left").drop("_key")
 
 
 def mixed_columns(counts: dict[str, int]) -> list[str]:
