@@ -112,3 +112,61 @@ def test_negative_risk_does_not_fit_noise():
     rows = [np.array([k]) for k in range(40)]
     positive = np.arange(40) < 20
     assert abs(toxicity.train(rows, positive, 0.1).weights).max() == 0
+
+
+def test_many_words_exchange_as_one():
+    draw = np.random.default_rng(5)
+    counts = draw.integers(1000, 2000, (class_lm.ALL_CLASSES,) * 2).astype(float)
+    own = draw.integers(0, class_lm.CLASSES, 30)
+    sides = draw.integers(0, 9, (30, 2 * class_lm.ALL_CLASSES)) * (draw.random((30, 2 * class_lm.ALL_CLASSES)) < 0.1)
+    sides[np.arange(30), own] = 5
+    sides[:, -1] = 1
+    at, place = np.nonzero(sides)
+    found = class_lm.best_classes(own, at, place, sides[at, place].astype(float), counts)
+    halves = class_lm.ALL_CLASSES
+    want = [class_lm.best_class(k, s[:halves].astype(float), s[halves:].astype(float), counts) for k, s in zip(own, sides)]
+    assert found.tolist() == want and (found != own).any()
+
+
+def test_every_repeated_word_is_clustered(spark, monkeypatch):
+    """Words beyond the broadcast tier have a class of the exchange too, and score by it."""
+    draw = np.random.default_rng(6)
+    kinds = [[f"{c}{i:03}" for i in range(300)] for c in ("a" * class_lm.LONGEST, "b")]
+    texts = [" ".join(kinds[k % 2][draw.integers(300)] for k in range(60)) for _ in range(100)]
+    rows = [(i, t + (" once" if i == 0 else "")) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    states = []
+    found_by = class_lm.exchange
+    monkeypatch.setattr(class_lm, "exchange", lambda *a: states.append(found_by(*a)) or states[-1])
+    found = class_lm.score_texts(docs).collect()
+    state, fits = states[0]
+    training = [t.split() for i, t in rows if not held_out(i, 7)]
+    counts = Counter(w.encode() for t in training for w in t)
+    often = [w for w in counts if counts[w] >= class_lm.LEAST]
+    top = sorted((w for w in often if len(w) <= class_lm.LONGEST), key=lambda w: (-counts[w], w))
+    own = dict(zip(top, state.classes.tolist()))
+    joined = {r["item"]: r["own"] for r in state.tail.collect()}
+    own |= {w: joined[class_lm.tail_item(w)] for w in often if w not in top}
+    assert len(own) == len(often) > 70 and max(own.values()) < class_lm.CLASSES
+    assert state.fit == max(fits) > fits[0]
+    of = [[class_lm.END_CLASS] + [own.get(w.encode(), class_lm.CLASSES + class_lm.shape_of(w.encode())) for w in t]
+          + [class_lm.END_CLASS] for t in training]
+    pairs = Counter(p for t in of for p in zip(t, t[1:]))
+    assert {k: n for k, n in np.ndenumerate(state.counts) if n} == pairs
+    each, rare = state.counts.sum(axis=0), class_lm.shape_totals(spark.createDataFrame(
+        [(bytearray(w), n) for w, n in counts.items()], "word binary, n long"))
+    share = (each + 1) / (each.sum() + class_lm.ALL_CLASSES)
+    step = np.log10((state.counts + class_lm.ALL_CLASSES * share) / (state.counts.sum(axis=1, keepdims=True) + class_lm.ALL_CLASSES))
+    by_id = dict(rows)
+    for r in found:
+        words = [w.encode() for w in by_id[r.doc_id].split()]
+        classes = [own.get(w, class_lm.CLASSES + class_lm.shape_of(w)) for w in words]
+        path = [class_lm.END_CLASS, *classes, class_lm.END_CLASS]
+        want = step[path[:-1], path[1:]].sum()
+        for w, c in zip(words, classes):
+            if w in own:
+                want += math.log10(counts[w] / each[c])
+            else:
+                held, n = rare[class_lm.shape_of(w)]
+                want += math.log10((counts[w] + 0.5) / (held + 0.5 * (n + 1)))
+        assert r.score == pytest.approx(want)
