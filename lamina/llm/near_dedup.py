@@ -23,6 +23,7 @@ no links and are returned as their own component (null). Extra columns are not r
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -35,12 +36,10 @@ from lamina.llm.shingles import Shingler
 from lamina.llm.units import of_worker
 from lamina.session import Staging
 
-SLOTS, ROWS = 128, 4
-BANDS = SLOTS // ROWS
-#: Sketches of 128 slots differ in 16 bits on average at a similarity of 0.75, and in
-#: more than 38 about once in ten million pairs.
-MOST_BITS = 38
+SLOTS = 128
 PERCENT = 75
+#: Of pairs just similar enough, so many may share no band, or differ in too many bits.
+NO_BAND, TOO_MANY_BITS = 1e-5, 1e-7
 #: Hash values of a set that are drawn for at once.
 AT_ONCE = 1 << 15
 
@@ -67,14 +66,33 @@ def super_minhash(elements: np.ndarray, slots: int = SLOTS) -> np.ndarray:
     return best
 
 
-def band_keys(signature: np.ndarray, rows: int = ROWS) -> np.ndarray:
+def band_rows(percent: int) -> int:
+    """Slots of a band: the most that leave a pair of this similarity a shared band."""
+    for rows in (16, 8, 4, 2, 1):
+        if (1 - (percent / 100) ** rows) ** (SLOTS // rows) <= NO_BAND:
+            return rows
+    raise ValueError(f"{SLOTS} slots cannot find pairs of {percent} percent.")
+
+
+def most_bits(percent: int) -> int:
+    """Bits in which sketches of a pair of this similarity differ at most: a slot that is not
+    alike, of which there are 1 - similarity, has another bit half of the time."""
+    differ, beyond = (1 - percent / 100) / 2, 1.0
+    for bits in range(SLOTS):
+        beyond -= math.comb(SLOTS, bits) * differ**bits * (1 - differ) ** (SLOTS - bits)
+        if beyond <= TOO_MANY_BITS:
+            return bits
+    return SLOTS
+
+
+def band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
     keys = np.zeros(len(signature) // rows, np.uint64)
     for i in range(rows):
         keys = mix(keys * np.uint64(31) + signature[i::rows][: len(keys)])
     return keys
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, rows: int) -> DataFrame:
     """doc_id, n_shingles, set_key (digest of the set), bands (keys, 8 bytes each) and sketch
     (one bit of each slot, as two longs)."""
 
@@ -87,7 +105,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 n.append(len(own))
                 keys.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
                 signature = super_minhash(own)
-                bands.append(band_keys(signature).tobytes() if len(own) else b"")
+                bands.append(band_keys(signature, rows).tobytes() if len(own) else b"")
                 bits = np.packbits((mix(signature) & np.uint64(1)).astype(np.uint8))
                 sketches.append(bits.view(np.int64))
             sketches = np.array(sketches).reshape(-1, SLOTS // 64)
@@ -102,8 +120,9 @@ def signatures(docs: DataFrame) -> DataFrame:
     )
 
 
-def buckets(reps: DataFrame) -> DataFrame:
+def buckets(reps: DataFrame, rows: int) -> DataFrame:
     """doc_id and bucket (band number and key as one hash) for each band of each set."""
+    bands = SLOTS // rows
 
     def run(batches):
         for batch in batches:
@@ -111,9 +130,9 @@ def buckets(reps: DataFrame) -> DataFrame:
             keys = [np.frombuffer(b, np.uint64) for b in batch.column("bands").to_pylist()]
             if not len(ids):
                 continue
-            own = mix(np.stack(keys) ^ mix(np.arange(1, BANDS + 1)))
+            own = mix(np.stack(keys) ^ mix(np.arange(1, bands + 1)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(ids, BANDS)), pa.array(own.ravel().view(np.int64))],
+                [pa.array(np.repeat(ids, bands)), pa.array(own.ravel().view(np.int64))],
                 names=["doc_id", "bucket"],
             )
 
@@ -211,7 +230,8 @@ def near_groups(
     """doc_id, n_shingles, component_id, kept for every row."""
     spark = docs.sparkSession
     staging = staging or Staging(spark)
-    rows = staging.write(signatures(docs), "near-signatures")
+    in_band, limit = band_rows(percent), most_bits(percent)
+    rows = staging.write(signatures(docs, in_band), "near-signatures")
     with_id = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
     first = with_id.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
     # Members of one set, and rows of one id, are links of their own.
@@ -226,7 +246,7 @@ def near_groups(
     )
     reps = reps.groupBy("doc_id").agg(F.min(F.struct("set_key", "bands", "s0", "s1", "n_shingles")).alias("x"))
     sketches = staging.write(reps.select("doc_id", "x.s0", "x.s1", "x.n_shingles"), "near-sketches")
-    placed = buckets(reps.select("doc_id", "x.bands"))
+    placed = buckets(reps.select("doc_id", "x.bands"), in_band)
     least = placed.groupBy("bucket").agg(
         F.min("doc_id").alias("centre"), F.count(F.lit(1)).alias("n")
     )
@@ -268,7 +288,7 @@ def near_groups(
         sizes = "least(a_n_shingles, b_n_shingles) * 100 >= greatest(a_n_shingles, b_n_shingles)"
         chance = (
             f"a_doc_id < b_doc_id AND a_component <> b_component AND {sizes} * {percent} "
-            f"AND {bits} <= {MOST_BITS}"
+            f"AND {bits} <= {limit}"
         )
         across = (
             x.join(y, "bucket")

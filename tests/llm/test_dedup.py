@@ -119,3 +119,45 @@ def test_suffix_ranks():
         order = sorted(range(len(text)), key=lambda i: text[i:])
         ranks = suffix_array.suffix_ranks(np.array(text, np.int64)).tolist()
         assert [ranks[i] for i in order] == list(range(1, len(text) + 1))
+
+
+def plain_components(rows, percent):
+    """Every pair of documents by its five-word shingles, as sets of words and not of hashes."""
+    sets = {}
+    for i, t, *_ in rows:
+        words = lower(t).split()
+        k = min(5, len(words))
+        sets[i] = {tuple(words[a : a + k]) for a in range(len(words) - k + 1)} if words else set()
+    root = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            both = len(sets[a] & sets[b])
+            if a < b and both and 100 * both >= percent * len(sets[a] | sets[b]) and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = {i: low if r == high else r for i, r in root.items()}
+    return root
+
+
+@pytest.mark.parametrize("percent", [50, 75])
+def test_near_by_all_pairs(spark, percent):
+    """Chains of texts of which a part of the words changes, at similarities around the limit."""
+    import random
+
+    draw, rows = random.Random(8), []
+    for chain in range(60):
+        words = [f"c{chain}w{k}" for k in range(80)]
+        for _ in range(3):
+            rows.append((len(rows) + 1, " ".join(words)))
+            start, size = draw.randrange(40), draw.choice([3, 6, 15, 21, 22, 40])
+            words[start : start + size] = [f"x{draw.random()}" for _ in range(size)]
+    found = near_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), percent).collect()
+    want = plain_components(rows, percent)
+    assert {r.doc_id: r.component_id for r in found} == want
+    assert 60 < len(set(want.values())) < 180
+
+
+def test_bands_and_bits_follow_the_similarity():
+    assert (near_dedup.band_rows(75), near_dedup.most_bits(75)) == (4, 38)
+    assert near_dedup.band_rows(50) == 2 and near_dedup.most_bits(50) > 38
+    with pytest.raises(ValueError):
+        near_dedup.band_rows(5)
