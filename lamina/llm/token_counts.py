@@ -1,9 +1,10 @@
 """Token counts of whole texts by lookups in two tiers, with no shuffle at all.
 
-The first tier is a broadcast table, pre-token to number of tokens, of the pre-tokens the
-tokenizer's vocabulary holds whole: the strings its own training found most frequent, so
-its size is bounded by the vocabulary and not by the data. What it misses is encoded by
-the library and kept in a bounded cache of the worker.
+A worker looks each word up in a bounded cache of its own first. What the cache misses is cut
+into pre-tokens, and these are looked up in a broadcast table, pre-token to number of tokens, of
+those the tokenizer's vocabulary holds whole: the strings its own training found most frequent, so
+its size is bounded by the vocabulary and not by the data. What the table misses too is encoded by
+the library and kept in a second cache. A text that cannot be cut into words goes to the library whole.
 
 A null or empty text counts 0 tokens. Rows are independent: repeated rows and ids give
 repeated results, extra columns are not read, an empty table gives an empty result.
@@ -28,7 +29,7 @@ def frequent_lengths(path: str, longest: int = 32) -> dict[str, int]:
 
 
 class Counter:
-    """Counts a text's tokens: broadcast table, then the worker's caches, then the library."""
+    """Counts a text's tokens: the worker's cache of words, then broadcast table, then the library."""
 
     def __init__(self, path: str, frequent: dict[str, int]):
         self.units = Units(path)
