@@ -54,7 +54,8 @@ STAGES = [
     ("substring dedup", unrepeated),
     ("packing", packed),
 ]
-#: Signatures, trained scores and suffix arrays are beyond SQL; the tests have a plain version.
+#: Signatures, trained scores and suffix arrays are beyond SQL; the tests compare near and
+#: substring dedup with plain versions and check properties of the stages, not the whole.
 ORACLE_SQL = None
 
 
