@@ -8,6 +8,7 @@ import time
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +50,23 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
             yield batch.slice(start, rows)
 
 
+def slices_by_size(
+    batches: Iterator[pa.RecordBatch], column: str, rows: int, n_bytes: int
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``, and of ``n_bytes`` of ``column`` where
+    more than one row is left to a batch."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        start, held = 0, 0
+        for at, size in enumerate(sizes):
+            if at > start and (held + size > n_bytes or at - start >= rows):
+                yield batch.slice(start, at - start)
+                start, held = at, 0
+            held += size
+        if start < len(sizes):
+            yield batch.slice(start)
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner remove shuffle files of finished steps before the next one writes its own.
 

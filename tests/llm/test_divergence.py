@@ -1,0 +1,150 @@
+"""The divergence audit against a plain version, and its parts by their rules."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from lamina.llm import divergence
+from lamina.session import Staging
+from pyspark.sql import functions as F
+
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+WORDS = ["a", "B", "Be", "Été", "ÉTÉ", "x1y", "日本", "don't", "zz-top", "\x80", "ß", "long" * 40, "q"]
+
+
+def plain_audit(rows, least=3, top=200):
+    docs = [(lang or "", source or "", TERM.findall((text or "").translate(LOWER))) for lang, source, text in rows]
+    groups = sorted({d[:2] for d in docs})
+    df, n = Counter(), Counter()
+    for lang, source, terms in docs:
+        df.update((lang, t) for t in set(terms))
+        n.update((lang, source, t) for t in terms)
+    kept = defaultdict(list)
+    for (lang, t), d in df.items():
+        if d >= least:
+            kept[lang].append(t)
+
+    def shares(count, lang):
+        total = sum(count(t) for t in kept[lang]) + len(kept[lang])
+        return {t: 1 + 10**9 * (count(t) + 1) // total for t in kept[lang]}
+
+    p = {g: shares(lambda t, g=g: n[(*g, t)], g[0]) for g in groups}
+    sources = defaultdict(list)
+    for lang, source in groups:
+        sources[lang].append(source)
+    q = {
+        lang: shares(lambda t, lang=lang: sum(n[lang, s, t] for s in sources[lang]), lang)
+        for lang in sources
+    }
+    out = []
+    for lang, source in groups:
+        own = p[lang, source]
+        pairs = [
+            (s, sum((own[t] - x) ** 2 // x for t, x in p[lang, s].items()))
+            for s in sources[lang] if s != source
+        ]
+        terms = [
+            (t, (own[t] - x) ** 2 // x)
+            for t, x in q[lang].items() if n[lang, source, t] and own[t] > x
+        ]
+        for part, found in (("pair", pairs), ("term", terms)):
+            found.sort(key=lambda f: (-f[1], f[0].encode()))
+            found = found if part == "pair" else found[:top]
+            out += [(lang, source, part, item, v, i + 1) for i, (item, v) in enumerate(found)]
+    return sorted(out)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    draw = random.Random(4)
+    made = [
+        (draw.choice(["en", "de", None, ""]), draw.choice(["s0"] * 4 + ["s1", "s2", None]),
+         " ".join(draw.choices(WORDS, k=draw.randint(0, 30))))
+        for _ in range(150)
+    ]
+    made += [("en", "quiet", None), ("en", "quiet", " 12 34 "), ("fr", "only", "a few words"), ("fr", "other", "few")]
+    return made + made[:3] + [("en", "s1", "very " * 30_000)]
+
+
+def frame(spark, rows):
+    schema = "lang string, source string, text string, term string, n int, bucket int"
+    return spark.createDataFrame([(*r, "x", 1, 2) for r in rows], schema).repartition(5)
+
+
+@pytest.mark.parametrize("least, top", [(3, 200), (1, 5), (2, 1), (1000, 200)])
+def test_audit_equals_plain_version(spark, rows, least, top):
+    """Null, empty and long texts, repeated rows, clashing names, languages without kept terms."""
+    found = divergence.audit(frame(spark, rows), Staging(spark), least=least, top=top)
+    columns = ("lang", "source", "part", "item", "value", "rank")
+    assert sorted(tuple(r) for r in found.select(*columns).collect()) == plain_audit(rows, least, top)
+
+
+def test_empty_table(spark, rows):
+    assert divergence.audit(frame(spark, rows).limit(0), Staging(spark)).count() == 0
+
+
+def test_tasks_pass_counts_on(spark, rows, monkeypatch):
+    monkeypatch.setattr(divergence, "HELD_TERMS", 3)
+    import pyarrow as pa
+
+    columns = list(zip(*[tuple(x or "" for x in r) for r in rows]))
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["lang", "source", "text"])
+    parts = list(divergence.count_terms([batch]))
+    n, df = Counter(), Counter()
+    for part in parts:
+        for r in part.to_pylist():
+            n[r["lang"], r["source"], r["term"]] += r["n"]
+            df[r["lang"], r["term"]] += r["df"]
+    terms = [(a, b, TERM.findall(t.translate(LOWER))) for a, b, t in zip(*columns)]
+    assert +n == Counter((a, b, t) for a, b, ts in terms for t in ts)
+    assert +df == Counter((a, t) for a, _, ts in terms for t in set(ts))
+    assert len(parts) > 5
+
+
+def test_shares_are_exact(spark):
+    draw = random.Random(2)
+    pairs = [(0, 1), (0, 2), (4, 5), (10**15, 4 * 10**15), (10**15 - 1, 10**15)]
+    pairs += [(c := draw.randint(0, 10**draw.randint(0, 15)), c + draw.randint(1, 10**15)) for _ in range(300)]
+    df = spark.createDataFrame(pairs, "c long, t long")
+    for c, t, p in df.select("c", "t", divergence.share(F.col("c"), F.col("t"))).collect():
+        assert p == 1 + 10**9 * (c + 1) // t
+
+
+@pytest.mark.parametrize("k", [1, 3, 10])
+def test_skyband_equals_counting_dominators(k):
+    draw = np.random.default_rng(k)
+    for size, spread in ((1, 3), (40, 3), (700, 12), (700, 1000)):
+        n, more = draw.integers(1, spread + 1, size), draw.integers(0, spread, size)
+        lang_n = n + more
+        terms = [f"t{i:04}" for i in draw.permutation(size)]
+        want = set()
+        for i in range(size):
+            above = sum(
+                n[j] >= n[i] and lang_n[j] <= lang_n[i] and terms[j] <= terms[i]
+                for j in range(size) if j != i
+            )
+            if above < k:
+                want.add(i)
+        found = divergence.skyband(n, lang_n, terms, k)
+        assert want == set(found.tolist()) and len(found) == len(want)
+
+
+def test_merged_skybands_hold_the_first_terms():
+    """Skybands of parts, merged in any order, keep whatever is among the first k by value."""
+    draw, k = random.Random(9), 5
+    rows = [(f"t{i:03}", c := draw.randint(1, 9), c + draw.randint(0, 9)) for i in range(300)]
+    value = {t: (c * 50 - m) ** 2 // m for t, c, m in rows}
+    left = []
+    for part in range(4):
+        left += band(rows[part::4], k)
+    left = band(left, k)
+    first = sorted(rows, key=lambda r: (-value[r[0]], r[0]))[:k]
+    assert {r[0] for r in first} <= {r[0] for r in left} and len(left) < len(rows)
+
+
+def band(rows, k):
+    terms, n, lang_n = zip(*rows)
+    return [rows[i] for i in divergence.skyband(np.array(n), np.array(lang_n), list(terms), k)]
