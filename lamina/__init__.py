@@ -9,6 +9,7 @@ from lamina.errors import (
     LaminaError,
     LayerCapabilityError,
     MissingGeometryError,
+    StaleLayerError,
 )
 from lamina.layer import Layer
 from lamina.operators.attachments import AttachmentsQueryResult
@@ -29,4 +30,5 @@ __all__ = [
     "LayerStore",
     "MissingGeometryError",
     "QueryResult",
+    "StaleLayerError",
 ]

@@ -18,3 +18,7 @@ class LayerCapabilityError(LaminaError):
 
 class MissingGeometryError(LaminaError):
     """Geometry was asked for, but the rows carry none or no CRS is known."""
+
+
+class StaleLayerError(LaminaError):
+    """A stored layer has moved on since the version an edit was made from."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from dataclasses import replace
 from typing import Any
 
@@ -36,7 +37,10 @@ class Layer:
         attachments: DataFrame | None = None,
         store: LayerStore | None = None,
         attachment_store: LayerStore | None = None,
+        identity: str | None = None,
     ):
+        #: What tells this layer's global ids from another's; a store has its own.
+        self.identity = identity or uuid.uuid4().hex
         self._df, self.contract, self.store = df, contract, store
         self._attachments, self.attachment_store = attachments, attachment_store
         pin_utc(self.rows.sparkSession)
@@ -116,22 +120,35 @@ class Layer:
             rollback_on_failure = True
         state = {} if self.store is None else self.store.state()
         return EditJob(
-            self.rows,
+            self._df if self.store is None else self.store.read(state=state),
             self.contract,
             rollback_on_failure=rollback_on_failure,
             next_object_id=state.get("next_object_id"),
             buckets=state.get("buckets"),
+            identity=state.get("layer_id") or self.identity,
+            base=state or None,
             **kwargs,
         )
 
     def _commit(self, job: EditJob, outcome: EditOutcome) -> EditOutcome:
-        if self.store is None or not outcome.results.inputs:
+        """Write the buckets the edit touches, as the version after the one it was made from."""
+        change = outcome.change
+        if self.store is None or change is None:
             return outcome
-        next_id = job.next_object_id
-        version = self.store.commit(
-            outcome.rows, None if next_id is None else next_id + outcome.n_adds
+        base, added = job.base, change.added()
+        touched = change.touched(lambda key: self.store.bucket_of(key, base))
+        if added is not None:
+            touched = sorted({*touched, *self.store.crowded(base)})
+        new = change.rows(self.store.read(state=base, buckets=touched)) if touched else None
+        if added is not None:
+            new = added if new is None else new.unionByName(added)
+        self.store.commit(
+            new,
+            base=base,
+            replaced=touched,
+            next_object_id=job.next_object_id + outcome.n_adds if outcome.n_adds else None,
+            results=outcome.results.metadata_frame(),
         )
-        self.store.write_results(outcome.results.metadata_frame(), version)
         return replace(outcome, rows=self.store.read())
 
     def apply_edits(

@@ -7,6 +7,8 @@ new state of the layer, both derived from the written tables only.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from typing import Any
@@ -70,6 +72,7 @@ class EditOutcome:
     reports: dict[str, CoercionReport]
     n_adds: int = 0
     staging: Staging | None = None
+    change: LayerChange | None = None
 
     def release(self) -> None:
         """Delete the working tables. ``results`` and ``rows`` read them, so call this
@@ -82,11 +85,41 @@ class EditOutcome:
         return self.results.items
 
 
+@dataclass(frozen=True)
+class LayerChange:
+    """What an edit does to rows, for a store that rewrites only the buckets it touches."""
+
+    job: EditJob
+    items: DataFrame
+    pack: Pack
+
+    def touched(self, bucket_of: Callable[[Column], Column]) -> list[int]:
+        """Buckets of the rows that are updated or deleted, at most all buckets there are."""
+        kind = self.job.layer.schema[self.job.oid].dataType
+        done = self.items.where(F.col("success") & F.col("kind").isin("updates", "deletes"))
+        found = done.select(bucket_of(F.col("oid").cast(kind)).alias("bucket")).distinct()
+        return sorted(r["bucket"] for r in found.collect())
+
+    def rows(self, layer: DataFrame) -> DataFrame:
+        """These rows of the layer after its updates and deletes."""
+        return self.job.kept_rows(layer, self.items, self.pack)
+
+    def added(self) -> DataFrame | None:
+        return self.job.added_rows(self.items, self.pack)
+
+
 def tag_input(df: DataFrame) -> DataFrame:
     """``df`` with a row tag in input order; write it before using it twice."""
     return df.withColumn(SEQ, F.monotonically_increasing_id())
 
 
+def global_id(identity: str, number: Column) -> Column:
+    """The id a table of that identity gives the row of that number."""
+    digest = F.upper(F.md5(F.concat(F.lit(f"{identity}/"), number.cast("string"))))
+    parts = [F.substring(digest, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
+    return F.concat(F.lit("{"), F.concat_ws("-", *parts), F.lit("}"))
+
+
 def deletes_frame(deletes: Any, layer: DataFrame, objectid_field: str) -> DataFrame | None:
     """Deletes as a DataFrame with the object id column: a DataFrame is kept as it
     is, a list of ids becomes one column, None stays None."""
@@ -109,6 +142,8 @@ class EditJob:
         max_batch_bytes: int | None = None,
         next_object_id: int | None = None,
         buckets: int | None = None,
+        identity: str | None = None,
+        base: dict | None = None,
     ):
         self.max_bytes = DEFAULT_MAX_BATCH_BYTES if max_batch_bytes is None else max_batch_bytes
         check_batch_bytes(self.max_bytes)
@@ -118,6 +153,8 @@ class EditJob:
         self.apply_coded_values = apply_coded_values
         self.next_object_id = next_object_id
         self.buckets = buckets
+        self.identity = identity or uuid.uuid4().hex
+        self.base = base  # the stored version these rows are of
         self.staging = Staging(layer.sparkSession)
         self.inputs: dict[str, DataFrame] = {}
         self._is_merge = False
@@ -309,11 +346,13 @@ class EditJob:
         inputs = {k: df for k, df in self.inputs.items() if counts[k]}
         if not inputs:
             return EditOutcome(self._no_results(), self.layer, self.dropped, self.reports)
-        items = self.staging.write(self._items(pack.edits), "items")
+        items = self.staging.write(self._items(pack.edits, counts["adds"] > 0), "items")
         results = EditResults(items, inputs, self.oid)
-        rows = self._new_rows(items, pack)
+        change = LayerChange(self, items, pack)
+        rows, added = change.rows(self.layer), change.added()
+        rows = rows if added is None else rows.unionByName(added)
         return EditOutcome(
-            results, rows, self.dropped, self.reports, counts["adds"], self.staging
+            results, rows, self.dropped, self.reports, counts["adds"], self.staging, change
         )
 
     def _no_results(self) -> EditResults:
@@ -323,7 +362,7 @@ class EditJob:
         ) + ERROR_TYPE.simpleString()
         return EditResults(self.layer.sparkSession.createDataFrame([], schema), {}, self.oid)
 
-    def _items(self, packed: DataFrame) -> DataFrame:
+    def _items(self, packed: DataFrame, any_adds: bool) -> DataFrame:
         """Outcome of every packed edit; with rollback a batch stands or falls whole."""
         problem = F.col("problem")
         error = F.when(problem.isNotNull(), engine_error(problem))
@@ -345,7 +384,7 @@ class EditJob:
             )
         success = error.isNull()
         kind = F.get(F.array(*[F.lit(k) for k in KINDS]), F.col("kind_rank"))
-        new_id = F.lit(self._first_new_id()) + F.col("position")
+        new_id = F.lit(self._first_new_id() if any_adds else 0) + F.col("position")
         object_id = F.when(
             F.col("kind_rank") == 0, F.when(success, new_id).otherwise(F.lit(NO_OBJECT_ID))
         ).otherwise(F.coalesce(F.col("oid"), F.lit(NO_OBJECT_ID)))
@@ -368,38 +407,36 @@ class EditJob:
         return self.next_object_id
 
     def _global_id(self, new_id: Column) -> Column:
-        """A global id for a new row, always the same for the same object id; null for
-        layers without global ids."""
+        """A global id for a new row: one for each object id of a layer, and never one of
+        another layer's; null for layers without global ids."""
         if self.contract.globalid_field is None:
             return F.lit(None).cast("string")
-        digest = F.upper(
-            F.md5(F.concat(F.lit(f"{self.contract.description}/"), new_id.cast("string")))
-        )
-        parts = [F.substring(digest, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
-        return F.concat(F.lit("{"), F.concat_ws("-", *parts), F.lit("}"))
+        return global_id(self.identity, new_id)
 
     # ---- new rows ---------------------------------------------------------
 
-    def _new_rows(self, items: DataFrame, pack: Pack) -> DataFrame:
-        """The layer's rows after the successful edits: deletes win over updates, and
-        of several updates to one object id the last wins."""
+    def kept_rows(self, rows: DataFrame, items: DataFrame, pack: Pack) -> DataFrame:
+        """Rows of the layer after the successful updates and deletes: deletes win over
+        updates, and of several updates to one object id the last wins."""
         small = sizes.fits(sum(pack.counts.values()), pack.n_bytes)
         hint = F.broadcast if small else (lambda df: df)
-        done = items.where(F.col("success"))
-        rows, oid = self.layer, F.col(f"`{self.oid}`")
+        oid = F.col(f"`{self.oid}`")
         if pack.counts["deletes"]:
-            gone = done.where("kind = 'deletes'").select(F.col("oid").alias("_gone")).distinct()
+            done = items.where(F.col("success") & (F.col("kind") == "deletes"))
+            gone = done.select(F.col("oid").alias("_gone")).distinct()
             rows = rows.join(hint(gone), oid == F.col("_gone"), "left_anti")
         if pack.counts["updates"]:
             rows = self._updated(rows, hint(self._last_updates(items, pack, small)))
-        if pack.counts["adds"]:
-            if small or self._is_merge:
-                new = self._added(done.where("kind = 'adds'"))
-            else:
-                new = self._appended(items, pack)
-            rows = rows.unionByName(new)
         return rows
 
+    def added_rows(self, items: DataFrame, pack: Pack) -> DataFrame | None:
+        """New rows of the successful adds; None if there was nothing to add."""
+        if not pack.counts["adds"]:
+            return None
+        if self._is_merge or sizes.fits(sum(pack.counts.values()), pack.n_bytes):
+            return self._added(items.where(F.col("success") & (F.col("kind") == "adds")))
+        return self._appended(items, pack)
+
     def _typed(self, kind: str) -> tuple[list[str], DataFrame]:
         """Input rows of one kind with sent values in the layer's column types."""
         sent, _ = sent_frame(

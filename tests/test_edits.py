@@ -5,7 +5,14 @@ import pytest
 from conftest import LAYER_SCHEMA, STATUS, metadata, values
 from pyspark.sql import functions as F
 
-from lamina import InvalidParameterError, Layer, LayerCapabilityError, LayerContract, LayerStore
+from lamina import (
+    InvalidParameterError,
+    Layer,
+    LayerCapabilityError,
+    LayerContract,
+    LayerStore,
+    StaleLayerError,
+)
 from lamina.functions import geometry as geo
 from lamina.operators import batches, sizes, skew
 from lamina.operators.payloads import serialize_features, writable_columns
@@ -248,16 +255,16 @@ def test_store(spark, people, coded, tmp_path, buckets):
     assert outcome.rows.count() == layer.count() == 4
     assert before.count() == 3  # readers of the old version are undisturbed
     assert store.state()["version"] == 1
-    told = spark.read.parquet(str(tmp_path / "layer" / "results" / "v1"))
+    told = store.results(1)
     assert values(told, "kind", "status") == [("adds", "succeeded"), ("updates", "succeeded")]
     # ids are not given out twice, even if the largest was deleted
     layer.apply_edits(deletes=[4])
     layer.append(names(spark, [("Eve",)], "Name string"))
     assert values(layer.rows, "OBJECTID") == [(1,), (2,), (3,), (5,)]
     assert store.read(version=1).count() == 4
-    # a version that is taken is an error, and the pointer stays
-    with pytest.raises(Exception):
-        store._write(people, store.state())
+    # a version that is taken is an error, and the table stays
+    with pytest.raises(StaleLayerError):
+        store.commit(people, base=store.state(1))
     assert layer.count() == 4
     if buckets:
         plan = layer.rows.join(spark.range(9).hint("merge"), F.col("OBJECTID") == F.col("id"))
