@@ -27,7 +27,7 @@ from lamina.plans.contract import (
 MAX_EXAMPLES = 5
 # Timestamps are microseconds in a long.
 MAX_MILLIS = (2**63 - 1) // 1000
-_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 _WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
 _INFINITY = r"(?i)^\s*[+-]?inf(inity)?\s*$"
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -37,7 +37,7 @@ _FLOATING = (T.FloatType, T.DoubleType)
 
 def _parsed_double(c: Column) -> Column:
     """Text to double; Spark also reads ``'12d'`` and ``'1f'``, which are not numbers here."""
-    return F.when(c.rlike(_NUMBER), c.try_cast("double"))
+    return F.when(c.rlike(NUMBER), c.try_cast("double"))
 
 
 def to_integer(c: Column, dtype: T.DataType, target: T.DataType) -> Column:
@@ -47,7 +47,7 @@ def to_integer(c: Column, dtype: T.DataType, target: T.DataType) -> Column:
     text = c.cast("string")
     # whole numbers are parsed as such: beyond 2^53 they must not pass through double
     return F.when(text.rlike(_WHOLE_NUMBER), text.try_cast(target)).when(
-        text.rlike(_NUMBER), text.try_cast("double").try_cast(target)
+        text.rlike(NUMBER), text.try_cast("double").try_cast(target)
     )
 
 

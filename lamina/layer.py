@@ -15,7 +15,7 @@ from lamina.operators.diff import diff
 from lamina.operators.edits import EditJob, EditOutcome
 from lamina.operators.query import QueryPlan, QueryResult
 from lamina.plans.contract import FieldSet, LayerContract
-from lamina.session import pin_utc, stage
+from lamina.session import pin_utc
 from lamina.sources.store import LayerStore
 
 log = logging.getLogger(__name__)
@@ -248,10 +248,17 @@ class Layer:
             requests = self._requests(
                 att.request_rows(object_ids, files, filenames, content_types)
             )
+        base, table = self._attachment_state()
         outcome = att.add_attachments(
-            self.attachments, self.rows, self.contract, requests, self._files(folder)
+            table,
+            self.rows,
+            self.contract,
+            requests,
+            self._files(folder),
+            first_id=base.get("next_object_id"),
+            identity=base.get("layer_id") or f"{self.identity}/attachments",
         )
-        return self._commit_attachments(outcome)
+        return self._commit_attachments(outcome, base)
 
     def update_attachments(
         self,
@@ -271,8 +278,9 @@ class Layer:
             requests = self._requests(
                 att.request_rows(object_ids, files, filenames, content_types, attachment_ids)
             )
-        outcome = att.update_attachments(self.attachments, requests, self._files(folder))
-        return self._commit_attachments(outcome)
+        base, table = self._attachment_state()
+        outcome = att.update_attachments(table, requests, self._files(folder))
+        return self._commit_attachments(outcome, base)
 
     def delete_attachments(
         self, object_ids: Any = None, attachment_ids: Any = None, *, pairs: DataFrame | None = None
@@ -283,15 +291,39 @@ class Layer:
             pairs = self.rows.sparkSession.createDataFrame(
                 att.delete_pairs(object_ids, attachment_ids), "parentObjectId bigint, id bigint"
             )
-        return self._commit_attachments(att.delete_attachments(self.attachments, pairs))
+        base, table = self._attachment_state()
+        return self._commit_attachments(att.delete_attachments(table, pairs), base)
 
     def _files(self, folder: str | None) -> DataFrame | None:
         return None if folder is None else att.read_files(self.rows.sparkSession, folder)
 
-    def _commit_attachments(self, outcome: att.AttachmentOutcome) -> att.AttachmentOutcome:
+    def _attachment_state(self) -> tuple[dict, DataFrame]:
+        """The stored version of the attachment table, {} if it is not stored, and its rows."""
         if self.attachment_store is None:
+            return {}, self.attachments
+        state = self.attachment_store.state()
+        if state["key"] != "id":
+            raise InvalidParameterError("An attachment store is laid out by the attachments' id.")
+        return state, self.attachment_store.read(state=state)
+
+    def _commit_attachments(self, outcome: att.AttachmentOutcome, base: dict) -> att.AttachmentOutcome:
+        """Write the buckets whose files change, as the version after the one the edit was made from."""
+        store, change = self.attachment_store, outcome.change
+        if store is None:
             return outcome
-        # results are judged against the table before the edit: fix them first
-        items = stage(outcome.results.items, "attachment-results")
-        self.attachment_store.commit(outcome.attachments)
-        return att.AttachmentOutcome(att.AttachmentResults(items), self.attachment_store.read())
+        kind = outcome.attachments.schema[base["key"]].dataType
+        touched = change.touched(lambda key: store.bucket_of(key, base), kind)
+        if change.new is not None:
+            touched = sorted({*touched, *store.crowded(base)})
+        new = change.kept(store.read(state=base, buckets=touched)) if touched else None
+        if change.new is not None:
+            added = change.new.repartition(base["buckets"], f"`{base['key']}`")
+            new = added if new is None else new.unionByName(added)
+        store.commit(
+            new,
+            base=base,
+            replaced=touched,
+            next_object_id=base["next_object_id"] + outcome.n_adds if outcome.n_adds else None,
+            results=outcome.results.items,
+        )
+        return replace(outcome, attachments=store.read())

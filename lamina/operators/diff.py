@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lamina.errors import InvalidParameterError
-from lamina.functions.coerce import outbound, stored
 from lamina.functions.domains import mapped
+from lamina.functions.keys import normal_key
 from lamina.operators.sizes import is_small
 from lamina.operators.skew import join_spread
 from lamina.plans.contract import GUID_TYPES, LayerContract
@@ -103,13 +103,8 @@ def input_keys(
         if dtype == target and field_def.get("type") not in GUID_TYPES:
             columns[_key_name(k)] = c
             continue
-        sent = outbound({**field_def, "length": None}, c, dtype)
-        columns[_key_name(k)] = stored(field_def, sent, target)
-        key = columns[_key_name(k)]
-        unheld = key.isNull()
-        if isinstance(dtype, T.FractionalType) and isinstance(target, T.IntegralType):
-            unheld = unheld | (key.cast(dtype) != c)  # 1.5 is no integer, so nobody's key
-        failures.append(c.isNotNull() & unheld)
+        columns[_key_name(k)], lost = normal_key(field_def, c, dtype, target)
+        failures.append(lost)
     return columns, (reduce(lambda a, b: a | b, failures) if failures else None)
 
 

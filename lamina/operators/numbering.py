@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lamina.session import stage
+from lamina.session import Staging, stage
 
 POSITION = "position"
 TAG = "_row_tag"
@@ -23,21 +23,23 @@ def place_in_task(tag: Column) -> Column:
     return tag.bitwiseAND(F.lit(_LOCAL_MASK))
 
 
-def number_rows(df: DataFrame, order: list[Column]) -> DataFrame:
+def number_rows(df: DataFrame, order: list[Column], staging: Staging | None = None) -> DataFrame:
     """Add ``position``: 0-based and contiguous in the given order.
 
     Rows are range-partitioned on the whole order (end it with a unique column,
     so that equal leading values can be split over tasks), sorted per task,
     tagged and written once. The tags are fixed from then on, so one row count
     per task, at most as many rows as there were tasks, turns them into positions.
+    With ``staging`` the caller can delete the written rows when they have been used.
     """
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    return place_tagged(stage(ranged.withColumn(TAG, F.monotonically_increasing_id()), "numbered"))
+    return number_in_place(ranged, staging)
 
 
-def number_in_place(df: DataFrame) -> DataFrame:
+def number_in_place(df: DataFrame, staging: Staging | None = None) -> DataFrame:
     """Add ``position`` in the order the rows already have, task by task."""
-    return place_tagged(stage(df.withColumn(TAG, F.monotonically_increasing_id()), "numbered"))
+    write = stage if staging is None else staging.write
+    return place_tagged(write(df.withColumn(TAG, F.monotonically_increasing_id()), "numbered"))
 
 
 def place_tagged(tagged: DataFrame) -> DataFrame:

@@ -16,12 +16,11 @@ from lamina.functions import geometry as geo
 from lamina.functions.coerce import enforce_types
 from lamina.functions.domains import recode_domains
 from lamina.operators.numbering import POSITION, number_rows
+from lamina.operators.selection import SortKey, orderings, take_window
 from lamina.plans.contract import DATE_TYPE, GEOMETRY_COLUMN, FieldSet, LayerContract
-from lamina.plans.literals import check_date_literals
+from lamina.plans.literals import bind_time_literals, check_date_literals
+from lamina.session import Staging
 
-# A window that ends within this many rows is a top-k (each task keeps that many
-# rows at most); a deeper or open-ended one goes through distributed numbering.
-MAX_TOP_ROWS = 100_000
 # Ids given as a Python list: compared inline, or joined as a broadcast table.
 MAX_INLINE_IDS = 500
 MAX_BROADCAST_IDS = 1_000_000
@@ -90,6 +89,7 @@ class QueryPlan:
     out_sr: int | None = None
     apply_coded_values: bool = False
     options: dict[str, Any] = field(default_factory=dict)
+    _staging: Staging | None = field(default=None, repr=False)
 
     def __post_init__(self) -> None:
         unknown = sorted(self.options.keys() - _OPTIONS - _TRANSPORT_ONLY)
@@ -105,7 +105,8 @@ class QueryPlan:
 
         ``where`` may be any Spark SQL condition, so it must come from a trusted caller.
         """
-        df = self.rows.where(self.where)
+        where = bind_time_literals(self.where, self.contract.fields, self.rows.schema)
+        df = self.rows.where(where)
         if self.options.get("objectIds") is not None:
             df = keep_ids(df, self.contract.objectid_field, self.options["objectIds"])
         if self.options.get("geometry") is not None:
@@ -135,11 +136,10 @@ class QueryPlan:
 
     # ---- order and window -------------------------------------------------
 
-    def order(self) -> list[Column]:
+    def order(self) -> list[SortKey]:
         """Caller's order, or the object id's; the object id always breaks ties."""
-        oid = self.contract.objectid_field
-        columns = parse_order(self.options.get("orderByFields"), self.contract.check_names)
-        return [*columns, F.col(f"`{oid}`").asc()]
+        keys = parse_order(self.options.get("orderByFields"), self.contract.check_names)
+        return [*keys, SortKey(F.col(f"`{self.contract.objectid_field}`"))]
 
     def _window(self) -> tuple[int, int | None]:
         offset = int(self.options.get("resultOffset") or 0)
@@ -176,7 +176,7 @@ class QueryPlan:
         if offset or count is not None:
             df = take_window(self._prune(df, wanted), self.order(), offset, count)
         elif self.options.get("orderByFields"):
-            df = df.orderBy(*self.order())
+            df = df.orderBy(*orderings(self.order()))
         out = df.select(*[F.col(f"`{n}`") for n in self.names])
         if geometry:
             out = df.select(
@@ -249,7 +249,7 @@ class QueryPlan:
         if offset or count is not None:
             # distinct rows have no object id: the whole row breaks ties
             return take_window(out, [*order, *names], offset, count)
-        return out.orderBy(*order) if order else out
+        return out.orderBy(*orderings(order)) if order else out
 
     def _check_selected(self, names: list[str]) -> None:
         missing = sorted(set(names) - set(self.names))
@@ -286,14 +286,27 @@ class QueryPlan:
         out = item.get("outStatisticFieldName") or f"{kind}_{name}"
         return _STATISTICS[kind](F.col(f"`{name}`")).alias(out)
 
+    @property
+    def staging(self) -> Staging:
+        """Holds the written rows of :meth:`pages`; release it once those have been read."""
+        if self._staging is None:
+            self._staging = Staging(self.rows.sparkSession)
+        return self._staging
+
+    def release(self) -> None:
+        """Delete what :meth:`pages` wrote. Whatever still reads it must have run."""
+        self.staging.release()
+
     def pages(self, page_size: int | None = None) -> DataFrame:
-        """The whole ordered result with ``position`` and ``page_id`` columns."""
+        """The whole ordered result with ``position`` and ``page_id`` columns. The numbered rows
+        are written once, and stay until :meth:`release`."""
         limit = self.contract.max_record_count
         size = min(page_size or limit, limit) or limit
         wanted = list(self.names)
         if self.return_geometry and GEOMETRY_COLUMN in self.rows.columns:
             wanted.append(GEOMETRY_COLUMN)
-        numbered = number_rows(self._prune(self.matching(), wanted), self.order())
+        rows = self._prune(self.matching(), wanted)
+        numbered = number_rows(rows, orderings(self.order()), self.staging)
         page_id = F.floor(F.col(POSITION) / size).cast("bigint")
         return numbered.select(
             *[F.col(f"`{n}`") for n in wanted], F.col(POSITION), page_id.alias("page_id")
@@ -307,32 +320,20 @@ def order_names(order_by: str | list[str] | None) -> list[str]:
     return [item.split()[0] for item in items]
 
 
-def parse_order(order_by: str | list[str] | None, check: Any) -> list[Column]:
-    """``"name [ASC|DESC], ..."`` as sort columns; ``check`` sees the names."""
+def parse_order(order_by: str | list[str] | None, check: Any) -> list[SortKey]:
+    """``"name [ASC|DESC], ..."`` as sort keys; ``check`` sees the names."""
     if not order_by:
         return []
     items = order_by.split(",") if isinstance(order_by, str) else order_by
-    columns = []
+    keys = []
     for item in items:
         name, *direction = item.split()
         check([name])
         word = " ".join(direction).upper() or "ASC"
         if word not in ("ASC", "DESC"):
             raise InvalidParameterError(f"Cannot order by '{item.strip()}'.")
-        c = F.col(f"`{name}`")
-        columns.append(c.asc() if word == "ASC" else c.desc())
-    return columns
-
-
-def take_window(df: DataFrame, order: list[Column], offset: int, count: int | None) -> DataFrame:
-    """Rows ``[offset, offset + count)`` of the ordered rows, in that order."""
-    if count is not None and offset + count <= MAX_TOP_ROWS:
-        return df.orderBy(*order).offset(offset).limit(count)
-    numbered = number_rows(df, order)
-    inside = F.col(POSITION) >= offset
-    if count is not None:
-        inside = inside & (F.col(POSITION) < offset + count)
-    return numbered.where(inside).orderBy(POSITION).drop(POSITION)
+        keys.append(SortKey(F.col(f"`{name}`"), word == "DESC"))
+    return keys
 
 
 def keep_ids(df: DataFrame, column: str, ids: Any) -> DataFrame:

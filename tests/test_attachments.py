@@ -1,8 +1,19 @@
+import glob
+from dataclasses import replace
+
+import pyarrow.parquet as pq
 import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
-from lamina import InvalidParameterError, Layer, LayerCapabilityError, LayerContract, LayerStore
+from lamina import (
+    InvalidParameterError,
+    Layer,
+    LayerCapabilityError,
+    LayerContract,
+    LayerStore,
+    StaleLayerError,
+)
 from lamina.operators import attachments as att
 from lamina.operators import skew
 from workload.layers import ATTACHMENT_PROPERTIES
@@ -260,3 +271,84 @@ def test_stored_attachments(spark, layer, tmp_path):
     assert stored.attachments.count() == 2
     stored.add_attachments(3, b"new", "n.txt")
     assert found(stored.query_attachments(object_ids=[3])) == [13]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def stored(spark, layer, tmp_path):
+    store = LayerStore(spark, str(tmp_path / "files"))
+    store.create(layer.attachments, "id", buckets=4)
+    return Layer(layer.rows, layer.contract, attachment_store=store)
+
+
+def written(layer):
+    paths = glob.glob(f"{layer.attachment_store.path}/data/**/part-*.parquet", recursive=True)
+    return {p: pq.read_table(p, columns=["id"])["id"].to_pylist() for p in paths}
+
+
+def test_only_buckets_of_touched_files_are_written(stored):
+    before = written(stored)
+    stored.update_attachments(1, 11, b"new", "y.txt").release()
+    new = {p: ids for p, ids in written(stored).items() if p not in before}
+    beside = next(ids for ids in before.values() if 11 in ids)
+    assert sorted(i for ids in new.values() for i in ids) == sorted(beside)
+    assert values(stored.attachments, "id", "name", "size") == [
+        (10, "x.jpg", 100), (11, "y.txt", 3), (12, "z.jpg", 500)]
+    assert values(stored.attachment_store.results(), "object_id", "success") == [(11, True)]
+    before = written(stored)
+    stored.add_attachments(3, b"more", "m.txt").release()
+    new = {p: ids for p, ids in written(stored).items() if p not in before}
+    assert list(new.values()) == [[13]]
+
+
+def test_ids_of_deleted_files_are_not_given_again(stored):
+    stored.delete_attachments(2, 12).release()
+    outcome = stored.add_attachments(3, b"next", "n.txt")
+    assert outcome.results.items.first()["object_id"] == 13
+    assert values(stored.attachments, "id") == [(10,), (11,), (13,)]
+
+
+def test_a_stale_attachment_writer_is_refused(stored):
+    base, table = stored._attachment_state()
+    slow = att.delete_attachments(table, stored._requests([(1, 10, None, None, None, None)]))
+    stored.delete_attachments(1, 11)
+    with pytest.raises(StaleLayerError):
+        stored._commit_attachments(slow, base)
+    assert found(att.AttachmentsQueryResult(stored.attachments)) == [10, 12]
+
+
+def test_global_ids_of_files(spark, layer):
+    """A new file carries its feature's, and its own, which results tell too."""
+    rows = layer.rows.withColumn("GlobalID", F.concat(F.lit("p"), "OBJECTID"))
+    owned = replace(layer.contract, globalid_field="GlobalID")
+    outcome = Layer(rows, owned, attachments=layer.attachments).add_attachments([1, 3], [b"a", b"b"], ["a", "b"])
+    new = outcome.attachments.where("id > 12")
+    assert values(new, "parentObjectId", "parentGlobalId") == [(1, "p1"), (3, "p3")]
+    told = {r["object_id"]: r["global_id"] for r in outcome.results.items.collect()}
+    assert told == {r["id"]: r["globalId"] for r in new.collect()} and len(set(told.values())) == 2
+    had = {r["id"]: r["globalId"] for r in layer.attachments.collect()}
+    for edit in (layer.update_attachments(1, 10, b"x", "x"), layer.delete_attachments(1, 10)):
+        assert edit.results.items.first()["global_id"] == had[10]
+
+
+def test_content_of_other_files_does_not_move(spark, layer, monkeypatch):
+    """The table's content crosses no exchange, in frames nor in stores."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for edit in (
+            layer.update_attachments(1, 10, b"new", "n.txt"), layer.delete_attachments(1, 10)
+        ):
+            kept = edit.change.kept(layer.attachments.select("*", F.lit(b"z").alias("mark")))
+            assert "Exchange hashpartitioning" not in plan_of(kept)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_stores_of_another_layout_are_refused(spark, layer, tmp_path):
+    store = LayerStore(spark, str(tmp_path / "other"))
+    store.create(layer.attachments, "parentObjectId", buckets=2)
+    with pytest.raises(InvalidParameterError):
+        Layer(layer.rows, layer.contract, attachment_store=store).delete_attachments(1, 10)

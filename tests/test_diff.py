@@ -1,8 +1,13 @@
+import datetime as dt
+from decimal import Decimal as D
+
 import pytest
 from conftest import STATUS, metadata, values
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lamina import FieldSet, InvalidParameterError, Layer, LayerContract
+from lamina.functions import keys
 from lamina.operators import diff, sizes, skew
 
 CONTRACT = LayerContract.from_metadata(metadata())
@@ -134,3 +139,55 @@ def test_keys_are_compared_after_coding(spark, coded, people):
     given = spark.createDataFrame([("Active",), ("1",)], "Status string")
     with pytest.raises(InvalidParameterError):
         diff.diff(given, people, coded, ["Status"], apply_coded_values=True)
+
+
+@pytest.mark.parametrize(
+    ("sent", "key"),
+    [
+        ("1", 1), ("01", 1), ("1e0", 1), ("1.0", 1), (" 1 ", 1), ("1.", 1), ("10e-1", 1), ("+1", 1),
+        ("-0", 0), ("9007199254740993", 9007199254740993), ("9007199254740993.0", 9007199254740993),
+        ("9223372036854775807", 2**63 - 1), ("9223372036854775808", None), ("0.5", None),
+        ("1e-20", None), ("1.0000000000000000000001", None), ("x", None), ("1d", None), ("", None),
+        ("1e30", None), ("100000000000000000001e-20", None), (None, None),
+    ],
+)
+def test_text_as_whole_number_keys(spark, sent, key):
+    df = spark.createDataFrame([(sent,)], "k string")
+    field = {"name": "k", "type": "esriFieldTypeBigInteger"}
+    found, lost = keys.normal_key(field, F.col("k"), T.StringType(), T.LongType())
+    assert tuple(df.select(found, lost).first()) == (key, sent is not None and key is None)
+
+
+@pytest.mark.parametrize(
+    ("sent", "dtype", "kind", "target", "fits"),
+    [
+        (1.5, "double", "Integer", "int", False), (2.0, "double", "Integer", "int", True),
+        (float("nan"), "double", "Integer", "int", False), (2**31, "bigint", "Integer", "int", False),
+        (2**53 + 1, "bigint", "Double", "double", False), (2**53, "bigint", "Double", "double", True),
+        (D("0.1"), "decimal(5,2)", "Double", "double", True), (D("1.5"), "decimal(5,2)", "Integer", "int", False),
+        ("0.10", "string", "Double", "double", True), ("1e300", "string", "Double", "double", True),
+        ("0.10000000000000001", "string", "Double", "double", False),
+        (dt.datetime(2020, 1, 1, 0, 0, 0, 5000), "timestamp_ntz", "Date", "timestamp", True),
+        (dt.datetime(2020, 1, 1, 0, 0, 0, 5001), "timestamp_ntz", "Date", "timestamp", False),
+        ("2020-01-01 00:00:00.0005", "string", "Date", "timestamp", False),
+        ("2020-01-01 00:00:00.5", "string", "Date", "timestamp", True),
+        (1.5, "double", "Date", "timestamp", False), (1500, "bigint", "Date", "timestamp", True),
+    ],
+)
+def test_keys_that_lose_nothing(spark, sent, dtype, kind, target, fits):
+    df = spark.createDataFrame([(sent,)], f"k {dtype}")
+    wanted = spark.createDataFrame([], f"k {target}").schema["k"].dataType
+    field = {"name": "k", "type": f"esriFieldType{kind}"}
+    _, lost = keys.normal_key(field, F.col("k"), df.schema["k"].dataType, wanted)
+    assert df.select(lost).first()[0] is not fits
+
+
+def test_texts_of_one_number_are_one_key(spark, people, contract):
+    """"1.5" is not 1, so both may be sent; "1" and "01" are the same key twice."""
+    layer = Layer(people, contract)
+    feed = spark.createDataFrame([("1.5", "a"), ("1", "b"), ("0.5", "c")], "Status string, Name string")
+    adds, updates, _ = layer.diff(feed, ["Status"])
+    assert values(adds, "Name") == [("a",), ("c",)] and values(updates, "Name") == [("b",)]
+    twice = spark.createDataFrame([("1",), ("01",)], "Status string")
+    with pytest.raises(InvalidParameterError):
+        layer.diff(twice, ["Status"])

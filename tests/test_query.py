@@ -10,9 +10,10 @@ from lamina import (
     MissingGeometryError,
 )
 from lamina.functions import geometry as geo
-from lamina.operators import query as query_module
+from lamina.operators import query as query_module, selection
 from lamina.operators.numbering import number_in_place, number_rows
-from lamina.operators.query import keep_ids, take_window
+from lamina.operators.query import keep_ids
+from lamina.operators.selection import SortKey, take_window
 
 IDS = LayerContract.from_metadata(
     {
@@ -47,8 +48,9 @@ def ids(result):
     [(None, 1500), (500, None), (2000, 1000), (None, 1), (500, 1), (2499, 5), (2500, 10), (0, 2500)],
 )
 def test_windows(many, monkeypatch, limit, offset, count):
-    """The same rows in the same order, as a top-k and through numbering."""
-    monkeypatch.setattr(query_module, "MAX_TOP_ROWS", limit)
+    """The same rows in the same order, as a top-k and by selection."""
+    monkeypatch.setattr(selection, "MAX_TOP_ROWS", limit)
+    monkeypatch.setattr(selection, "SAMPLE_ROWS", 200)
     options = {"resultOffset": offset, "resultRecordCount": count}
     found = ids(many.query(**{k: v for k, v in options.items() if v is not None}))
     start = offset or 0
@@ -218,5 +220,5 @@ def test_geometry_output(spark):
 
 
 def test_top_rows_without_order_column_selected(many):
-    top = take_window(many.rows, [F.col("v").desc(), F.col("id")], 1, 2).select("id")
+    top = take_window(many.rows, [SortKey(F.col("v"), True), F.col("id")], 1, 2).select("id")
     assert [r[0] for r in top.collect()] == [13, 20]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lamina import Layer, LayerContract
 from lamina.functions import geometry as geo
+from lamina.session import stage
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -83,6 +84,18 @@ EVENTS = LayerContract.from_metadata(
     }
 )
 
+CLOCKED = LayerContract.from_metadata(
+    {
+        "objectIdField": "event_id",
+        "capabilities": "Query",
+        "fields": [
+            oid("event_id"),
+            field("clock", "TimeOnly"),
+            field("event_type", "String", length=20),
+        ],
+    }
+)
+
 SPOTS = LayerContract.from_metadata(
     {
         "objectIdField": "vec_id",
@@ -167,6 +180,13 @@ def events(spark: SparkSession, folder: str) -> Layer:
     return Layer(table(spark, folder, "events").drop("props"), EVENTS)
 
 
+def clocked_events(spark: SparkSession, folder: str) -> Layer:
+    """Events by their time of day, as text; written, as a layer that is queried often would be."""
+    rows = table(spark, folder, "events")
+    clock = F.date_format("ts", "HH:mm:ss").alias("clock")
+    return Layer(stage(rows.select("event_id", clock, "event_type"), "clocked"), CLOCKED)
+
+
 def _at(i: int, scale: float):
     return F.get("embedding", F.lit(i)).cast("double") * scale
 

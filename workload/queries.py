@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina import Layer
+from lamina import Layer, LayerStore
 from lamina.functions import coerce, geometry as geo
 from lamina.functions.domains import recode_domains
 from lamina.operators import attachments as att
@@ -16,9 +18,9 @@ from lamina.operators import batches, diff, results
 from lamina.operators.edits import tag_input
 from lamina.operators.numbering import POSITION
 from lamina.operators.payloads import serialize_features
-from lamina.operators.query import take_window
+from lamina.operators.selection import SortKey, take_window
 from lamina.plans.literals import literal_is_valid
-from lamina.session import stage
+from lamina.session import shared_folder, stage
 from lamina.sources import pages as page_files
 from lamina.sources import responses
 from workload import layers as on
@@ -116,7 +118,7 @@ def query_order_topk(spark, folder):
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
              "l_discount", "l_tax", "l_shipdate"]
     rows = on.table(spark, folder, "lineitem")
-    columns = [F.col("l_extendedprice").desc(), *[F.col(c) for c in order]]
+    columns = [SortKey(F.col("l_extendedprice"), True), *map(F.col, order)]
     return take_window(rows, columns, 0, 25).select(
         "l_orderkey", "l_linenumber", "l_extendedprice"
     )
@@ -1165,3 +1167,174 @@ def attach_delete_requests(spark, folder):
     pairs = on.attachment_rows(spark, folder).select("parentObjectId", "id")
     grouped = att.delete_requests(pairs, ids_per_request=4)
     return grouped.select("parentObjectId", "request", F.explode("ids").alias("id"))
+
+
+# ---- times of day, empty results, deep windows, keys as text ------------------------
+
+
+@query(
+    """SELECT event_id, strftime(ts, '%H:%M:%S') AS clock FROM events
+       WHERE strftime(ts, '%H:%M:%S') BETWEEN '08:30:00' AND '17:00:00'
+         AND strftime(ts, '%H:%M:%S') <> '12:00:00'"""
+)
+def query_where_time(spark, folder):
+    """A time-of-day field between two TIME literals."""
+    return on.clocked_events(spark, folder).query(
+        "clock BETWEEN TIME '08:30:00' AND TIME '17:00:00' AND clock <> TIME '12:00:00'",
+        "event_id,clock",
+    ).to_frame()
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_totalprice < -1000000000")
+def query_where_nothing(spark, folder):
+    """No row matches: an empty result with the asked columns."""
+    return on.orders(spark, folder).query(
+        "o_totalprice < -1000000000", ["o_orderkey", "o_orderstatus"]
+    ).to_frame(parse_dtypes=True)
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, l_extendedprice FROM (
+         SELECT *, row_number() OVER (
+           ORDER BY l_shipdate DESC, l_extendedprice, l_orderkey, l_linenumber, l_partkey,
+                    l_suppkey, l_quantity, l_discount, l_tax) AS place FROM lineitem)
+       WHERE place > 1000 AND place <= 13500"""
+)
+def query_deep_window(spark, folder):
+    """A window too deep for a top-k, found by counting; ties broken by the whole row."""
+    order = ["l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+             "l_quantity", "l_discount", "l_tax"]
+    keys = [SortKey(F.col("l_shipdate"), True), *map(F.col, order)]
+    return take_window(on.table(spark, folder, "lineitem"), keys, 1000, 12500).select(
+        "l_orderkey", "l_linenumber", "l_extendedprice"
+    )
+
+
+_TEXT_KEY = """CASE o_orderkey % 5 WHEN 0 THEN o_orderkey::VARCHAR WHEN 1 THEN '0' || o_orderkey
+    WHEN 2 THEN o_orderkey || 'e0' WHEN 3 THEN ' ' || o_orderkey || '.0' ELSE o_orderkey || '.5' END"""
+
+
+@query(
+    f"""SELECT 'updates' AS kind, o_orderkey + 1 AS objectid, {_TEXT_KEY} AS o_orderkey
+        FROM orders WHERE o_orderkey % 5 <> 4
+        UNION ALL SELECT 'adds', NULL, {_TEXT_KEY} FROM orders WHERE o_orderkey % 5 = 4
+        UNION ALL SELECT 'deletes', o_orderkey + 1, o_orderkey::VARCHAR FROM orders
+        WHERE o_orderkey % 5 = 4"""
+)
+def diff_text_keys(spark, folder):
+    """Keys sent as text to a whole-number field: equal numbers match however they are written,
+    and a fraction is nobody's key."""
+    key, text = F.col("o_orderkey"), F.col("o_orderkey").cast("string")
+    form = F.array(
+        text, F.concat(F.lit("0"), text), F.concat(text, F.lit("e0")),
+        F.concat(F.lit(" "), text, F.lit(".0")), F.concat(text, F.lit(".5")),
+    )
+    feed = on.table(spark, folder, "orders").select(
+        F.get(form, (key % 5).cast("int")).alias("o_orderkey"), "o_totalprice"
+    )
+    adds, updates, deletes = on.orders(spark, folder).diff(feed, ["o_orderkey"])
+    parts = [
+        updates.select(F.lit("updates").alias("kind"), "objectid", "o_orderkey"),
+        adds.select(F.lit("adds").alias("kind"), F.lit(None).cast("bigint").alias("objectid"), "o_orderkey"),
+        deletes.select(F.lit("deletes").alias("kind"), "objectid", F.col("o_orderkey").cast("string")),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# ---- stored layers ----------------------------------------------------------------
+
+
+def _stored(spark: SparkSession, rows: DataFrame, key: str) -> LayerStore:
+    """A new store of these rows in the shared folder."""
+    store = LayerStore(spark, f"{shared_folder(spark)}/lamina/store-{uuid.uuid4().hex}")
+    store.create(rows, key)
+    return store
+
+
+def _stored_orders(spark: SparkSession, folder: str) -> Layer:
+    rows = on.orders_renumbered(spark, folder).rows
+    return Layer(None, on.ORDERS, store=_stored(spark, rows, "objectid"))
+
+
+@query(SQL["sync_snapshot"])
+def store_sync(spark, folder):
+    """A sync committed to a store, and read back from it."""
+    layer = _stored_orders(spark, folder)
+    layer.sync(on.order_feed(spark, folder), ["o_orderkey"], apply_coded_values=True).release()
+    return _natural(LayerStore.open(spark, layer.store.path).read())
+
+
+@query(
+    f"""SELECT kind, object_id, status FROM (
+          SELECT 'updates' AS kind, objectid AS object_id, 'succeeded' AS status FROM {RENUMBERED}
+          WHERE o_orderpriority = '1-URGENT'
+          UNION ALL SELECT 'deletes', objectid, 'succeeded' FROM {RENUMBERED}
+          WHERE o_orderpriority = '5-LOW')"""
+)
+def store_results(spark, folder):
+    """The result table that a commit leaves with its version."""
+    layer = _stored_orders(spark, folder)
+    rows = layer.rows
+    layer.apply_edits(
+        updates=rows.where("o_orderpriority = '1-URGENT'").select("objectid", "o_totalprice"),
+        deletes=rows.where("o_orderpriority = '5-LOW'").select("objectid"),
+    ).release()
+    return layer.store.results().select("kind", "object_id", "status")
+
+
+@query(
+    f"""SELECT version, objectid, o_totalprice FROM (
+          SELECT 0 AS version, objectid, o_totalprice FROM {RENUMBERED}
+          UNION ALL SELECT 1, objectid, CASE WHEN o_orderstatus = 'P' THEN 0 ELSE o_totalprice END
+          FROM {RENUMBERED}
+          UNION ALL SELECT 2, objectid, CASE WHEN o_orderstatus = 'P' THEN 0 ELSE o_totalprice END
+          FROM {RENUMBERED} WHERE o_orderstatus <> 'F')"""
+)
+def store_versions(spark, folder):
+    """Every version of a store stays readable after the edits that followed it."""
+    layer = _stored_orders(spark, folder)
+    rows = layer.rows
+    part = rows.where("o_orderstatus = 'P'").select("objectid", F.lit(0.0).alias("o_totalprice"))
+    layer.apply_edits(updates=part).release()
+    layer.apply_edits(deletes=rows.where("o_orderstatus = 'F'").select("objectid")).release()
+    versions = [
+        layer.store.read(v).select(F.lit(v).alias("version"), "objectid", "o_totalprice")
+        for v in range(3)
+    ]
+    return versions[0].unionByName(versions[1]).unionByName(versions[2])
+
+
+@query(
+    f"""SELECT id, name, md5(content) AS digest FROM (
+          SELECT conv_id * 1000 + turn AS id,
+                 CASE WHEN role = 'assistant' THEN 'answer.json' ELSE name END AS name,
+                 CASE WHEN role = 'assistant' THEN text || '!' ELSE text END AS content
+          FROM conversations JOIN {ATTACHED} ON id = conv_id * 1000 + turn
+          WHERE role <> 'system')"""
+)
+def store_attachments(spark, folder):
+    """Files replaced and deleted in a stored attachment table; the others' bytes stay."""
+    store = _stored(spark, on.attachment_rows(spark, folder), "id")
+    layer = Layer(on.documents(spark, folder).rows, on.DOCUMENTS, attachment_store=store)
+    layer.update_attachments(requests=_replacements(spark, folder)).release()
+    gone = on.table(spark, folder, "conversations").where("role = 'system'").select(
+        F.col("conv_id").alias("parentObjectId"),
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("id"),
+    )
+    layer.delete_attachments(pairs=gone).release()
+    return store.read().select("id", "name", F.md5("content").alias("digest"))
+
+
+@query(
+    f"""SELECT parent AS "parentObjectId", 'doc-' || parent AS "parentGlobalId", new_id AS id
+        FROM {_REQUESTED} WHERE parent IN (SELECT doc_id FROM documents)"""
+)
+def attach_add_parent_ids(spark, folder):
+    """New files carry the global id of their feature."""
+    layer = on.documents(spark, folder)
+    rows = layer.rows.withColumn("globalid", F.concat(F.lit("doc-"), "doc_id"))
+    with_ids = replace(on.DOCUMENTS, globalid_field="globalid")
+    outcome = Layer(rows, with_ids, attachments=layer.attachments).add_attachments(
+        requests=_page_requests(spark, folder)
+    )
+    return outcome.change.new.select("parentObjectId", "parentGlobalId", "id")
