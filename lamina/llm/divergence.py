@@ -34,7 +34,9 @@ from lamina.session import Staging
 
 LEAST_DOCUMENTS, TOP_TERMS = 3, 200
 #: Counted terms a task holds before it passes them on.
-HELD_TERMS = 200_000
+HELD_TERMS = 500_000
+#: Rows of the term table to a bucket; each bucket reports a sum for every pair of sources it adds to.
+BUCKET_ROWS = 100_000
 #: Cells (terms by sources) of one numpy step, rows a group may wait for its skyband, terms of a step there.
 CELLS, WAITING, STEP = 1 << 18, 4096, 256
 #: Over how many tasks the skybands of one group are merged at first.
@@ -368,7 +370,7 @@ def audit(
     # written, so that its size decides how it is joined: one row for each group
     sizes = staging.write(group_sizes(table), "groups")
     shares = with_shares(table.where(F.col("term").isNotNull()), sizes)
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = table.count() // BUCKET_ROWS + 1
     pairs = source_pairs(shares, sizes, buckets).withColumn("part", F.lit("pair"))
     terms = source_terms(shares, sizes, top).withColumn("part", F.lit("term"))
     ranked = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), F.col("item"))
