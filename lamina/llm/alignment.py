@@ -4,8 +4,13 @@ Both tokenizers write a text, with a space before it, as tokens that cover the s
 tokens of both end at one byte the text can be cut. The cuts are found by divide and conquer:
 in an interval the end of the first tokenizer nearest its middle that the second one shares (found by
 bisection among the second one's ends) splits it, and both halves are treated alike; an
-interval without such an end is a leaf, one group. The intervals of all texts of a batch that lie
-at one depth are treated in one numpy step. All tokens of a group are linked with each other.
+interval without such an end is a leaf, one group. All intervals at one depth are treated in one
+numpy step. All tokens of a group are linked with each other.
+
+Words come again, and both tokenizers cut before the space in front of one. So what is aligned are
+the distinct words a worker has not met yet, all those of a batch laid end to end as one interval, and
+each text is put together from its words' groups. A text in which one of the tokenizers may reach over
+such a border (white space in a row) lies in the interval as a whole.
 
 Links are counted over the corpus per pair of ids: a pair counts once a document. Each document's
 distinct pairs are written once; the counts meet them again in two tiers, the most frequent pairs,
@@ -21,9 +26,12 @@ whatever their names; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 from array import array
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +39,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.llm.common import slices_by_size, texts_of
-from lamina.llm.sentence_pieces import PieceEncoder
-from lamina.llm.units import IDS, IdEncoder, Remembered, byte_alphabet, of_worker
+from lamina.llm.sentence_pieces import SPACE, PieceEncoder
+from lamina.llm.units import IDS, JOINED, IdEncoder, Remembered, byte_alphabet, of_worker
 from lamina.session import Staging
 
-#: Units of a worker's cache, texts and bytes of a batch, and pairs of the broadcast table.
-MOST_UNITS, BATCH_ROWS, BATCH_BYTES = 400_000, 500, 2_000_000
+#: Units of a worker's caches, of one alignment, and texts and bytes of a batch.
+MOST_UNITS, WHOLE_UNITS, UNITS_AT_ONCE = 700_000, 100_000, 50_000
+BATCH_ROWS, BATCH_BYTES = 500, 2_000_000
+#: Pairs of the broadcast table.
 HOT_PAIRS = 1 << 19
 #: Ends tried on each side of the middle one by one; further out an interval is searched whole.
 NEAR = 32
@@ -56,7 +66,12 @@ class PlainIds(IdEncoder):
         super().__init__(path)
         self.units.tokenizer.encode_special_tokens = True
         self.units.found = re.compile(r"(?!)")
-        self.of_unit = Remembered(self.of_unit.make, MOST_UNITS)
+        self.of_unit = Remembered(self.of_unit.make, WHOLE_UNITS)
+
+    def unit(self, literal: str) -> list[int]:
+        """Ids of a unit, nothing remembered."""
+        tokenize = self.units.tokenizer.model.tokenize
+        return [t.id for piece in self.units.pieces(literal) for t in tokenize(piece)]
 
     def spellings(self) -> list[bytes]:
         """The bytes of each id."""
@@ -132,6 +147,29 @@ def near_middle(a, b, lo, hi) -> tuple[np.ndarray, np.ndarray]:
     return found, place
 
 
+class Aligned(NamedTuple):
+    """Groups of one unit: its tokens on both sides, groups, links, the groups as text, and its
+    distinct pairs of ids with the links each has, as 64-bit numbers."""
+
+    n_a: int
+    n_b: int
+    n_groups: int
+    n_links: int
+    written: str
+    pairs: bytes
+    times: bytes
+
+
+@functools.lru_cache(1000)
+def once(n: int) -> bytes:
+    """One link for each of n pairs, the same bytes for all units that have as many."""
+    return np.ones(n, np.int64).tobytes()
+
+
+#: A unit that one of the tokenizers does not give back: its text has no tokens.
+LOST = Aligned(-1, -1, 0, 0, "", b"", b"")
+
+
 class Aligner:
     """Encodes texts with both tokenizers and aligns them."""
 
@@ -141,108 +179,211 @@ class Aligner:
         self.widths = [np.array([len(s) for s in table], np.int64) for table in self.spelled]
         self.n_a, self.n_b = map(len, self.spelled)
         self.digits = [str(i) for i in range(max(self.n_a, self.n_b))]
-        self.written = Remembered(self._write, MOST_UNITS)
-
-    def _write(self, key: tuple[bytes, bytes]) -> str:
-        digits = self.digits
-        a, b = (",".join([digits[i] for i in np.frombuffer(ids, IDS).tolist()]) for ids in key)
-        return f"{a}|{b}"
+        self.known = Remembered(None, MOST_UNITS)  # units by key; asked by ``get`` only
+
+    # ---- units ------------------------------------------------------------
+
+    def cut(self, text: str) -> list[str] | None:
+        """Keys of the units both tokenizers treat apart; None if the text has to stay whole."""
+        if (
+            SPACE in text or text[0] in " \n" or text[-1] == " " or "  " in text
+            or " \n" in text or JOINED.search(text)
+        ):
+            return None
+        return text.replace("\n", " \n").split(" ")
+
+    def _given_back(self, side: int, ids: list[list[int]], want: list[bytes]) -> np.ndarray:
+        """Which units the ids of one side spell."""
+        table, flat = self.spelled[side], list(chain.from_iterable(ids))
+        if [len(w) for w in want] == self._lengths(side, ids, flat) and (
+            b"".join(map(table.__getitem__, flat)) == b"".join(want)
+        ):
+            return np.ones(len(want), bool)
+        spelled = [b"".join([table[i] for i in unit]) for unit in ids]
+        return np.array([x == w for x, w in zip(spelled, want)], bool)
+
+    def _lengths(self, side: int, ids: list[list[int]], flat: list[int]) -> list[int]:
+        ends = np.concatenate([[0], self.widths[side][np.array(flat, np.int64)].cumsum()])
+        return np.diff(ends[np.cumsum([0, *map(len, ids)])]).tolist()
+
+    def learn(self, keys: list[str], wholes: list[str]) -> list[Aligned]:
+        """Units by their keys, then whole texts, aligned."""
+        literals = [self.b.literal(k) for k in keys]
+        want = [u.encode() for u in literals] + [b" " + t.encode() for t in wholes]
+        of_a = [*map(self.a.unit, literals)]
+        of_a += [np.frombuffer(self.a.encode(" " + t), IDS).tolist() for t in wholes]
+        of_b = self.b.by_library(literals) if literals else []
+        of_b += [np.frombuffer(e, IDS).tolist() for e in self.b.encode_batch(wholes)[0]]
+        out = [LOST] * len(want)
+        good = np.flatnonzero(self._given_back(0, of_a, want) & self._given_back(1, of_b, want)).tolist()
+        for start in range(0, len(good), UNITS_AT_ONCE):
+            some = good[start : start + UNITS_AT_ONCE]
+            found = self._align([of_a[i] for i in some], [of_b[i] for i in some])
+            for i, unit in zip(some, found):
+                out[i] = unit
+        return out
 
-    def _same(self, side: int, ids: bytes, want: bytes) -> bool:
-        table = self.spelled[side]
-        return b"".join([table[i] for i in np.frombuffer(ids, IDS).tolist()]) == want
+    def _align(self, of_a: list[list[int]], of_b: list[list[int]]) -> list[Aligned]:
+        """Both sides' ids of units that spell the same bytes, laid end to end as one interval."""
+        n_a, n_b = (np.array([len(x) for x in side], np.int64) for side in (of_a, of_b))
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (of_a, of_b))
+        ends_a, ends_b = self.widths[0][ids_a].cumsum(), self.widths[1][ids_b].cumsum()
+        cut_a, cut_b = shared_cuts(ends_a, ends_b, np.array([len(ids_a)]), np.array([len(ids_b)]))
+        return self._units(n_a, n_b, ids_a, ids_b, cut_a, cut_b)
 
-    def align(self, texts: list[str]) -> dict[str, list | pa.Array]:
-        """Columns of ``ALIGNED`` but for the id, one row a text."""
-        n = len(texts)
-        of_a = [self.a.encode(" " + t) if t else b"" for t in texts]
-        of_b, _ = self.b.encode_batch(texts)
-        for i, text in enumerate(texts):
-            want = b" " + text.encode()
-            if not text or not (self._same(0, of_a[i], want) and self._same(1, of_b[i], want)):
-                of_a[i] = of_b[i] = b""
-        n_a, n_b = (np.array([len(e) // 4 for e in side], np.int64) for side in (of_a, of_b))
-        kept = np.flatnonzero(n_a)
-        out = {
-            "n_a": n_a, "n_b": n_b,
-            "n_groups": np.zeros(n, np.int64), "n_links": np.zeros(n, np.int64),
-            "groups_sha256": [""] * n,
-        }
-        if not len(kept):
-            empty = pa.array([[]] * n, pa.list_(pa.int64()))
-            return out | {"pairs": empty, "times": empty}
-        bytes_a, bytes_b = b"".join(of_a), b"".join(of_b)
-        ids_a, ids_b = (np.frombuffer(d, IDS).astype(np.int64) for d in (bytes_a, bytes_b))
-        a_stops, b_stops = n_a[kept].cumsum(), n_b[kept].cumsum()
-        cut_a, cut_b = shared_cuts(
-            self.widths[0][ids_a].cumsum(), self.widths[1][ids_b].cumsum(), a_stops, b_stops
-        )
+    def _units(self, n_a, n_b, ids_a, ids_b, cut_a, cut_b) -> list[Aligned]:
         start_a, start_b = (np.concatenate([[0], c[:-1] + 1]) for c in (cut_a, cut_b))
         size_a, size_b = cut_a - start_a + 1, cut_b - start_b + 1
-        # the groups of text i of ``kept`` are stops[i]:stops[i + 1]
-        stops = np.concatenate([[0], np.searchsorted(cut_a, a_stops)])
+        # the groups of unit i are stops[i]:stops[i + 1]
+        stops = np.concatenate([[0], np.searchsorted(cut_a, n_a.cumsum())])
         links = size_a * size_b
-        out["n_groups"][kept] = np.diff(stops)
-        out["n_links"][kept] = np.add.reduceat(links, stops[:-1])
-
-        single = links == 1
-        pair = ids_a[start_a[single]] * self.n_b + ids_b[start_b[single]]
-        distinct, which = np.unique(pair, return_inverse=True)
-        digits = self.digits
-        names = [f"{digits[x // self.n_b]}|{digits[x % self.n_b]}" for x in distinct.tolist()]
-        written = np.empty(len(links), object)
-        written[single] = np.array(names, object)[which] if names else []
-        large = np.flatnonzero(~single)
-        written[large] = [
-            self.written[bytes_a[i:j], bytes_b[k:m]]
-            for i, j, k, m in zip(
-                (4 * start_a[large]).tolist(), (4 * cut_a[large] + 4).tolist(),
-                (4 * start_b[large]).tolist(), (4 * cut_b[large] + 4).tolist(),
+        written = self._written(ids_a, ids_b, cut_a, cut_b, links)
+        found = self._links(ids_a, ids_b, start_a, start_b, cut_a, cut_b, links)
+        unit_of = np.repeat(np.arange(len(n_a)), np.diff(stops))
+        span = self.n_a * self.n_b
+        keys, times = summed(
+            np.concatenate([unit_of[group] * span + pair for group, pair, _ in found]),
+            None if all(w is None for *_, w in found) else np.concatenate(
+                [np.ones(len(pair), np.int64) if w is None else w for _, pair, w in found]
+            ),
+        )
+        places = np.searchsorted(keys, np.arange(len(n_a) + 1) * span).tolist()
+        pairs = (keys % span).tobytes()
+        counts, plain = times.tobytes(), times.max(initial=1) == 1
+        n_links = np.add.reduceat(links, stops[:-1]).tolist()
+        bounds = stops.tolist()
+        return [
+            Aligned(
+                a, b, bounds[i + 1] - bounds[i], n_links[i],
+                ";".join(written[bounds[i] : bounds[i + 1]]),
+                pairs[8 * places[i] : 8 * places[i + 1]],
+                once(places[i + 1] - places[i]) if plain else counts[8 * places[i] : 8 * places[i + 1]],
             )
+            for i, (a, b) in enumerate(zip(n_a.tolist(), n_b.tolist()))
         ]
-        for row, i, j in zip(kept.tolist(), stops[:-1].tolist(), stops[1:].tolist()):
-            text = ";".join(written[i:j].tolist())
-            out["groups_sha256"][row] = hashlib.sha256(text.encode()).hexdigest()
 
-        text_of = np.repeat(np.arange(len(kept)), np.diff(stops))
-        found = [(text_of[single], pair, None)]
-        for g in large[links[large] > WRITTEN_LINKS].tolist():
+    def _written(self, ids_a, ids_b, cut_a, cut_b, links) -> list[str]:
+        digits, out, i, k = self.digits, [], 0, 0
+        a, b = ids_a.tolist(), ids_b.tolist()
+        for j, m, n in zip((cut_a + 1).tolist(), (cut_b + 1).tolist(), links.tolist()):
+            if n == 1:
+                out.append(f"{a[i]}|{b[k]}")
+            else:
+                left, right = ",".join([digits[x] for x in a[i:j]]), ",".join([digits[x] for x in b[k:m]])
+                out.append(f"{left}|{right}")
+            i, k = j, m
+        return out
+
+    def _links(self, ids_a, ids_b, start_a, start_b, cut_a, cut_b, links) -> list[tuple]:
+        """All linked pairs as (group, pair, links or None for one each); of very large groups
+        the distinct pairs."""
+        found = []
+        for g in np.flatnonzero(links > WRITTEN_LINKS).tolist():
             left = np.unique(ids_a[start_a[g] : cut_a[g] + 1], return_counts=True)
             right = np.unique(ids_b[start_b[g] : cut_b[g] + 1], return_counts=True)
             ids = (left[0][:, None] * self.n_b + right[0]).ravel()
-            found.append((np.full(len(ids), text_of[g]), ids, np.outer(left[1], right[1]).ravel()))
-        some = large[links[large] <= WRITTEN_LINKS]
+            found.append((np.full(len(ids), g), ids, np.outer(left[1], right[1]).ravel()))
+        some = np.flatnonzero(links <= WRITTEN_LINKS)
         group = np.repeat(some, links[some])
         first = np.repeat(links[some].cumsum() - links[some], links[some])
-        place = np.arange(len(group)) - first
-        x = ids_a[start_a[group] + place // size_b[group]]
-        y = ids_b[start_b[group] + place % size_b[group]]
-        found.append((text_of[group], x * self.n_b + y, None))
-        return out | self._pairs(found, n, kept)
+        place, size_b = np.arange(len(group)) - first, (cut_b - start_b + 1)[group]
+        x = ids_a[start_a[group] + place // size_b]
+        y = ids_b[start_b[group] + place % size_b]
+        return [*found, (group, x * self.n_b + y, None)]
 
-    def _pairs(self, found: list[tuple], n: int, kept: np.ndarray) -> dict[str, pa.Array]:
+    # ---- texts ------------------------------------------------------------
+
+    def align(self, texts: list[str]) -> dict[str, list | np.ndarray | pa.Array]:
+        """Columns of ``ALIGNED`` but for the id, one row a text."""
+        cuts = [self.cut(t) if t else [] for t in texts]
+        whole = [i for i, keys in enumerate(cuts) if keys is None]
+        number: dict[str, int] = {}
+        for keys in cuts:
+            if keys:
+                number.update(dict.fromkeys(keys))
+        units = self._units_of(list(number), [texts[i] for i in whole])
+        for n, key in enumerate(number):
+            number[key] = n
+        first_whole = len(number)
+        places = [
+            np.fromiter(map(number.__getitem__, keys), np.int64, len(keys)) if keys is not None else None
+            for keys in cuts
+        ]
+        for n, i in enumerate(whole):
+            places[i] = np.array([first_whole + n])
+        sizes = np.array([len(p) for p in places])
+        at = np.concatenate(places) if places else np.empty(0, np.int64)
+        text_of = np.repeat(np.arange(len(texts)), sizes)
+        columns = [np.array([u[c] for u in units], np.int64) for c in range(4)]
+        lost = np.zeros(len(texts), bool)
+        if len(at):
+            lost[text_of[columns[0][at] < 0]] = True
+        kept = ~lost[text_of]
+        at, text_of = at[kept], text_of[kept]
+        out = {
+            name: np.bincount(text_of, values[at], len(texts)).astype(np.int64)
+            for name, values in zip(("n_a", "n_b", "n_groups", "n_links"), columns)
+        }
+        written = [u.written for u in units]
+        out["groups_sha256"] = [
+            "" if gone or not len(p)
+            else hashlib.sha256(";".join([written[i] for i in p.tolist()]).encode()).hexdigest()
+            for p, gone in zip(places, lost.tolist())
+        ]
+        return out | self._pairs(units, at, text_of, len(texts))
+
+    def _units_of(self, keys: list[str], wholes: list[str]) -> list[Aligned]:
+        known, missing, out = self.known, [], []
+        for key in keys:
+            unit = known.get(key)
+            if unit is None:
+                unit = known.older.get(key)
+                if unit is None:
+                    missing.append(key)
+                else:
+                    known.keep(key, unit)
+            out.append(unit)
+        made = iter(self.learn(missing, wholes))
+        for i, (key, unit) in enumerate(zip(keys, out)):
+            if unit is None:
+                out[i] = next(made)
+                if len(key) <= 64:
+                    known.keep(key, out[i])
+        return out + list(made)
+
+    def _pairs(self, units, at, text_of, n: int) -> dict[str, pa.Array]:
         """Each text's distinct pairs, ascending, and how many links each has in it."""
+        sizes = np.array([len(u.pairs) // 8 for u in units], np.int64)
+        starts = sizes.cumsum() - sizes
+        pairs, times = (
+            np.frombuffer(b"".join([u[c] for u in units]), np.int64) for c in (5, 6)
+        )
+        span = max(len(units), 1)
+        distinct, copies = summed(text_of * span + at, None)
+        text, unit = distinct // span, distinct % span
+        rows = np.repeat(np.arange(len(distinct)), sizes[unit])
+        place = np.arange(len(rows)) - np.repeat(sizes[unit].cumsum() - sizes[unit], sizes[unit])
+        place += starts[unit][rows]
         span = self.n_a * self.n_b
-        keys = np.concatenate([text * span + pair for text, pair, _ in found])
-        if all(times is None for _, _, times in found):
-            keys, times = np.unique(keys, return_counts=True)
-        else:
-            weights = np.concatenate(
-                [np.ones(len(p), np.int64) if w is None else w for _, p, w in found]
-            )
-            order = np.argsort(keys, kind="stable")
-            keys, weights = keys[order], weights[order]
-            starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            keys, times = keys[starts], np.add.reduceat(weights, starts)
-        sizes = np.zeros(n + 1, np.int64)
-        sizes[kept + 1] = np.bincount(keys // span, minlength=len(kept))
-        offsets = pa.array(sizes.cumsum(), pa.int32())
+        keys, links = summed(text[rows] * span + pairs[place], times[place] * copies[rows])
+        offsets = np.searchsorted(keys, np.arange(n + 1) * span)
+        offsets = pa.array(offsets, pa.int32())
         return {
             "pairs": pa.ListArray.from_arrays(offsets, pa.array(keys % span)),
-            "times": pa.ListArray.from_arrays(offsets, pa.array(times)),
+            "times": pa.ListArray.from_arrays(offsets, pa.array(links)),
         }
 
 
+def summed(keys: np.ndarray, weights: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and the sum of each one's weights (None: 1 each)."""
+    if weights is None:
+        return np.unique(keys, return_counts=True)
+    order = np.argsort(keys, kind="stable")
+    keys, weights = keys[order], weights[order]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
+    return keys[starts], np.add.reduceat(weights, starts) if len(starts) else weights
+
+
 def align_texts(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
     """Per row the sizes of both encodings, its groups, and its linked pairs of ids: a pair is
     ``a * n_b + b`` with ``n_b`` the ids of the second tokenizer, ``times`` its links in the text."""
