@@ -26,12 +26,10 @@ whatever their names; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import re
 from array import array
 from itertools import chain
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +42,7 @@ from lamina.llm.units import IDS, JOINED, IdEncoder, Remembered, byte_alphabet,
 from lamina.session import Staging
 
 #: Units of a worker's caches, of one alignment, and texts and bytes of a batch.
-MOST_UNITS, WHOLE_UNITS, UNITS_AT_ONCE = 700_000, 100_000, 50_000
+MOST_UNITS, WHOLE_UNITS, UNITS_AT_ONCE = 1_200_000, 100_000, 50_000
 BATCH_ROWS, BATCH_BYTES = 500, 2_000_000
 #: Pairs of the broadcast table.
 HOT_PAIRS = 1 << 19
@@ -67,11 +65,14 @@ class PlainIds(IdEncoder):
         self.units.tokenizer.encode_special_tokens = True
         self.units.found = re.compile(r"(?!)")
         self.of_unit = Remembered(self.of_unit.make, WHOLE_UNITS)
+        self.tokenize, self.space = self.units.tokenizer.model.tokenize, byte_alphabet()[32]
 
     def unit(self, literal: str) -> list[int]:
         """Ids of a unit, nothing remembered."""
-        tokenize = self.units.tokenizer.model.tokenize
-        return [t.id for piece in self.units.pieces(literal) for t in tokenize(piece)]
+        word = literal[1:]
+        if literal[0] == " " and word.isascii() and word.isalpha():  # one pre-token, its own spelling
+            return [t.id for t in self.tokenize(self.space + word)]
+        return [t.id for piece in self.units.pieces(literal) for t in self.tokenize(piece)]
 
     def spellings(self) -> list[bytes]:
         """The bytes of each id."""
@@ -147,27 +148,13 @@ def near_middle(a, b, lo, hi) -> tuple[np.ndarray, np.ndarray]:
     return found, place
 
 
-class Aligned(NamedTuple):
-    """Groups of one unit: its tokens on both sides, groups, links, the groups as text, and its
-    distinct pairs of ids with the links each has, as 64-bit numbers."""
-
-    n_a: int
-    n_b: int
-    n_groups: int
-    n_links: int
-    written: str
-    pairs: bytes
-    times: bytes
-
-
-@functools.lru_cache(1000)
-def once(n: int) -> bytes:
-    """One link for each of n pairs, the same bytes for all units that have as many."""
-    return np.ones(n, np.int64).tobytes()
-
-
+#: A remembered unit is one string of bytes: numbers of its tokens on both sides, groups, links and
+#: distinct pairs; the pairs; how many links each has, where that is not one each; its groups as text.
+HEAD = np.dtype("<u4")
+HEAD_BYTES = 5 * HEAD.itemsize
 #: A unit that one of the tokenizers does not give back: its text has no tokens.
-LOST = Aligned(-1, -1, 0, 0, "", b"", b"")
+NO_TOKENS = 2**32 - 1
+LOST = np.array([NO_TOKENS, 0, 0, 0, 0], HEAD).tobytes()
 
 
 class Aligner:
@@ -206,7 +193,7 @@ class Aligner:
         ends = np.concatenate([[0], self.widths[side][np.array(flat, np.int64)].cumsum()])
         return np.diff(ends[np.cumsum([0, *map(len, ids)])]).tolist()
 
-    def learn(self, keys: list[str], wholes: list[str]) -> list[Aligned]:
+    def learn(self, keys: list[str], wholes: list[str]) -> list[bytes]:
         """Units by their keys, then whole texts, aligned."""
         literals = [self.b.literal(k) for k in keys]
         want = [u.encode() for u in literals] + [b" " + t.encode() for t in wholes]
@@ -223,7 +210,7 @@ class Aligner:
                 out[i] = unit
         return out
 
-    def _align(self, of_a: list[list[int]], of_b: list[list[int]]) -> list[Aligned]:
+    def _align(self, of_a: list[list[int]], of_b: list[list[int]]) -> list[bytes]:
         """Both sides' ids of units that spell the same bytes, laid end to end as one interval."""
         n_a, n_b = (np.array([len(x) for x in side], np.int64) for side in (of_a, of_b))
         ids_a, ids_b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (of_a, of_b))
@@ -231,7 +218,7 @@ class Aligner:
         cut_a, cut_b = shared_cuts(ends_a, ends_b, np.array([len(ids_a)]), np.array([len(ids_b)]))
         return self._units(n_a, n_b, ids_a, ids_b, cut_a, cut_b)
 
-    def _units(self, n_a, n_b, ids_a, ids_b, cut_a, cut_b) -> list[Aligned]:
+    def _units(self, n_a, n_b, ids_a, ids_b, cut_a, cut_b) -> list[bytes]:
         start_a, start_b = (np.concatenate([[0], c[:-1] + 1]) for c in (cut_a, cut_b))
         size_a, size_b = cut_a - start_a + 1, cut_b - start_b + 1
         # the groups of unit i are stops[i]:stops[i + 1]
@@ -247,20 +234,20 @@ class Aligner:
                 [np.ones(len(pair), np.int64) if w is None else w for _, pair, w in found]
             ),
         )
-        places = np.searchsorted(keys, np.arange(len(n_a) + 1) * span).tolist()
-        pairs = (keys % span).tobytes()
-        counts, plain = times.tobytes(), times.max(initial=1) == 1
-        n_links = np.add.reduceat(links, stops[:-1]).tolist()
-        bounds = stops.tolist()
-        return [
-            Aligned(
-                a, b, bounds[i + 1] - bounds[i], n_links[i],
-                ";".join(written[bounds[i] : bounds[i + 1]]),
-                pairs[8 * places[i] : 8 * places[i + 1]],
-                once(places[i + 1] - places[i]) if plain else counts[8 * places[i] : 8 * places[i + 1]],
+        places = np.searchsorted(keys, np.arange(len(n_a) + 1) * span)
+        n_links = np.add.reduceat(links, stops[:-1])
+        heads = np.stack([n_a, n_b, np.diff(stops), n_links, np.diff(places)], 1).astype(HEAD).tobytes()
+        pairs, counts = (keys % span).tobytes(), times.tobytes()
+        bounds, places, out = stops.tolist(), places.tolist(), []
+        for i, once in enumerate((n_links == np.diff(places)).tolist()):
+            lo, hi = 8 * places[i], 8 * places[i + 1]
+            out.append(
+                heads[HEAD_BYTES * i : HEAD_BYTES * (i + 1)]
+                + pairs[lo:hi]
+                + (b"" if once else counts[lo:hi])
+                + ";".join(written[bounds[i] : bounds[i + 1]]).encode()
             )
-            for i, (a, b) in enumerate(zip(n_a.tolist(), n_b.tolist()))
-        ]
+        return out
 
     def _written(self, ids_a, ids_b, cut_a, cut_b, links) -> list[str]:
         digits, out, i, k = self.digits, [], 0, 0
@@ -314,25 +301,28 @@ class Aligner:
         sizes = np.array([len(p) for p in places])
         at = np.concatenate(places) if places else np.empty(0, np.int64)
         text_of = np.repeat(np.arange(len(texts)), sizes)
-        columns = [np.array([u[c] for u in units], np.int64) for c in range(4)]
+        heads = np.frombuffer(b"".join([u[:HEAD_BYTES] for u in units]), HEAD).reshape(-1, 5)
+        heads = heads.astype(np.int64)
         lost = np.zeros(len(texts), bool)
         if len(at):
-            lost[text_of[columns[0][at] < 0]] = True
+            lost[text_of[heads[at, 0] == NO_TOKENS]] = True
         kept = ~lost[text_of]
         at, text_of = at[kept], text_of[kept]
         out = {
-            name: np.bincount(text_of, values[at], len(texts)).astype(np.int64)
-            for name, values in zip(("n_a", "n_b", "n_groups", "n_links"), columns)
+            name: np.bincount(text_of, heads[at, c], len(texts)).astype(np.int64)
+            for c, name in enumerate(("n_a", "n_b", "n_groups", "n_links"))
         }
-        written = [u.written for u in units]
+        widths = 8 * heads[:, 4]
+        starts = (HEAD_BYTES + widths + np.where(heads[:, 3] == heads[:, 4], 0, widths)).tolist()
+        written = [u[i:] for u, i in zip(units, starts)]
         out["groups_sha256"] = [
             "" if gone or not len(p)
-            else hashlib.sha256(";".join([written[i] for i in p.tolist()]).encode()).hexdigest()
+            else hashlib.sha256(b";".join([written[i] for i in p.tolist()])).hexdigest()
             for p, gone in zip(places, lost.tolist())
         ]
-        return out | self._pairs(units, at, text_of, len(texts))
+        return out | self._pairs(units, heads, at, text_of, len(texts))
 
-    def _units_of(self, keys: list[str], wholes: list[str]) -> list[Aligned]:
+    def _units_of(self, keys: list[str], wholes: list[str]) -> list[bytes]:
         known, missing, out = self.known, [], []
         for key in keys:
             unit = known.get(key)
@@ -351,13 +341,16 @@ class Aligner:
                     known.keep(key, out[i])
         return out + list(made)
 
-    def _pairs(self, units, at, text_of, n: int) -> dict[str, pa.Array]:
+    def _pairs(self, units, heads, at, text_of, n: int) -> dict[str, pa.Array]:
         """Each text's distinct pairs, ascending, and how many links each has in it."""
-        sizes = np.array([len(u.pairs) // 8 for u in units], np.int64)
+        sizes = heads[:, 4]
         starts = sizes.cumsum() - sizes
-        pairs, times = (
-            np.frombuffer(b"".join([u[c] for u in units]), np.int64) for c in (5, 6)
-        )
+        ends = (HEAD_BYTES + 8 * sizes).tolist()
+        pairs = np.frombuffer(b"".join([u[HEAD_BYTES:i] for u, i in zip(units, ends)]), np.int64)
+        times = np.ones(len(pairs), np.int64)
+        for i in np.flatnonzero(heads[:, 3] != sizes).tolist():
+            own = np.frombuffer(units[i][ends[i] : ends[i] + 8 * sizes[i]], np.int64)
+            times[starts[i] : starts[i] + sizes[i]] = own
         span = max(len(units), 1)
         distinct, copies = summed(text_of * span + at, None)
         text, unit = distinct // span, distinct % span
