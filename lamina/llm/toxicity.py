@@ -28,10 +28,14 @@ from pyspark.sql import functions as F
 
 from lamina.llm.common import is_held_out, slices, texts_of
 from lamina.llm.units import Remembered
+from lamina.session import Staging
 
 DIMENSIONS = 1 << 18
 FOLDS = 4
 THRESHOLD = 0.3
+#: Positives that must have a feature, and by how many standard errors its share among them
+#: must be above that among unlabelled texts.
+LEAST, CLEAR = 3, 4.5
 MARKS = b".,;:!?\"'()[]{}#*$%&|<>-_"
 
 
@@ -71,7 +75,7 @@ def softplus(x: np.ndarray) -> np.ndarray:
 
 def train(
     rows: list[np.ndarray], positive: np.ndarray, prior: float, steps: int = 200,
-    rate: float = 0.1, sparsity: float = 3e-4, least: int = 3, clear: float = 4.5,
+    rate: float = 0.1, sparsity: float = 3e-4, least: int = LEAST, clear: float = CLEAR,
 ) -> Model:
     """Fit the non-negative risk. ``rows`` hold each text's features, repeats kept."""
     weights = np.zeros(DIMENSIONS)
@@ -121,13 +125,15 @@ def train(
     return Model(weights, float(min(bias, np.log(prior / (1 - prior)))))
 
 
-def features_of(docs: DataFrame) -> DataFrame:
+def features_of(docs: DataFrame, used: np.ndarray) -> DataFrame:
+    """Each text's features that are in ``used``, repeats kept."""
+
     def run(batches):
         for batch in slices(batches, 500):
-            rows = [
-                np.array([f for w in words_of(t) for f in word_features(w)], np.int32).tobytes()
-                for t in batch.column("text").to_pylist()
-            ]
+            rows = []
+            for t in batch.column("text").to_pylist():
+                found = np.array([f for w in words_of(t) for f in word_features(w)], np.int32)
+                rows.append(found[np.isin(found, used)].tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("positive"), pa.array(rows, pa.binary())], names=["positive", "features"]
             )
@@ -135,6 +141,31 @@ def features_of(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "positive boolean, features binary")
 
 
+def clear_features(docs: DataFrame, n_pos: int, n_unl: int, least: int, clear: float) -> np.ndarray:
+    """Features that at least ``least`` positives have and that stand out among them, counted by
+    Spark; :func:`train` draws the line itself, so a little more than it needs is let through."""
+
+    def run(batches):
+        for batch in slices(batches, 500):
+            kinds, features = [], []
+            for positive, t in zip(batch.column("positive").to_pylist(), batch.column("text").to_pylist()):
+                found = {f for w in words_of(t) for f in word_features(w)}
+                features.extend(found)
+                kinds.extend([positive] * len(found))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(kinds, pa.bool_()), pa.array(features, pa.int32())], names=["positive", "feature"]
+            )
+
+    counted = docs.mapInArrow(run, "positive boolean, feature int").groupBy("feature").agg(
+        F.count_if("positive").alias("p"), F.count_if(~F.col("positive")).alias("u")
+    )
+    share = (F.col("p") + F.col("u")) / F.lit(n_pos + n_unl)
+    error = F.sqrt(F.greatest(share * (1 - share), F.lit(1e-12)) * (1 / n_pos + 1 / n_unl))
+    apart = F.col("p") / n_pos - F.col("u") / n_unl > 0.999 * clear * error
+    found = counted.where((F.col("p") >= least) & apart).select("feature").collect()
+    return np.array(sorted(r["feature"] for r in found), np.int32)
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, most_positive: int = 1500, most_unlabelled: int = 6000
 ) -> Model:
@@ -157,7 +188,16 @@ def fit(
     sample = positives.withColumn("positive", F.lit(True)).union(
         others.distinct().withColumn("positive", F.lit(False))
     )
-    found = features_of(texts.join(F.broadcast(sample), "doc_id")).toPandas()
+    staging = Staging(docs.sparkSession)
+    chosen_texts = staging.write(texts.join(F.broadcast(sample), "doc_id"), "toxicity-sample")
+    counts = {r["positive"]: r["count"] for r in chosen_texts.groupBy("positive").count().collect()}
+    n_pos, n_unl = counts.get(True, 0), counts.get(False, 0)
+    if not n_pos or not n_unl:
+        staging.release()
+        return Model(np.zeros(DIMENSIONS), -60.0)
+    used = clear_features(chosen_texts, n_pos, n_unl, LEAST, CLEAR)
+    found = features_of(chosen_texts, used).toPandas()
+    staging.release()
     rows = [np.frombuffer(f, np.int32) for f in found["features"]]
     return train(rows, found["positive"].to_numpy(dtype=bool), prior)
 
