@@ -45,9 +45,8 @@ def sha256(text: Column) -> Column:
 def read_rows(docs: DataFrame, id_col: str, text_col: str, digest: Callable) -> DataFrame:
     """doc_id, normalised text, digest and place of every row of a file-backed table."""
     text = ascii_lower(F.coalesce(docs[text_col], F.lit("")))
-    place = F.struct(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
-    )
+    source = docs.metadataColumn("_metadata")  # also where the table has a column of that name
+    place = F.struct(source["file_path"].alias("file"), source["row_index"].alias("row"))
     return docs.select(docs[id_col].cast("long").alias("doc_id"), text.alias("text"), place.alias("place")).select(
         "*", digest(F.col("text")).alias("digest")
     )

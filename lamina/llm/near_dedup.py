@@ -315,4 +315,4 @@ def keep_one(docs: DataFrame, staging: Staging) -> DataFrame:
     """The rows of ``docs`` of one document per group, the one with the smallest id."""
     groups = near_groups(docs, staging=staging)
     gone = staging.write(groups.where("not kept").select("doc_id").distinct(), "near-gone")
-    return docs.join(gone.withColumnRenamed("doc_id", "gone_id"), docs["doc_id"] == F.col("gone_id"), "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
