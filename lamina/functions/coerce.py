@@ -8,6 +8,7 @@ no extra pass over the data is made to count.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -24,6 +25,8 @@ from lamina.plans.contract import (
     FieldSet,
 )
 
+log = logging.getLogger(__name__)
+
 MAX_EXAMPLES = 5
 # Timestamps are microseconds in a long.
 MAX_MILLIS = (2**63 - 1) // 1000
@@ -161,6 +164,15 @@ def stored(field_def: dict, sent: Column, dtype: T.DataType) -> Column:
     return sent.try_cast(dtype)
 
 
+def mixed_columns(counts: dict[str, int]) -> list[str]:
+    """Columns in which some values had a domain entry and some had not."""
+    mapped, others = (
+        {key.removesuffix(end) for key in counts if key.endswith(end) and counts[key]}
+        for end in (":mapped", ":unmapped")
+    )
+    return sorted(mapped & others)
+
+
 @dataclass
 class CoercionReport:
     """What a coercion changed. ``counts()`` has values once an action on the
@@ -172,10 +184,17 @@ class CoercionReport:
     observation: Observation | None = None
 
     def counts(self) -> dict[str, int]:
-        """Affected values per ``column:problem``, zeros left out."""
+        """Affected values per ``column:problem``, zeros left out. A column of which only some
+        values have a domain entry is warned of: it now mixes names and codes."""
         if self.observation is None:
             return {}
-        return {k: v for k, v in self.observation.get.items() if v}
+        counts = {k: v for k, v in self.observation.get.items() if v}
+        for name in mixed_columns(counts):
+            log.warning(
+                "%s mixes names and codes: %d of its values have no domain entry.",
+                name, counts[f"{name}:unmapped"],
+            )
+        return counts
 
     def frame(self) -> DataFrame:
         """The counts as one lazy row, for when no other action is going to run."""

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina.functions.coerce import CoercionReport
+from lamina.functions.coerce import CoercionReport, mixed_columns  # noqa: F401
 from lamina.plans.contract import FieldSet
 
 # A lookup this small is a literal map inside the expression; a longer one is a
@@ -31,13 +32,29 @@ def _entries(lookup: dict, dtype: T.DataType) -> list[tuple]:
     if isinstance(dtype, T.StringType):
         return [(k, str(v)) for k, v in lookup.items() if isinstance(k, str)]
     numeric = [(k, v) for k, v in lookup.items() if _usable(k, dtype)]
+    if isinstance(dtype, T.DecimalType):
+        return [(Decimal(str(k)), str(v)) for k, v in numeric if _holds(dtype, k)]
     if isinstance(dtype, NUMBERS):
         return [(float(k), str(v)) for k, v in numeric]
     return [(str(int(k)), str(v)) for k, v in numeric if float(k).is_integer()]
 
 
+def _holds(dtype: T.DecimalType, code: Any) -> bool:
+    """Whether a code is one of the values a decimal column can have."""
+    number = Decimal(str(code))
+    whole, places = dtype.precision - dtype.scale, Decimal(1).scaleb(-dtype.scale)
+    return number.is_finite() and abs(number) < 10**whole and number % places == 0
+
+
+def _key_type(dtype: T.DataType) -> str:
+    """Type codes are compared in: a decimal column's own, else double or text."""
+    if isinstance(dtype, T.DecimalType):
+        return dtype.simpleString()
+    return "double" if isinstance(dtype, NUMBERS) else "string"
+
+
 def _lookup_key(c: Column, dtype: T.DataType) -> Column:
-    return c.cast("double" if isinstance(dtype, NUMBERS) else "string")
+    return c.cast(_key_type(dtype))
 
 
 def mapped(c: Column, dtype: T.DataType, lookup: dict) -> Column:
@@ -45,7 +62,8 @@ def mapped(c: Column, dtype: T.DataType, lookup: dict) -> Column:
     entries = _entries(lookup, dtype)
     if not entries:
         return F.lit(None).cast("string")
-    literal = F.create_map(*[F.lit(part) for pair in entries for part in pair])
+    kind = _key_type(dtype)
+    literal = F.create_map(*[part for k, v in entries for part in (F.lit(k).cast(kind), F.lit(v))])
     return literal[_lookup_key(c, dtype)]
 
 
@@ -87,16 +105,8 @@ def _with_entry(df: DataFrame, c: Column, dtype: T.DataType, lookup: dict, entry
     """``df`` with the looked-up text as column ``entry``, null where there is none."""
     entries = _entries(lookup, dtype)
     table = df.sparkSession.createDataFrame(
-        entries, f"_key {'double' if isinstance(dtype, NUMBERS) else 'string'}, {entry} string"
+        entries, f"_key {_key_type(dtype)}, {entry} string"
     )
     if len(entries) <= MAX_BROADCAST_ENTRIES:
         table = F.broadcast(table)
     return df.join(table, _lookup_key(c, dtype) == F.col("_key"), "left").drop("_key")
-
-
-def mixed_columns(counts: dict[str, int]) -> list[str]:
-    """Columns in which some values had a domain entry and some had not."""
-    names = {key.rsplit(":", 1)[0] for key in counts}
-    return sorted(
-        n for n in names if counts.get(f"{n}:mapped") and counts.get(f"{n}:unmapped")
-    )

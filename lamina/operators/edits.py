@@ -48,7 +48,7 @@ from lamina.operators.results import (
 )
 from lamina.operators.skew import join_spread
 from lamina.plans.contract import GEOMETRY_COLUMN, LayerContract
-from lamina.session import Staging
+from lamina.session import TASK, Staging
 
 SEQ = "_seq"
 # Error of every edit in a batch that was rolled back.
@@ -157,7 +157,7 @@ class EditJob:
         self.base = base  # the stored version these rows are of
         self.staging = Staging(layer.sparkSession)
         self.inputs: dict[str, DataFrame] = {}
-        self._is_merge = False
+        self._is_merge, self.n_parts = False, 0
         self.names: dict[str, list[str]] = {}
         self.dropped: dict[str, list[str]] = {}
         self.reports: dict[str, CoercionReport] = {}
@@ -178,13 +178,15 @@ class EditJob:
         """Upsert, or sync if layer rows without an input row are to be deleted."""
         keys.check_key_names(df, key_fields)
         self.contract.check_names(key_fields)
-        source = self.staging.write(tag_input(df), "input")
+        self.n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        source = self.staging.write_by_task(tag_input(df), "input", SEQ, self.n_parts)
         args = (self.layer, self.contract, key_fields, self.apply_coded_values)
         keys.check_unique_keys(source, *args)
         small = sizes.is_small(source, key_fields)
-        matched = keys.match_input(source, *args, small_input=small)
         self.inputs = {"adds": source, "updates": source}
         self._is_merge = True
+        # keys meet the layer with what judging found, the rows themselves stay where they are
+        matched = keys.match_input(self._judge_both(source, key_fields), *args, small_input=small)
         judged = [self._judge_matched(matched)]
         if delete_missing:
             gone = keys.deletes_of(source, *args, small_input=small)
@@ -253,39 +255,56 @@ class EditJob:
             size.cast("bigint").alias("size"),
         )
 
-    def _judge_matched(self, matched: DataFrame) -> DataFrame:
-        """The same for an input whose rows are adds or updates, in one pass over the match."""
+    def _judge_both(self, source: DataFrame, key_fields: list[str]) -> DataFrame:
+        """Tag and keys of every input row as sent, and what to say of it as an add and as an
+        update: the first problem and the size, of an update that without its object id."""
         _, self.dropped["adds"] = writable_columns(
-            matched.drop(*HIDDEN_COLUMNS), self.contract, with_oid=False
+            source.drop(*HIDDEN_COLUMNS), self.contract, with_oid=False
         )
-        names, sent = self._sent("updates", matched)
+        raw = {f"_sent_{k}": F.col(f"`{k}`") for k in key_fields}
+        names, sent = self._sent("updates", source, raw)
         self.names["adds"] = self.names["updates"]
         self.reports = {"input": self.reports["updates"]}
-        sent = sent.withColumn(self.oid, F.col(keys.MATCHED_OID))
-        geometry, is_update = geometry_of(matched), F.col(keys.IS_MATCHED)
-        feature = F.when(is_update, feature_json(names, geometry)).otherwise(
-            feature_json(self.names["adds"], geometry)
-        )
-        problem = F.when(is_update, self._problem("updates", names, geometry)).otherwise(
-            self._problem("adds", self.names["adds"], geometry)
-        )
+        sent = sent.withColumn(self.oid, F.lit(0))
+        geometry = geometry_of(source)
+        without_id = F.octet_length(feature_json(names, geometry)) - 1
         return sent.select(
+            F.col(SEQ),
+            *[F.col(f"`{r}`").alias(k) for r, k in zip(raw, key_fields)],
+            self._problem("adds", self.names["adds"], geometry).alias("_add_problem"),
+            self._problem("updates", names, geometry).alias("_update_problem"),
+            F.octet_length(feature_json(self.names["adds"], geometry)).alias("_add_size"),
+            without_id.alias("_update_size"),
+        )
+
+    def _judge_matched(self, matched: DataFrame) -> DataFrame:
+        """Narrow view of the edits an input comes to, its rows being adds or updates."""
+        is_update, oid = F.col(keys.IS_MATCHED), F.col(keys.MATCHED_OID).cast("bigint")
+        size = F.when(
+            is_update, F.col("_update_size") + F.octet_length(F.coalesce(oid.cast("string"), F.lit("0")))
+        ).otherwise(F.col("_add_size"))
+        problem = F.when(is_update, F.col("_update_problem")).otherwise(F.col("_add_problem"))
+        return matched.select(
             F.when(is_update, KINDS.index("updates")).otherwise(KINDS.index("adds")).alias("kind_rank"),
             F.col(SEQ).alias("seq"),
-            F.col(keys.MATCHED_OID).cast("bigint").alias("oid"),
+            oid.alias("oid"),
             problem.alias("problem"),
-            F.octet_length(feature).cast("bigint").alias("size"),
+            size.cast("bigint").alias("size"),
         )
 
-    def _sent(self, kind: str, rows: DataFrame) -> tuple[list[str], DataFrame]:
-        """Rows with their sent values, and the columns of a payload."""
+    def _sent(
+        self, kind: str, rows: DataFrame, extra: dict[str, Column] | None = None
+    ) -> tuple[list[str], DataFrame]:
+        """Rows with their sent values, and the columns of a payload; ``extra`` columns are
+        taken along as the input has them."""
         with_oid = kind == "updates"
         names, self.dropped[kind] = writable_columns(
             rows.drop(*HIDDEN_COLUMNS), self.contract, with_oid=with_oid
         )
         self.names[kind] = [n for n in names if n != self.oid]
         sent, self.reports[kind] = sent_frame(
-            rows, self.contract, self.names[kind], self.apply_coded_values
+            rows.withColumns(extra) if extra else rows,
+            self.contract, self.names[kind], self.apply_coded_values,
         )
         return ([self.oid, *self.names[kind]] if with_oid else self.names[kind]), sent
 
@@ -379,7 +398,7 @@ class EditJob:
                     code=F.lit(ROLLBACK_CODE),
                     message=F.lit(ROLLBACK_MESSAGE),
                     details=F.array(F.lit(ROLLBACK_DETAIL), cause),
-                    extra=F.create_map(F.lit("extendedCode"), F.lit(ROLLBACK_EXTENDED_CODE)),
+                    extra=F.create_map(F.lit("extended_code"), F.lit(ROLLBACK_EXTENDED_CODE)),
                 ),
             )
         success = error.isNull()
@@ -434,7 +453,8 @@ class EditJob:
         if not pack.counts["adds"]:
             return None
         if self._is_merge or sizes.fits(sum(pack.counts.values()), pack.n_bytes):
-            return self._added(items.where(F.col("success") & (F.col("kind") == "adds")))
+            small = sizes.fits(sum(pack.counts.values()), pack.n_bytes)
+            return self._added(items.where(F.col("success") & (F.col("kind") == "adds")), small)
         return self._appended(items, pack)
 
     def _typed(self, kind: str) -> tuple[list[str], DataFrame]:
@@ -451,13 +471,14 @@ class EditJob:
         if GEOMETRY_COLUMN in sent.columns and GEOMETRY_COLUMN in self.layer.columns:
             here = F.col(GEOMETRY_COLUMN).withField("crs", F.lit(self.contract.crs))
             geometry = [here.cast(self.layer.schema[GEOMETRY_COLUMN].dataType).alias(GEOMETRY_COLUMN)]
+        tags = [c for c in (SEQ, TASK) if c in sent.columns]
         out = sent.select(
-            F.col(SEQ),
+            *tags,
             self._given_oid(kind, sent).alias("_sent_oid"),
             *[c.alias(n) for n, c in columns.items()],
             *geometry,
         )
-        return [c for c in out.columns if c not in (SEQ, "_sent_oid")], out
+        return [c for c in out.columns if c not in (SEQ, TASK, "_sent_oid")], out
 
     def _given_oid(self, kind: str, rows: DataFrame) -> Column:
         """The object id an update or delete names; null if it names none, or for an add."""
@@ -478,7 +499,9 @@ class EditJob:
         names, typed = self._typed("updates")
         same = F.col(SEQ) == F.col("_last_seq")
         n_others = None if small or self._is_merge else pack.counts["updates"] - last.count()
-        if n_others is None or n_others > sizes.MAX_BROADCAST_ROWS:
+        if self._is_merge and not small:
+            found = self._where_written(typed, last, "_last_seq")
+        elif n_others is None or n_others > sizes.MAX_BROADCAST_ROWS:
             found = typed.join(last, same)
         else:
             found = typed.withColumn("_oid", F.col("_sent_oid"))
@@ -490,6 +513,12 @@ class EditJob:
             "_oid", F.lit(True).alias("_hit"), *[F.col(f"`{n}`").alias(f"_new_{n}") for n in names]
         )
 
+    def _where_written(self, typed: DataFrame, narrow: DataFrame, seq: str) -> DataFrame:
+        """Input rows with the narrow row of their tag, brought to where they were written."""
+        placed = narrow.withColumn("_at", task_of(F.col(seq))).repartition(self.n_parts, "_at")
+        same = (F.col(TASK) == F.col("_at")) & (F.col(SEQ) == F.col(seq))
+        return typed.join(placed.hint("shuffle_hash"), same)
+
     def _updated(self, rows: DataFrame, new: DataFrame) -> DataFrame:
         names = [c.removeprefix("_new_") for c in new.columns if c.startswith("_new_")]
         joined = rows.join(new, F.col(f"`{self.oid}`") == F.col("_oid"), "left")
@@ -503,11 +532,14 @@ class EditJob:
             columns.append(old.alias(name))
         return joined.select(*columns)
 
-    def _added(self, done: DataFrame) -> DataFrame:
+    def _added(self, done: DataFrame, small: bool) -> DataFrame:
         """New rows of the successful adds, which may be some of many input rows."""
         names, typed = self._typed("adds")
         ids = done.select(F.col("seq").alias("_new_seq"), "object_id", "global_id")
-        joined = typed.join(ids, F.col(SEQ) == F.col("_new_seq"))
+        if self._is_merge and not small:
+            joined = self._where_written(typed, ids, "_new_seq")
+        else:
+            joined = typed.join(ids, F.col(SEQ) == F.col("_new_seq"))
         return self._layer_rows(joined, names, F.col("object_id"), F.col("global_id"))
 
     def _appended(self, items: DataFrame, pack: Pack) -> DataFrame:

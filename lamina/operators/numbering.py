@@ -6,12 +6,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lamina.session import Staging, stage
+from lamina.session import TASK_BITS, Staging, stage
 
 POSITION = "position"
 TAG = "_row_tag"
-# A tag is (task number << 33) + running number within the task.
-TASK_BITS = 33
 _LOCAL_MASK = (1 << TASK_BITS) - 1
 
 

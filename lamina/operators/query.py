@@ -17,6 +17,8 @@ from lamina.functions.coerce import enforce_types
 from lamina.functions.domains import recode_domains
 from lamina.operators.numbering import POSITION, number_rows
 from lamina.operators.selection import SortKey, orderings, take_window
+from lamina.operators.sizes import fits
+from lamina.operators.skew import join_spread
 from lamina.plans.contract import DATE_TYPE, GEOMETRY_COLUMN, FieldSet, LayerContract
 from lamina.plans.literals import bind_time_literals, check_date_literals
 from lamina.session import Staging
@@ -336,8 +338,12 @@ def parse_order(order_by: str | list[str] | None, check: Any) -> list[SortKey]:
     return keys
 
 
-def keep_ids(df: DataFrame, column: str, ids: Any) -> DataFrame:
-    """Rows whose ``column`` is among ``ids``: comma text, a list, or a DataFrame."""
+def keep_ids(df: DataFrame, column: str, ids: Any, row_id: Column | None = None) -> DataFrame:
+    """Rows whose ``column`` is among ``ids``: comma text, a list, or a DataFrame.
+
+    With ``row_id`` many rows may have one id: those are spread where the ids are too many
+    to be broadcast.
+    """
     c = F.col(f"`{column}`")
     dtype = df.schema[column].dataType
     if not isinstance(ids, DataFrame):
@@ -347,13 +353,22 @@ def keep_ids(df: DataFrame, column: str, ids: Any) -> DataFrame:
             return df.where(c.isin(values))
         table = df.sparkSession.createDataFrame([(v,) for v in values], T.StructType(
             [T.StructField("_wanted", dtype)]))
-        table = F.broadcast(table) if len(values) <= MAX_BROADCAST_IDS else table
+        if len(values) <= MAX_BROADCAST_IDS and fits(len(values), sum(map(_width, values))):
+            return df.join(F.broadcast(table), c == F.col("_wanted"), "left_semi")
+        table = table.distinct()
     else:
         source = column if column in ids.columns else ids.columns[0]
-        table = ids.select(F.col(f"`{source}`").alias("_wanted")).distinct()
+        table = ids.select(F.col(f"`{source}`").cast(dtype).alias("_wanted")).distinct()
+    if row_id is not None:
+        table = table.where(F.col("_wanted").isNotNull())
+        return join_spread(df, table, [(column, "_wanted")], "left_semi", row_id)
     return df.join(table, c == F.col("_wanted"), "left_semi")
 
 
+def _width(value: Any) -> int:
+    return len(value.encode()) if isinstance(value, str) else 8
+
+
 def time_condition(c: Column, dtype: T.DataType, time: Any) -> Column:
     """Instant or ``start,end`` in epoch milliseconds; ``null`` leaves an end open.
 

@@ -7,25 +7,27 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Hot keys are found in a sample: one row in a thousand, and at least this many of them.
-SAMPLE = 0.001
-HOT_SAMPLES = 100
-# More keys than this cannot each have a large share of the rows.
-MAX_HOT_KEYS = 200
-# Over how many join keys the rows of a hot key are spread.
-SPREAD = 64
+# Rows a task is to get of one key: a key with more is dealt to as many join keys as that takes.
+ROWS_PER_TASK = 250_000
+# Hot keys are looked for with sketches of frequent items, one for each of so many shares of the
+# keys' hashes; each names so many keys and tracks so many. A count is too high by at most
+# 3.5 / TRACKED of its share's rows, and no key above that error goes unnoticed.
+SHARDS, KEYS_PER_SHARD, TRACKED = 16, 64, 4096
 
 
-def hot_key_hashes(df: DataFrame, keys: list[Column]) -> list[int]:
-    """Hashes of the keys that most rows of a large table crowd under.
+def hot_keys(df: DataFrame, keys: list[Column]) -> DataFrame:
+    """``_hash, _spread``: the hash of each key with more rows than a task is to get of one, at
+    most ``SHARDS * KEYS_PER_SHARD`` of them, and over how many join keys to deal its rows.
 
-    A scan of the key columns and a small aggregate. What is found only decides how
-    rows are distributed, never the result.
+    Lazy, as part of the join's own plan: a scan of the key columns and sketches that
+    tasks fill and Spark merges. What is found decides how rows are dealt, never the result.
     """
-    sampled = df.select(F.xxhash64(*keys).alias("_hash")).sample(SAMPLE, seed=17)
-    counts = sampled.groupBy("_hash").count().where(F.col("count") >= HOT_SAMPLES)
-    top = counts.orderBy(F.col("count").desc()).limit(MAX_HOT_KEYS)
-    return [row["_hash"] for row in top.collect()]
+    hashed = df.select(F.xxhash64(*keys).alias("_hash"))
+    sketch = F.expr(f"approx_top_k(_hash, {KEYS_PER_SHARD}, {TRACKED})").alias("_top")
+    shards = hashed.groupBy(F.pmod("_hash", F.lit(SHARDS)).alias("_shard")).agg(sketch)
+    found = shards.select(F.inline("_top")).where(F.col("count") > ROWS_PER_TASK)
+    spread = F.ceil(F.col("count") / ROWS_PER_TASK).cast("int")
+    return found.select(F.col("item").alias("_hash"), spread.alias("_spread"))
 
 
 def join_spread(
@@ -38,21 +40,28 @@ def join_spread(
     """Join rows that may crowd under a key with rows unique by that key.
 
     ``pairs`` names the key columns of both sides; they must have equal types, and null
-    matches null. Rows of hot keys are spread by ``row_id`` over ``SPREAD`` join keys, and
-    the one matching row is copied to each, so the result is the same as without. An
-    outer, semi or anti join must keep the side of the many rows.
+    matches null. Rows of a hot key are dealt by ``row_id`` to as many join keys as its share
+    calls for, and the one matching row is copied to each, so the result is the same as without. An
+    outer, semi or anti join must keep the side of the many rows. No job is started.
     """
     left, right = ([F.col(f"`{p[i]}`") for p in pairs] for i in (0, 1))
-    hot = hot_key_hashes(many, left)
     columns = many.columns
-    if hot:
-        salt = F.when(F.xxhash64(*left).isin(hot), F.pmod(row_id, F.lit(SPREAD)))
-        many = many.withColumn("_many_salt", F.coalesce(salt, F.lit(0)).cast("int"))
-        copies = F.when(F.xxhash64(*right).isin(hot), F.sequence(F.lit(0), F.lit(SPREAD - 1)))
-        one = one.withColumn("_one_salt", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
-        pairs = [*pairs, ("_many_salt", "_one_salt")]
-    same = reduce(lambda a, b: a & b, [many[a].eqNullSafe(one[b]) for a, b in pairs])
-    joined = many.join(one, same, how)
+    hot = hot_keys(many, left)
+    spread = F.coalesce(F.col("_spread"), F.lit(1))
+
+    def with_spread(df: DataFrame, keys: list[Column]) -> DataFrame:
+        # at most SHARDS * KEYS_PER_SHARD rows of two numbers
+        hashed = df.withColumn("_own_hash", F.xxhash64(*keys))
+        return hashed.join(F.broadcast(hot), F.col("_own_hash") == F.col("_hash"), "left")
+
+    salt = F.pmod(F.xxhash64(row_id), spread).cast("int")
+    dealt = with_spread(many, left).withColumn("_many_salt", salt)
+    dealt = dealt.drop("_own_hash", "_hash", "_spread")
+    copies = F.explode(F.sequence(F.lit(0), spread - 1)).alias("_one_salt")
+    copied = with_spread(one, right).select(*[one[f"`{c}`"] for c in one.columns], copies)
+    pairs = [*pairs, ("_many_salt", "_one_salt")]
+    same = reduce(lambda a, b: a & b, [dealt[a].eqNullSafe(copied[b]) for a, b in pairs])
+    joined = dealt.join(copied, same, how)
     if how in ("left_semi", "left_anti"):
         return joined.select(*columns)
     return joined.drop("_many_salt", "_one_salt")

@@ -7,6 +7,11 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# A row tag is (task number << 33) + running number within the task.
+TASK_BITS = 33
+TASK = "_task"
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -65,6 +70,7 @@ class Staging:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.paths: list[str] = []
+        self.tables: list[str] = []
 
     def write(self, df: DataFrame, label: str) -> DataFrame:
         """Write ``df`` once and return the written table.
@@ -79,8 +85,30 @@ class Staging:
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def write_by_task(self, df: DataFrame, label: str, tag: str, buckets: int) -> DataFrame:
+        """Write ``df`` once as :meth:`write` does, in buckets of the task that wrote a row.
+
+        ``tag`` is a row tag (see :mod:`lamina.operators.numbering`); column ``_task`` is added.
+        Nothing is shuffled for it, a task's rows are a file of one bucket, and Spark knows the
+        layout: what is brought to ``buckets`` partitions by ``_task`` meets these rows where they lie,
+        also in a join by task and tag, once the session allows joins whose sides lie together by some of
+        their keys; that is a matter of planning, and set here.
+        """
+        self.spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+        name = f"lamina_{uuid.uuid4().hex}"
+        path = os.path.join(shared_folder(self.spark), "lamina", f"{label}-{name}")
+        self.paths.append(path)
+        self.tables.append(name)
+        tasks = df.withColumn(TASK, F.shiftright(F.col(tag), TASK_BITS))
+        writer = tasks.write.mode("errorifexists").bucketBy(buckets, TASK)
+        writer.option("path", path).saveAsTable(name)
+        return self.spark.table(name)
+
     def release(self) -> None:
         """Delete the written tables. Whatever still reads them must have run."""
+        for name in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.tables.clear()
         conf = self.spark._jsc.hadoopConfiguration()
         for path in self.paths:
             place = self.spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -6,17 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina.functions.binding import bind
 from lamina.operators.batches import KINDS
-from lamina.operators.results import ERROR_TYPE, NO_OBJECT_ID
+from lamina.operators.results import ERROR_TYPE, NO_OBJECT_ID, snake_case
 
 # Response lists per kind, and the keys an error value may have.
 _RESULT_LISTS = {"adds": "addResults", "updates": "updateResults", "deletes": "deleteResults"}
-_ITEM = "struct<objectId:bigint,globalId:string,success:boolean,error:string>"
-_KNOWN_ERROR = (
-    "code bigint, description string, exception string, outcome_unknown boolean, "
-    "status_url string, message string, details array<string>"
-)
+_ITEM = "struct<objectId:bigint,globalId:string,success:boolean,error:map<string,string>>"
 
 # Error classes by code, and what an envelope without a key means.
 ERROR_CLASSES = {
@@ -39,22 +34,24 @@ MAY_HAVE_ARRIVED = (
 )
 
 
-def parse_error(text: Column) -> Column:
-    """Error value from its JSON text; keys without a column go to ``extra``."""
-    names = [f.name for f in ERROR_TYPE if f.name != "extra"]
-
-    def build(parsed: Column) -> Column:
-        extra = F.map_filter(parsed["every"], lambda k, _: ~k.isin(names))
-        return F.struct(
-            *[parsed["known"][n].alias(n) for n in names],
-            F.when(F.size(extra) > 0, extra).alias("extra"),
-        )
+def error_of(entries: Column) -> Column:
+    """Error value from its entries as text; those without a column go to ``extra``, named in
+    snake case. Only a list is parsed again, for its items."""
+    own = [f for f in ERROR_TYPE if f.name != "extra"]
+    parts = []
+    for f in own:
+        text = entries[f.name]
+        listed = isinstance(f.dataType, T.ArrayType)
+        value = F.from_json(text, f.dataType) if listed else text.try_cast(f.dataType)
+        parts.append(value.alias(f.name))
+    rest = F.map_filter(entries, lambda k, _: ~k.isin([f.name for f in own]))
+    extra = F.when(F.size(rest) > 0, F.transform_keys(rest, lambda k, _: snake_case(k)))
+    return F.when(entries.isNotNull(), F.struct(*parts, extra.alias("extra"))).cast(ERROR_TYPE)
 
-    parsed = F.struct(
-        F.from_json(text, _KNOWN_ERROR).alias("known"),
-        F.from_json(text, "map<string,string>").alias("every"),
-    )
-    return F.when(text.isNotNull(), bind(parsed, build)).cast(ERROR_TYPE)
+
+def parse_error(text: Column) -> Column:
+    """Error value from its JSON text."""
+    return error_of(F.from_json(text, "map<string,string>"))
 
 
 def parse_edit_responses(responses: DataFrame, keep: list[str]) -> DataFrame:
@@ -84,7 +81,7 @@ def parse_edit_responses(responses: DataFrame, keep: list[str]) -> DataFrame:
         F.coalesce(r["objectId"], F.lit(NO_OBJECT_ID).cast("bigint")).alias("object_id"),
         r["globalId"].alias("global_id"),
         F.coalesce(r["success"], F.lit(False)).alias("success"),
-        parse_error(r["error"]).alias("error"),
+        error_of(r["error"]).alias("error"),
     )
 
 

@@ -86,8 +86,7 @@ def found(result):
 )
 def test_filters(layer, monkeypatch, hot, arguments, ids):
     if hot:
-        monkeypatch.setattr(skew, "SAMPLE", 1.0)
-        monkeypatch.setattr(skew, "HOT_SAMPLES", 1)
+        monkeypatch.setattr(skew, "ROWS_PER_TASK", 1)
     assert found(layer.query_attachments(**arguments)) == ids
 
 
@@ -204,8 +203,7 @@ def test_request_shapes():
 @pytest.mark.parametrize("hot", [False, True])
 def test_add_files(layer, tmp_path, monkeypatch, hot):
     if hot:
-        monkeypatch.setattr(skew, "SAMPLE", 1.0)
-        monkeypatch.setattr(skew, "HOT_SAMPLES", 1)
+        monkeypatch.setattr(skew, "ROWS_PER_TASK", 1)
     (tmp_path / "sub").mkdir()
     (tmp_path / "sub" / "note.txt").write_bytes(b"hello")
     paths = [str(tmp_path / "sub" / "note.txt"), str(tmp_path / "gone.txt"), b"raw"]

@@ -45,8 +45,7 @@ CASES = [
 @pytest.mark.parametrize(("rows", "schema", "layer", "keys", "adds", "updates", "deletes"), CASES)
 def test_diff(spark, monkeypatch, sampled, rows, schema, layer, keys, adds, updates, deletes):
     if sampled:  # every key counts as hot, so every row goes through the spreading
-        monkeypatch.setattr(skew, "SAMPLE", 1.0)
-        monkeypatch.setattr(skew, "HOT_SAMPLES", 1)
+        monkeypatch.setattr(skew, "ROWS_PER_TASK", 1)
         monkeypatch.setattr(sizes, "MAX_BROADCAST_ROWS", -1)
     target = Layer(spark.createDataFrame(layer, SCHEMA), CONTRACT)
     found = target.diff(spark.createDataFrame(rows, schema), keys)

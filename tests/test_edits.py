@@ -55,8 +55,7 @@ def test_all_kinds(spark, layer):
 def test_missing_id_without_rollback(spark, layer, monkeypatch, large):
     if large:
         monkeypatch.setattr(sizes, "MAX_BROADCAST_ROWS", 0)
-        monkeypatch.setattr(skew, "SAMPLE", 1.0)
-        monkeypatch.setattr(skew, "HOT_SAMPLES", 1)
+        monkeypatch.setattr(skew, "ROWS_PER_TASK", 1)
     outcome = layer.apply_edits(
         updates=names(spark, [(1, "X"), (99, "Y"), (None, "Z"), (1, "W")]),
         deletes=[2, 98],
@@ -78,7 +77,7 @@ def test_rollback_is_per_batch(spark, layer):
     assert values(whole.rows, *ALL) == values(layer.rows, *ALL)
     error = whole.items.first()["error"]
     assert (error["code"], error["message"], error["extra"]) == (
-        400, "Unable to complete operation.", {"extendedCode": "-2146"})
+        400, "Unable to complete operation.", {"extended_code": "-2146"})
     assert error["details"] == ["Operation rolled back.", "Object id 99 does not exist."]
     # one edit per batch: the bad one fails alone
     single = layer.apply_edits(updates=names(spark, rows), max_batch_bytes=1)

@@ -35,19 +35,19 @@ LOST = (-1, "timed out", "ReadTimeout", True, None, None, None, None)
 def mixed(spark):
     """Adds a ok, b rejected, c unknown; updates d ok, e rejected; one delete ok."""
     rows = [
-        ("adds", 0, 0, None, 10, None, True, None),
+        ("adds", 0, 0, None, 71, None, True, None),
         ("adds", 1, 1, None, -1, None, False, REJECTED),
         ("adds", 2, 2, None, -1, None, False, LOST),
-        ("updates", 0, 0, 20, 20, None, True, None),
-        ("updates", 1, 1, 21, 21, None, False, REJECTED),
-        ("deletes", 0, 0, 30, 30, None, True, None),
+        ("updates", 0, 0, 46, 46, None, True, None),
+        ("updates", 1, 1, 45, 45, None, False, REJECTED),
+        ("deletes", 0, 0, 8, 8, None, True, None),
     ]
     inputs = {
         "adds": spark.createDataFrame([("a", 0), ("b", 1), ("c", 2)], "name string, _seq bigint"),
         "updates": spark.createDataFrame(
-            [("d", 20, 0), ("e", 21, 1)], "name string, OBJECTID bigint, _seq bigint"
+            [("d", 46, 0), ("e", 45, 1)], "name string, OBJECTID bigint, _seq bigint"
         ),
-        "deletes": spark.createDataFrame([(30, 0)], "OBJECTID bigint, _seq bigint"),
+        "deletes": spark.createDataFrame([(8, 0)], "OBJECTID bigint, _seq bigint"),
     }
     return EditResults(spark.createDataFrame(rows, ITEMS), inputs, "OBJECTID")
 
@@ -59,9 +59,9 @@ def test_metadata(mixed):
         "error_exception", "error_outcome_unknown", "error_status_url"]
     rows = [(r["kind"], r["status"], r["object_id"], r["position"]) for r in frame.collect()]
     assert rows == [
-        ("adds", "succeeded", 10, 0), ("adds", "failed", -1, 1), ("adds", "unknown", -1, 2),
-        ("updates", "succeeded", 20, 0), ("updates", "failed", 21, 1),
-        ("deletes", "succeeded", 30, 0)]
+        ("adds", "succeeded", 71, 0), ("adds", "failed", -1, 1), ("adds", "unknown", -1, 2),
+        ("updates", "succeeded", 46, 0), ("updates", "failed", 45, 1),
+        ("deletes", "succeeded", 8, 0)]
     kinds = dict(frame.dtypes)
     assert (kinds["error_code"], kinds["error_outcome_unknown"]) == ("bigint", "boolean")
 
@@ -73,7 +73,7 @@ def test_input_rows(mixed):
     rows = [(r["name"], r["OBJECTID"], r["_edit_status"]) for r in frame.collect()]
     assert rows == [
         ("a", None, "succeeded"), ("b", None, "failed"), ("c", None, "unknown"),
-        ("d", 20, "succeeded"), ("e", 21, "failed"), (None, 30, "succeeded")]
+        ("d", 46, "succeeded"), ("e", 45, "failed"), (None, 8, "succeeded")]
     assert "_edit_position" not in frame.columns
 
 
@@ -132,9 +132,14 @@ def test_error_text(spark, description, message, details, wanted):
     assert df.select(error_text(F.col("d"), F.col("m"), F.col("l"))).first()[0] == wanted
 
 
-def test_snake_case():
-    names = ["extendedCode", "code", "statusURL", "Message"]
-    assert [snake_case(n) for n in names] == ["extended_code", "code", "status_u_r_l", "message"]
+def test_snake_case(spark):
+    """Every capital but a first one begins a new word."""
+    words = ["alpha", "be", "c", "delta9"]
+    names = ["".join([w[0], *[x.capitalize() for x in w[1:]]]) for w in (words[:n] for n in (1, 2, 3, 4))]
+    df = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "n string, i int")
+    found = [r[0] for r in df.orderBy("i").select(snake_case(F.col("n"))).collect()]
+    assert found == ["_".join(words[:n]) for n in (1, 2, 3, 4)]
+    assert df.select(snake_case(F.lit("Title"))).first()[0] == "title"
 
 
 def test_stack(spark):

@@ -26,10 +26,10 @@ def test_spreading_changes_nothing(sides, monkeypatch, how):
     assert sorted(map(tuple, skew.join_spread(*args).collect()), key=repr) == sorted(
         map(tuple, plain.collect()), key=repr
     )
-    monkeypatch.setattr(skew, "SAMPLE", 1.0)
-    assert len(skew.hot_key_hashes(many, [F.col("k")])) == 2
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 100)
+    hot = {r["_hash"]: r["_spread"] for r in skew.hot_keys(many, [F.col("k")]).collect()}
+    assert len(hot) == 2 and min(hot.values()) >= 10 and max(hot.values()) <= 11
     spread = skew.join_spread(*args)
-    assert "explode" in spread._jdf.queryExecution().analyzed().toString()
     assert spread.columns == plain.columns
     assert sorted(map(tuple, spread.collect()), key=repr) == sorted(
         map(tuple, plain.collect()), key=repr
@@ -38,7 +38,7 @@ def test_spreading_changes_nothing(sides, monkeypatch, how):
 
 def test_rows_of_a_hot_key_leave_one_partition(spark, sides, monkeypatch):
     many, one = sides
-    monkeypatch.setattr(skew, "SAMPLE", 1.0)
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 20)
     with_conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
     before = {k: spark.conf.get(k) for k in with_conf}
     try:
@@ -50,3 +50,19 @@ def test_rows_of_a_hot_key_leave_one_partition(spark, sides, monkeypatch):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_half_of_all_rows_under_one_key(spark, monkeypatch):
+    """Each join key gets about as many rows of it as a task is to get, and no job is started early."""
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 500)
+    rows = spark.range(40_000).select("id", F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
+    one = spark.range(0, 100).select((F.col("id") - 1).alias("o"))
+    group = "one join"
+    spark.sparkContext.setJobGroup(group, group)
+    joined = skew.join_spread(rows, one, [("k", "o")], "left_semi", F.col("id"))
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    assert joined.count() == 20_000 + 49
+    hot = skew.hot_keys(rows, [F.col("k")]).collect()
+    assert len(hot) == 1 and 40 <= hot[0]["_spread"] <= 41
+    dealt = rows.where("k = -1").groupBy(F.pmod(F.xxhash64("id"), F.lit(hot[0]["_spread"]))).count()
+    assert dealt.agg(F.max("count")).first()[0] <= 700

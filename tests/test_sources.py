@@ -91,7 +91,7 @@ def test_edit_responses(spark):
         ("adds", 0, 5, "G", True), ("adds", 1, -1, None, False), ("deletes", 0, 7, None, False)]
     error = rows[2]["error"]
     assert (error["code"], error["message"], error["details"], error["extra"]) == (
-        400, "m", ["a", "b"], {"extendedCode": "-2146"})
+        400, "m", ["a", "b"], {"extended_code": "-2146"})
     assert rows[0]["error"] is None
 
 

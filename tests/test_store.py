@@ -9,6 +9,8 @@ from conftest import metadata, values
 from pyspark.sql import functions as F
 
 from lamina import InvalidParameterError, Layer, LayerContract, LayerStore, StaleLayerError
+from lamina.operators import sizes
+from lamina.session import Staging
 from lamina.sources import store as store_module
 
 ROWS = 200
@@ -203,3 +205,43 @@ def test_global_ids_differ_between_layers(spark, tmp_path):
     assert len(ids) == len(set(ids)) == 4 and all(ids)
     again = layers[3].append(one(spark, Name="m")).rows
     assert again.select("GlobalID").distinct().count() == 2
+
+
+def wide_exchanges(df, column):
+    """Exchanges that move ``column``."""
+    utils = df.sparkSession._jvm.org.apache.spark.sql.api.python.PythonSQLUtils
+    text = utils.explainString(df._jdf.queryExecution(), "formatted")
+    nodes = [n for n in text.split("\n\n") if n.lstrip("\n").split("\n")[0].endswith(("Exchange", "Exchange "))]
+    return [n for n in nodes if f"{column}#" in n.split("Arguments")[0]]
+
+
+def test_wide_rows_of_a_large_upsert_move_once(spark, stored, monkeypatch):
+    """To the layer's buckets; matching and judging move keys and verdicts only."""
+    monkeypatch.setattr(sizes, "MAX_BROADCAST_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    staged, write = [], Staging.write
+    monkeypatch.setattr(
+        Staging, "write", lambda self, df, label: staged.append(df) or write(self, df, label)
+    )
+    feed = spark.range(150, 260, numPartitions=3).select(
+        F.col("id").cast("string").alias("Name"), F.col("id").cast("int").alias("Status"),
+        (F.col("id") * 1.5).alias("Score"),
+    )
+    layer = Layer(None, stored.contract, store=stored.store)
+    named = stored.rows.select("OBJECTID", F.col("OBJECTID").cast("string").alias("Name"))
+    try:
+        layer.apply_edits(updates=named)
+        staged.clear()
+        job = layer._job(True, apply_coded_values=False, max_batch_bytes=None)
+        outcome = job.merge(feed, ["Name"], delete_missing=False)
+        change = outcome.change
+        assert not any(wide_exchanges(df, "Score") for df in staged)
+        assert len(wide_exchanges(change.rows(layer.rows), "Score")) == 1
+        assert len(wide_exchanges(change.added(), "Score")) == 1
+        rows = layer._commit(job, outcome).rows
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    found = {r["Name"]: (r["OBJECTID"], r["Score"]) for r in rows.collect()}
+    assert len(found) == 259 and sorted(i for i, _ in found.values()) == list(range(1, 260))
+    assert all(found[str(i)] == (i, 0.5 if i < 150 else i * 1.5) for i in range(1, ROWS + 1))
+    assert {found[str(i)][1] for i in range(201, 260)} == {i * 1.5 for i in range(201, 260)}
