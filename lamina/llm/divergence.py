@@ -370,7 +370,7 @@ def audit(
     # written, so that its size decides how it is joined: one row for each group
     sizes = staging.write(group_sizes(table), "groups")
     shares = with_shares(table.where(F.col("term").isNotNull()), sizes)
-    buckets = table.count() // BUCKET_ROWS + 1
+    buckets = max(2, table.count() // BUCKET_ROWS + 1)
     pairs = source_pairs(shares, sizes, buckets).withColumn("part", F.lit("pair"))
     terms = source_terms(shares, sizes, top).withColumn("part", F.lit("term"))
     ranked = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), F.col("item"))
