@@ -101,6 +101,20 @@ def test_substrings(spark, docs, monkeypatch):
     assert substring_dedup.removal_digests(docs.limit(0)).count() == 0
 
 
+def test_a_run_another_chunk_has_first_is_settled():
+    """Also where other runs share its anchor; only different runs go on to be compared."""
+    import numpy as np
+    import pyarrow as pa
+
+    chunks = [[(7, 1, 5), (8, 1, 5)], [(7, 1, 6), (8, 0, 6)], [(7, 2, 3), (8, 1, 4)], [(7, 1, 5)], [(9, 4, 1)]]
+    parts = [substring_dedup.packed_report(np.array(c, substring_dedup.REPORT)) for c in chunks]
+    table = pa.table({"chunk": range(5), "bucket": [0] * 5, "payload": pa.array(parts, pa.binary())})
+    found = [list(p) for p in substring_dedup.answer(table)["payload"].to_pylist()]
+    first, partial, unique = substring_dedup.EARLIER, substring_dedup.PARTIAL, substring_dedup.UNIQUE
+    # An id that comes twice does not count for itself; several runs in one (0) are compared.
+    assert found == [[partial, first], [first, partial], [partial, partial], [partial], [unique]]
+
+
 def test_substrings_on_documents(spark):
     folder = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
     rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang").collect()]
