@@ -313,6 +313,8 @@ def near_groups(
 
 def keep_one(docs: DataFrame, staging: Staging) -> DataFrame:
     """The rows of ``docs`` of one document per group, the one with the smallest id."""
-    groups = near_groups(docs, staging=staging)
+    passing = Staging(docs.sparkSession)  # what only finding the groups needs
+    groups = near_groups(docs, staging=passing)
     gone = staging.write(groups.where("not kept").select("doc_id").distinct(), "near-gone")
+    passing.release()
     return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")

@@ -54,6 +54,17 @@ def test_keep_one(spark, docs):
     assert sorted(lower(r.text) for r in left.collect()) == sorted({lower(t) for _, t, _ in ROWS})
 
 
+def test_stages_keep_one_copy(spark, docs):
+    """Of what a stage stages, its result needs one copy of the texts at most."""
+    for keep_one, texts in ((exact_dedup.keep_one, 1), (near_dedup.keep_one, 0)):
+        staging = Staging(spark)
+        left = keep_one(docs, staging)
+        held = [spark.read.parquet(p) for p in staging.paths]
+        assert sum(str(d.schema).count("StringType") >= 3 for d in held) == 0
+        assert sum("text" in d.columns for d in held) == texts and len(held) == 1 + texts
+        assert left.columns == docs.columns and left.count() > 0
+
+
 def test_near(spark, docs):
     found = {r.doc_id: r for r in near_dedup.near_groups(docs).collect()}
     assert {i for i, r in found.items() if i and r.component_id == 5} == {5, 6, 7}
