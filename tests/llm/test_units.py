@@ -29,6 +29,19 @@ def test_units_equal_library(path, dropped):
         assert ids == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_words_with_marks_need_no_pattern():
+    """A word with marks or a line end is cut as the file's pattern cuts it, without asking it."""
+    for path, dropped in ((BYTE, False), (WORD, True)):
+        units, library = IdEncoder(path, dropped).units, load_tokenizer(path)
+        literals = ["Tajaí,", "word.", "it$$$", "a's", "x_", "'", "a'", "é\"...", "ab12,", "12,", "a-b", "Z\xa0,"]
+        literals += literals if dropped else [lead + t for lead in (" ", "\n", "  ") for t in literals]
+        for literal in literals:
+            ids = [t.id for p in units.pieces(literal) for t in units.tokenizer.model.tokenize(p)]
+            assert ids == library.encode(literal, add_special_tokens=False).ids, repr(literal)
+        units.pattern = None.__class__  # has no findall
+        assert len(units.pieces("Tajaí,..")) == 2 and len(units.pieces("word")) == 1
+
+
 def test_trie_equals_library():
     encoder, library = trie_bpe.Encoder(BYTE), load_tokenizer(BYTE)
     draw = random.Random(8)
