@@ -32,7 +32,8 @@ import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import slices, texts_of
+from lamina.llm.common import slices_by_size, texts_of
+from lamina.llm.units import AT_ONCE as TEXT_AT_ONCE
 from lamina.llm.units import IDS, IdEncoder, of_worker
 from lamina.session import Staging, shared_folder
 
@@ -218,12 +219,13 @@ def write_ids(
     def run(batches):
         encoder, writer, uri = of_worker(IdEncoder, path), None, ""
         end = np.array([end_id], IDS).tobytes()
-        for batch in slices(batches, 500):
+        for batch in slices_by_size(batches, "text", 2000, TEXT_AT_ONCE):
             if writer is None:
                 uri = f"{folder}/ids-{uuid.uuid4().hex}.pfor"
                 writer = Writer(uri)
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                writer.add(doc_id, encoder.encode(text) + end)
+            ids = encoder.encode_all(batch.column("text"))
+            for doc_id, own in zip(batch.column("doc_id").to_pylist(), ids):
+                writer.add(doc_id, own.tobytes() + end)
         if writer is not None:
             from pyspark import TaskContext
 

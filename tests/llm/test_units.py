@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from lamina.llm import token_counts, trie_bpe
 from lamina.llm.common import tokenizer_path
@@ -29,6 +30,22 @@ def test_units_equal_library(path, dropped):
         assert ids == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("path, dropped", [(BYTE, False), (WORD, True)])
+def test_batches_equal_library_and_look_units_up_once(path, dropped):
+    encoder, library = IdEncoder(path, dropped), load_tokenizer(path)
+    texts = [*odd_texts(), "Upper, CASE... Ünï,", "a  ", " b", "c\n"]
+    for column in (pa.array(texts), pa.array(["gone", *texts, "gone"]).slice(1, len(texts))):
+        for text, ids in zip(texts, encoder.encode_all(column), strict=True):
+            assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+    for some in ([], [""], ["", ""], ["x"], ["<|endoftext|>"]):
+        found = [i.tolist() for i in encoder.encode_all(pa.array(some, pa.string()))]
+        assert found == [library.encode(t, add_special_tokens=False).ids for t in some]
+    asked, known = [], encoder.of_unit
+    encoder.of_unit = type("Asked", (), {"__getitem__": lambda _, key: asked.append(key) or known[key]})()
+    encoder.encode_all(pa.array(["one two two", "a two\ntwo two"] * 50))
+    assert len(asked) == len(set(asked))
+
+
 def test_words_with_marks_need_no_pattern():
     """A word with marks or a line end is cut as the file's pattern cuts it, without asking it."""
     for path, dropped in ((BYTE, False), (WORD, True)):
