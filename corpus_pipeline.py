@@ -7,6 +7,8 @@ none is computed twice and a lost executor costs one stage's tasks at most.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,24 +17,44 @@ from lamina.llm.common import read_documents, release_shuffles, tokenizer_path
 from lamina.session import Staging
 
 WORD_BPE = "word_bpe_49k.json"
+#: Rows of whole texts that pass between the JVM and Python at once: 10,000, Spark's own
+#: number, are tens of megabytes in each of four places of a task.
+BATCH_ROWS = 1000
+
+
+def in_small_batches(stage):
+    """``stage`` with at most ``BATCH_ROWS`` rows to an Arrow batch."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+            spark.conf.set(key, str(BATCH_ROWS))
+        return stage(spark, docs, sf_dir)
+
+    return run
 
 
+@in_small_batches
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents the toxicity model rejects."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.keep_clean(docs, model)
 
 
+@in_small_batches
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts: the one with the largest id."""
     return exact_dedup.keep_one(docs, Staging(spark))
 
 
+@in_small_batches
 def dissimilar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id."""
     return near_dedup.keep_one(docs, Staging(spark))
 
 
+@in_small_batches
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the bytes that a document with a smaller id has as well."""
     left = substring_dedup.with_kept_texts(docs, Staging(spark))
@@ -42,6 +64,7 @@ def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return left
 
 
+@in_small_batches
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the sequences that hold all that is left."""
     return packing.pack_documents(docs, tokenizer_path(WORD_BPE))

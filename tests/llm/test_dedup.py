@@ -2,6 +2,8 @@
 
 import hashlib
 import os
+import random
+import tracemalloc
 
 import pytest
 from lamina.llm import exact_dedup, near_dedup, substring_dedup, suffix_array
@@ -186,3 +188,13 @@ def test_bands_and_bits_follow_the_similarity():
     assert near_dedup.band_rows(50) == 2 and near_dedup.most_bits(50) > 38
     with pytest.raises(ValueError):
         near_dedup.band_rows(5)
+
+
+def test_runs_of_a_chunk_take_little_memory():
+    draw = random.Random(5)
+    data = bytes(draw.choices(b"abcdefgh ", k=1 << 18))
+    tracemalloc.start()
+    runs = substring_dedup.Runs([1], [len(data)], data)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(runs.anchor) and peak < 60 * len(data)

@@ -6,11 +6,14 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 def test_stages(spark, tmp_path):
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.unset(rows)
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     columns, before = docs.columns, docs.count()
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
         path = f"{tmp_path}/{k}"
         stage(spark, docs, FOLDER).write.parquet(path)
+        assert int(spark.conf.get(rows)) <= corpus_pipeline.BATCH_ROWS
         docs = spark.read.parquet(path)
         if k < len(corpus_pipeline.STAGES) - 1:
             assert docs.columns == columns and docs.count() <= before
@@ -19,3 +22,4 @@ def test_stages(spark, tmp_path):
             texts = [r.text.encode().lower() for r in docs.collect()]
             assert len(texts) == len(set(texts))
     assert docs.select("doc_id").distinct().count() == before
+    spark.conf.unset(rows)

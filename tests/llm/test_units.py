@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
-from lamina.llm import token_counts, trie_bpe
+from lamina.llm import token_counts, trie_bpe, units
 from lamina.llm.common import tokenizer_path
 from lamina.llm.units import IDS, IdEncoder, load_tokenizer
 
@@ -49,14 +49,14 @@ def test_batches_equal_library_and_look_units_up_once(path, dropped):
 def test_words_with_marks_need_no_pattern():
     """A word with marks or a line end is cut as the file's pattern cuts it, without asking it."""
     for path, dropped in ((BYTE, False), (WORD, True)):
-        units, library = IdEncoder(path, dropped).units, load_tokenizer(path)
+        cutter, library = IdEncoder(path, dropped).units, load_tokenizer(path)
         literals = ["Tajaí,", "word.", "it$$$", "a's", "x_", "'", "a'", "é\"...", "ab12,", "12,", "a-b", "Z\xa0,"]
         literals += literals if dropped else [lead + t for lead in (" ", "\n", "  ") for t in literals]
         for literal in literals:
-            ids = [t.id for p in units.pieces(literal) for t in units.tokenizer.model.tokenize(p)]
+            ids = [t.id for p in cutter.pieces(literal) for t in cutter.tokenizer.model.tokenize(p)]
             assert ids == library.encode(literal, add_special_tokens=False).ids, repr(literal)
-        units.pattern = None.__class__  # has no findall
-        assert len(units.pieces("Tajaí,..")) == 2 and len(units.pieces("word")) == 1
+        cutter.pattern = None.__class__  # has no findall
+        assert len(cutter.pieces("Tajaí,..")) == 2 and len(cutter.pieces("word")) == 1
 
 
 def test_trie_equals_library():
@@ -81,3 +81,13 @@ def test_counts(spark):
         want.append((-1 if i is None else i, len((text or "").encode()), n, n > 512))
     assert found == sorted(want)
     assert token_counts.token_counts(docs.limit(0), BYTE).count() == 0
+
+
+def test_a_worker_keeps_the_caches_of_one_operator(monkeypatch):
+    monkeypatch.setattr(units, "_KEPT", {})
+    first = units.of_worker(list, "a")
+    assert units.of_worker(list, "a") is first
+    units.of_worker(set, "b")
+    assert list(units._KEPT) == [(set, "b")]
+    units.give_back()
+    assert not units._KEPT
