@@ -37,6 +37,8 @@ from lamina.llm.units import of_worker
 from lamina.session import Staging
 
 SLOTS = 128
+#: Bits that tell which rows may be in a bucket with others.
+MARKS = 1 << 25
 PERCENT = 75
 #: Of pairs just similar enough, so many may share no band, or differ in too many bits.
 NO_BAND, TOO_MANY_BITS = 1e-5, 1e-7
@@ -139,24 +141,43 @@ def buckets(reps: DataFrame, rows: int) -> DataFrame:
     return reps.select("doc_id", "bands").mapInArrow(run, "doc_id long, bucket long")
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, staging: Staging, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole shingle sets are similar enough.
+def marked(ids: DataFrame) -> np.ndarray:
+    """A bit for the hash of each of ``ids`` (column at), in 64-bit words: at most ``MARKS`` bits
+    come to the driver, however many ids there are."""
+    word = ids.groupBy(F.shiftright("at", 6).alias("word"))
+    found = word.agg(F.bit_or(F.expr("shiftleft(1L, CAST(at & 63 AS INT))")).alias("bits")).toArrow()
+    bits = np.zeros(MARKS >> 6, np.int64)
+    bits[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return bits.view(np.uint64)
 
-    Each set in question goes, as sorted hashes, to the pairs that need it; a popular ``a``
-    is spread over the pairs by joining on the pair's part as well.
+
+def shingle_sets(docs: DataFrame, ids: DataFrame, staging: Staging) -> DataFrame:
+    """doc_id and set (sorted hashes) of the rows of ``docs`` with one of ``ids``, written once.
+
+    Only sets of marked rows are made and shuffled, which are these and few others; the
+    join then leaves the others out.
     """
-    needed = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(MARKS))
+    bits = docs.sparkSession.sparkContext.broadcast(marked(ids.select(at.alias("at"))))
 
     def run(batches):
         shingler = of_worker(Shingler)
         for batch in slices(batches, 500):
+            place = batch.column("at").to_numpy()
+            mine = bits.value[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)
+            batch = batch.filter(pa.array(mine.astype(bool)))
             sets = [shingler.shingles(t).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sets, pa.binary())], names=["doc_id", "set"]
             )
 
-    chosen = texts_of(docs).join(needed, "doc_id", "left_semi")
-    sets = staging.write(chosen.mapInArrow(run, "doc_id long, set binary"), "near-sets")
+    texts = texts_of(docs).where("doc_id IS NOT NULL").withColumn("at", at)
+    sets = texts.mapInArrow(run, "doc_id long, set binary")
+    return staging.write(sets.join(ids, "doc_id", "left_semi"), "near-sets")
+
+
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole shingle sets are similar enough."""
 
     def check(batches):
         for batch in batches:
@@ -258,7 +279,10 @@ def near_groups(
         .distinct(),
         "near-tried",
     )
-    links = staging.write(confirm(tried, docs, staging, percent), "near-confirmed")
+    # Whatever is tried later is in a bucket too: its sets are made here, and texts not read again.
+    in_bucket = staging.write(member.select("doc_id").distinct(), "near-members")
+    sets = shingle_sets(docs, in_bucket, staging)
+    links = staging.write(confirm(tried, sets, percent), "near-confirmed")
     while True:
         release_shuffles(spark)
         found = components(links.union(same), staging)
@@ -299,7 +323,7 @@ def near_groups(
         more = staging.write(across.join(tried, ["a", "b"], "left_anti"), "near-more")
         if more.isEmpty():
             break
-        new = staging.write(confirm(more, docs, staging, percent), "near-confirmed")
+        new = staging.write(confirm(more, sets, percent), "near-confirmed")
         if new.isEmpty():
             break
         tried, links = tried.union(more), links.union(new)

@@ -198,3 +198,13 @@ def test_runs_of_a_chunk_take_little_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(runs.anchor) and peak < 60 * len(data)
+
+
+def test_sets_are_made_of_the_rows_asked_for(spark):
+    rows = [(i, f"{i} " + BASE) for i in range(200)] + [(7, "another seven"), (None, BASE), (300, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ids = spark.createDataFrame([(7,), (150,), (900,)], "doc_id long")
+    made = near_dedup.shingle_sets(docs, ids, Staging(spark)).collect()
+    shingler = near_dedup.Shingler()
+    want = sorted((i, shingler.shingles(t).tobytes()) for i, t in rows if i in (7, 150))
+    assert sorted((r.doc_id, bytes(r["set"])) for r in made) == want
