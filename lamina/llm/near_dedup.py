@@ -8,11 +8,15 @@ once no slot can get lower.
 
 Documents with the same shingle set are one from the start. The signature is cut into bands;
 sets that share a band meet in a bucket, and each bucket's members are tried against one of
-them. Tried pairs are links if the whole sets confirm it. Components of the links are found
-by union-find in rounds of large and small stars. Then every bucket that still holds several components
-tries its members again, only across components and only pairs not tried before, until no
-bucket links any more: what a bucket brings together is decided for every pair that could
-still change a component, with no cap on a bucket, and no pairs inside a component are made.
+them, its centre. Tried pairs are links if the whole sets confirm it. Components of the links are
+found by union-find in rounds of large and small stars. The members that one centre brings together and
+that are still in several components are then told apart by what they do not share with the centre: with d(x) the
+shingles that only one of x and the centre has, the union of x and y less their intersection has
+d(x) + d(y) - 2 * (what both differences share) elements, so a link across components needs
+differences that share enough. Shingles of differences are ordered, those many members have
+last, and a pair is tried on whole sets only if it shares one with enough others behind it. What
+a bucket brings together is decided for every pair that could still change a component, with no cap on
+a bucket; pairs inside a component, and pairs that are alike only in what their centre has too, are not made.
 
 Null and empty texts have no shingles and are linked with nothing; they are their own
 component. Rows that repeat a doc_id are one document: the union of their shingles would
@@ -27,7 +31,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina.llm.common import release_shuffles, slices, texts_of
@@ -198,6 +202,119 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "set_a", "set_b").mapInArrow(check, "a long, b long")
 
 
+def differing(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``members`` (centre, doc_id, component) with rest, the hashes that only one of
+    document and centre has, and weight: x and y are linked if their rests share at least
+    (weight of x + weight of y) / (2 * (100 + percent)) hashes."""
+
+    def run(batches):
+        for batch in batches:
+            rests, weights = [], []
+            for own, of in zip(batch.column("set").to_pylist(), batch.column("of_centre").to_pylist()):
+                own, of = np.frombuffer(own, np.uint64), np.frombuffer(of, np.uint64)
+                rest = np.setxor1d(own, of, assume_unique=True)
+                rests.append(rest.tobytes())
+                weights.append((100 + percent) * len(rest) - (100 - percent) * len(own))
+            columns = [batch.column(c) for c in ("centre", "doc_id", "component")]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(weights, pa.int64()), pa.array(rests, pa.binary())],
+                names=["centre", "doc_id", "component", "weight", "rest"],
+            )
+
+    # Rows that repeat an id have several sets; one of them is the centre all are held against.
+    centres = members.select(F.col("centre").alias("doc_id")).distinct()
+    of_centre = sets.join(centres, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("set").alias("of_centre"))
+    joined = members.join(sets, "doc_id").join(of_centre.withColumnRenamed("doc_id", "centre"), "centre")
+    return joined.select("centre", "doc_id", "component", "set", "of_centre").mapInArrow(
+        run, "centre long, doc_id long, component long, weight long, rest binary"
+    )
+
+
+def partners(members: DataFrame) -> DataFrame:
+    """``members`` with partner: the least weight around their centre in another component."""
+    each = members.groupBy("centre", "component").agg(F.min("weight").alias("weight"))
+    least = each.groupBy("centre").agg(F.min(F.struct("weight", "component")).alias("first"))
+    second = each.join(least, "centre").where("component <> first.component")
+    second = second.groupBy("centre").agg(F.min("weight").alias("second"))
+    return members.join(least.join(second, "centre"), "centre").select(
+        *members.columns,
+        F.when(F.col("component") == F.col("first.component"), F.col("second"))
+        .otherwise(F.col("first.weight"))
+        .alias("partner"),
+    )
+
+
+def hashes_of(members: DataFrame) -> DataFrame:
+    """A row for each hash in the rests of ``members``."""
+    names = ["centre", "member", "doc_id", "component", "weight", "partner"]
+
+    def run(batches):
+        for batch in slices(batches, 500):
+            rests = batch.column("rest").to_pylist()
+            at = pa.array(np.repeat(np.arange(len(rests)), [len(r) // 8 for r in rests]))
+            hashes = np.frombuffer(b"".join(rests), np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).take(at) for c in names), pa.array(hashes)], names=[*names, "hash"]
+            )
+
+    kinds = ", ".join(f"{c} long" for c in [*names, "hash"])
+    return members.select(*names, "rest").mapInArrow(run, kinds)
+
+
+def open_pairs(tried: DataFrame, found: DataFrame, sets: DataFrame, percent: int, staging: Staging) -> DataFrame:
+    """The pairs (a, b) across the components ``found`` that have a centre of ``tried`` (a: centre,
+    b: member) in common and may be linked; the pairs left out are not."""
+    of_member = (
+        tried.select(F.col("a").alias("centre"), F.col("b").alias("doc_id"))
+        .join(found, "doc_id", "left")
+        .withColumn("component", F.coalesce("component", "doc_id"))
+    )
+    split = of_member.groupBy("centre").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    members = staging.write(
+        of_member.join(split.where("lo <> hi"), "centre", "left_semi").select("centre", "doc_id", "component"),
+        "near-open",
+    )
+    members = differing(members, sets, percent).withColumn("member", F.monotonically_increasing_id())
+    members = partners(staging.write(members, "near-differing"))
+    twice = 2 * (100 + percent)
+    members = members.where(F.octet_length("rest") / 8 * twice >= F.col("weight") + F.col("partner"))
+    # Only hashes that several components have can be shared by a pair. A pair's first shared hash
+    # has all others behind it, in the order of any of the two.
+    having, behind = Window.partitionBy("centre", "hash"), Window.partitionBy("member")
+    shared = (
+        hashes_of(members)
+        .select(
+            "*",
+            F.count(F.lit(1)).over(having).alias("n"),
+            F.min("component").over(having).alias("lo"),
+            F.max("component").over(having).alias("hi"),
+        )
+        .where("lo <> hi")
+        .withColumn("left", F.row_number().over(behind.orderBy(F.desc("n"), "hash")))
+        .where(F.col("left") * twice >= F.col("weight") + F.col("partner"))
+    )
+    shared = staging.write(shared.select("centre", "hash", "doc_id", "component", "weight", "left"), "near-shared")
+    x, y = (
+        shared.select("centre", "hash", *[F.col(c).alias(f"{d}_{c}") for c in ("doc_id", "component", "weight", "left")])
+        for d in "ab"
+    )
+    enough = f"least(a_left, b_left) * {twice} >= a_weight + b_weight"
+    return (
+        x.join(y, ["centre", "hash"])
+        .where(f"a_doc_id < b_doc_id AND a_component <> b_component AND {enough}")
+        .select(F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b"))
+        .distinct()
+    )
+
+
+def alike(pairs: DataFrame, sketches: DataFrame, limit: int) -> DataFrame:
+    """The pairs whose sketches differ in at most ``limit`` bits."""
+    for d in "ab":
+        own = sketches.select(F.col("doc_id").alias(d), F.col("s0").alias(f"{d}0"), F.col("s1").alias(f"{d}1"))
+        pairs = pairs.join(own, d)
+    return pairs.where(f"bit_count(a0 ^ b0) + bit_count(a1 ^ b1) <= {limit}").select("a", "b")
+
+
 SALTS = 16
 
 
@@ -265,8 +382,8 @@ def near_groups(
     reps = with_id.join(
         first.select("set_key", F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi"
     )
-    reps = reps.groupBy("doc_id").agg(F.min(F.struct("set_key", "bands", "s0", "s1", "n_shingles")).alias("x"))
-    sketches = staging.write(reps.select("doc_id", "x.s0", "x.s1", "x.n_shingles"), "near-sketches")
+    reps = reps.groupBy("doc_id").agg(F.min(F.struct("set_key", "bands", "s0", "s1")).alias("x"))
+    sketches = staging.write(reps.select("doc_id", "x.s0", "x.s1"), "near-sketches")
     placed = buckets(reps.select("doc_id", "x.bands"), in_band)
     least = placed.groupBy("bucket").agg(
         F.min("doc_id").alias("centre"), F.count(F.lit(1)).alias("n")
@@ -283,50 +400,16 @@ def near_groups(
     in_bucket = staging.write(member.select("doc_id").distinct(), "near-members")
     sets = shingle_sets(docs, in_bucket, staging)
     links = staging.write(confirm(tried, sets, percent), "near-confirmed")
-    while True:
-        release_shuffles(spark)
-        found = components(links.union(same), staging)
-        found = staging.write(found, "near-components")
-        # Only buckets that still bring several components together matter now.
-        of_member = (
-            member.select("bucket", "doc_id")
-            .join(found, "doc_id", "left")
-            .withColumn("component", F.coalesce("component", "doc_id"))
-        )
-        split = (
-            of_member.groupBy("bucket")
-            .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-            .where("lo <> hi")
-            .select("bucket")
-        )
-        open_members = of_member.join(split, "bucket", "left_semi").join(sketches, "doc_id")
-        open_members = staging.write(open_members, "near-open")
-        x, y = (
-            open_members.select(
-                "bucket",
-                *[F.col(c).alias(f"{d}_{c}") for c in ("doc_id", "component", "s0", "s1", "n_shingles")],
-            )
-            for d in "ab"
-        )
-        bits = "bit_count(a_s0 ^ b_s0) + bit_count(a_s1 ^ b_s1)"
-        sizes = "least(a_n_shingles, b_n_shingles) * 100 >= greatest(a_n_shingles, b_n_shingles)"
-        chance = (
-            f"a_doc_id < b_doc_id AND a_component <> b_component AND {sizes} * {percent} "
-            f"AND {bits} <= {limit}"
-        )
-        across = (
-            x.join(y, "bucket")
-            .where(chance)
-            .select(F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b"))
-            .distinct()
-        )
-        more = staging.write(across.join(tried, ["a", "b"], "left_anti"), "near-more")
-        if more.isEmpty():
-            break
-        new = staging.write(confirm(more, sets, percent), "near-confirmed")
-        if new.isEmpty():
-            break
-        tried, links = tried.union(more), links.union(new)
+    release_shuffles(spark)
+    found = staging.write(components(links.union(same), staging), "near-components")
+    more = staging.write(
+        alike(open_pairs(tried, found, sets, percent, staging), sketches, limit), "near-more"
+    )
+    new = staging.write(confirm(more, sets, percent), "near-confirmed")
+    release_shuffles(spark)
+    if not new.isEmpty():
+        # No pair is left to try: what is in one component now was in one or in two before.
+        found = staging.write(components(links.union(new).union(same), staging), "near-components")
     return rows.join(found, "doc_id", "left").select(
         "doc_id",
         "n_shingles",

@@ -208,3 +208,33 @@ def test_sets_are_made_of_the_rows_asked_for(spark):
     shingler = near_dedup.Shingler()
     want = sorted((i, shingler.shingles(t).tobytes()) for i, t in rows if i in (7, 150))
     assert sorted((r.doc_id, bytes(r["set"])) for r in made) == want
+
+
+def test_near_copies_that_are_not_linked_are_not_tried_in_pairs(spark, monkeypatch):
+    """A large group around one text, of which most pairs are alike but not linked."""
+    draw, rows = random.Random(11), []
+    base = [f"w{k}" for k in range(150)]
+    for i in range(150):
+        words = list(base)
+        for at in draw.sample(range(0, 150, 6), draw.choice([1, 2, 3, 4, 5, 6])):
+            words[at] = f"x{draw.random()}"
+        rows.append((i + 1, " ".join(words)))
+    # Linked with each other by what they share and the others do not have.
+    own = draw.sample(range(3, 150, 6), 9)
+    for tail in ("", " p", " q"):
+        words = list(base)
+        for at in own:
+            words[at] = f"own{at}"
+        rows.append((len(rows) + 1, " ".join(words) + tail))
+    tried, confirm = [], near_dedup.confirm
+
+    def counted(pairs, *args):
+        tried.append(pairs.count())
+        return confirm(pairs, *args)
+
+    monkeypatch.setattr(near_dedup, "confirm", counted)
+    found = near_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = plain_components(rows, 75)
+    assert {r.doc_id: r.component_id for r in found} == want
+    assert want[153] == want[151] != want[1] and len(set(want.values())) > 10
+    assert tried[1] < 5 * len(rows)
