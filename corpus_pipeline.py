@@ -20,16 +20,20 @@ WORD_BPE = "word_bpe_49k.json"
 #: Rows of whole texts that pass between the JVM and Python at once: 10,000, Spark's own
 #: number, are tens of megabytes in each of four places of a task.
 BATCH_ROWS = 1000
+#: Fewer rows where they are larger, such as chunks of texts and shingle sets: Spark's own 64 MB
+#: would pass a whole partition of them at once.
+BATCH_BYTES = 2 << 20
 
 
 def in_small_batches(stage):
-    """``stage`` with at most ``BATCH_ROWS`` rows to an Arrow batch."""
+    """``stage`` with at most ``BATCH_ROWS`` rows and about ``BATCH_BYTES`` to an Arrow batch."""
 
     @functools.wraps(stage)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         key = "spark.sql.execution.arrow.maxRecordsPerBatch"
         if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
             spark.conf.set(key, str(BATCH_ROWS))
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
         return stage(spark, docs, sf_dir)
 
     return run

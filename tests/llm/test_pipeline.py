@@ -1,6 +1,7 @@
 """The pipeline's stages on a small table, each against what it is meant to do."""
 
 import corpus_pipeline
+import pyarrow as pa
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -23,3 +24,18 @@ def test_stages(spark, tmp_path):
             assert len(texts) == len(set(texts))
     assert docs.select("doc_id").distinct().count() == before
     spark.conf.unset(rows)
+
+
+def test_batches_of_large_rows_are_small(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    @corpus_pipeline.in_small_batches
+    def stage(spark, docs, sf_dir):
+        return docs.mapInArrow(sizes, "n long")
+
+    docs = spark.range(0, 16, 1, 1).selectExpr("repeat(CAST(id % 10 AS STRING), 1 << 20) AS text")
+    assert max(r.n for r in stage(spark, docs, FOLDER).collect()) < 4 << 20
+    for key in ("maxRecordsPerBatch", "maxBytesPerBatch"):
+        spark.conf.unset(f"spark.sql.execution.arrow.{key}")
