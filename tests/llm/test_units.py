@@ -91,3 +91,14 @@ def test_a_worker_keeps_the_caches_of_one_operator(monkeypatch):
     assert list(units._KEPT) == [(set, "b")]
     units.give_back()
     assert not units._KEPT
+
+
+def test_words_are_kept_once_and_odd_spaces_found():
+    """A word is no piece beside its unit, and Arrow finds the texts that are not to be cut."""
+    encoder = IdEncoder("/opt/tokenizers/byte_bpe_50k.json")
+    texts = ["a qwrty qwrty, (qwrty) qwrtyé qwrtyé;", "a　  b", "a  ", "a  b", "a \x1c", "x<|endoftext|>", ""]
+    found = encoder.encode_all(pa.array(texts))
+    for text, ids in zip(texts, found, strict=True):
+        assert ids.tolist() == encoder.units.whole(text)
+    assert "Ġqwrty" not in encoder.of_piece and "qwrty" in encoder.of_unit
+    assert encoder.units.uncut_of(pa.array(texts)).tolist() == [encoder.units.uncut(t) for t in texts]
