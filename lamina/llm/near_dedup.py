@@ -14,7 +14,10 @@ that are still in several components are then told apart by what they do not sha
 shingles that only one of x and the centre has, the union of x and y less their intersection has
 d(x) + d(y) - 2 * (what both differences share) elements, so a link across components needs
 differences that share enough. Shingles of differences are ordered, those many members have
-last, and a pair is tried on whole sets only if it shares one with enough others behind it. What
+last, and a pair is made only if it shares one with enough others behind it. A member's difference
+also has a few words of bits, by place in the centre's set for what it lacks of it and by hash for what it has beside it:
+each bit that one has and the other has not is an element they do not share. Pairs ruled out by that are not made either,
+and a pair that has a rarer shingle in common, among the most common ones around its centre, is left to that one. What
 a bucket brings together is decided for every pair that could still change a component, with no cap on
 a bucket; pairs inside a component, and pairs that are alike only in what their centre has too, are not made.
 
@@ -46,6 +49,12 @@ MARKS = 1 << 25
 PERCENT = 75
 #: Of pairs just similar enough, so many may share no band, or differ in too many bits.
 NO_BAND, TOO_MANY_BITS = 1e-5, 1e-7
+#: Words of 64 bits that bound from above what two differences share, for what the centre has
+#: alone (its number is n_lost) and what the member has alone (n_own).
+WORDS = {"n_lost": ["l0", "l1", "l2"], "n_own": ["o0", "o1"]}
+BOUNDS = [column for n, words in WORDS.items() for column in (n, *words)]
+#: Words with a bit for each rarer shingle of the difference, of the most common ones around a centre.
+FRONT = ["f0", "f1", "f2"]
 #: Hash values of a set that are drawn for at once.
 AT_ONCE = 1 << 15
 
@@ -202,31 +211,48 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "set_a", "set_b").mapInArrow(check, "a long, b long")
 
 
+def bounds(lost: np.ndarray, own: np.ndarray) -> list[int]:
+    """The values of ``BOUNDS`` for places that a member lacks and hashes it has beside the centre's."""
+    out: list[int] = []
+    for part, words in zip((lost, mix(own)), WORDS.values()):
+        bits = np.zeros(64 * len(words), np.uint8)
+        bits[(part % part.dtype.type(len(bits))).astype(np.intp)] = 1
+        out += [len(part), *np.packbits(bits).view(np.int64).tolist()]
+    return out
+
+
 def differing(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The rows of ``members`` (centre, doc_id, component) with rest, the hashes that only one of
-    document and centre has, and weight: x and y are linked if their rests share at least
-    (weight of x + weight of y) / (2 * (100 + percent)) hashes."""
+    document and centre has, ``BOUNDS`` of these, and weight: x and y are linked if their rests share
+    at least (weight of x + weight of y) / (2 * (100 + percent)) hashes."""
 
     def run(batches):
         for batch in batches:
-            rests, weights = [], []
+            rests, weights, bound = [], [], []
             for own, of in zip(batch.column("set").to_pylist(), batch.column("of_centre").to_pylist()):
                 own, of = np.frombuffer(own, np.uint64), np.frombuffer(of, np.uint64)
                 rest = np.setxor1d(own, of, assume_unique=True)
                 rests.append(rest.tobytes())
+                place = np.searchsorted(of, rest)
+                place[of[np.minimum(place, len(of) - 1)] != rest] = -1
+                bound.append(bounds(place[place >= 0], rest[place < 0]))
                 weights.append((100 + percent) * len(rest) - (100 - percent) * len(own))
             columns = [batch.column(c) for c in ("centre", "doc_id", "component")]
+            bound = np.array(bound, np.int64).reshape(-1, len(BOUNDS))
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(weights, pa.int64()), pa.array(rests, pa.binary())],
-                names=["centre", "doc_id", "component", "weight", "rest"],
-            )
+                [*columns, pa.array(weights, pa.int64()), pa.array(rests, pa.binary()),
+                 *map(pa.array, bound.T.copy())],
+                names=["centre", "doc_id", "component", "weight", "rest", *BOUNDS],
+            )
 
     # Rows that repeat an id have several sets; one of them is the centre all are held against.
     centres = members.select(F.col("centre").alias("doc_id")).distinct()
     of_centre = sets.join(centres, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("set").alias("of_centre"))
     joined = members.join(sets, "doc_id").join(of_centre.withColumnRenamed("doc_id", "centre"), "centre")
     return joined.select("centre", "doc_id", "component", "set", "of_centre").mapInArrow(
-        run, "centre long, doc_id long, component long, weight long, rest binary"
+        run,
+        "centre long, doc_id long, component long, weight long, rest binary, "
+        + ", ".join(f"{c} long" for c in BOUNDS),
     )
 
 
@@ -261,6 +287,24 @@ def hashes_of(members: DataFrame) -> DataFrame:
     return members.select(*names, "rest").mapInArrow(run, kinds)
 
 
+def placed_hashes(hashes: DataFrame) -> DataFrame:
+    """``hashes`` (centre, hash, n) with place: of the most common ones around a centre a number of its own."""
+    each = hashes.groupBy("centre", "hash").agg(F.max("n").alias("n"))
+    common = Window.partitionBy("centre").orderBy(F.desc("n"), "hash")
+    top = each.withColumn("place", F.row_number().over(common) - 1).where(F.col("place") < 64 * len(FRONT))
+    return hashes.join(top.select("centre", "hash", "place"), ["centre", "hash"], "left")
+
+
+def front(order) -> list:
+    """``FRONT`` of a row: the places of the rows before it in the window ``order``."""
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    columns = []
+    for i, name in enumerate(FRONT):
+        own = F.when(F.floor(F.col("place") / 64) == i, F.expr("shiftleft(1L, place & 63)")).otherwise(0)
+        columns.append(F.coalesce(F.bit_or(own).over(before), F.lit(0)).alias(name))
+    return columns
+
+
 def open_pairs(tried: DataFrame, found: DataFrame, sets: DataFrame, percent: int, staging: Staging) -> DataFrame:
     """The pairs (a, b) across the components ``found`` that have a centre of ``tried`` (a: centre,
     b: member) in common and may be linked; the pairs left out are not."""
@@ -281,32 +325,51 @@ def open_pairs(tried: DataFrame, found: DataFrame, sets: DataFrame, percent: int
     # Only hashes that several components have can be shared by a pair. A pair's first shared hash
     # has all others behind it, in the order of any of the two.
     having, behind = Window.partitionBy("centre", "hash"), Window.partitionBy("member")
+    hashes = hashes_of(members).select(
+        "*",
+        F.count(F.lit(1)).over(having).alias("n"),
+        F.min("component").over(having).alias("lo"),
+        F.max("component").over(having).alias("hi"),
+    )
     shared = (
-        hashes_of(members)
+        placed_hashes(hashes.where("lo <> hi"))
         .select(
             "*",
-            F.count(F.lit(1)).over(having).alias("n"),
-            F.min("component").over(having).alias("lo"),
-            F.max("component").over(having).alias("hi"),
+            F.row_number().over(behind.orderBy(F.desc("n"), "hash")).alias("left"),
+            *front(behind.orderBy("n", F.desc("hash"))),
         )
-        .where("lo <> hi")
-        .withColumn("left", F.row_number().over(behind.orderBy(F.desc("n"), "hash")))
         .where(F.col("left") * twice >= F.col("weight") + F.col("partner"))
     )
-    shared = staging.write(shared.select("centre", "hash", "doc_id", "component", "weight", "left"), "near-shared")
+    # Bounds come by member, by which these rows lie already.
+    shared = shared.select("centre", "hash", "member", "doc_id", "component", "weight", "left", *FRONT)
+    shared = shared.join(members.select("member", *BOUNDS), "member").drop("member")
+    shared = staging.write(shared, "near-shared")
     x, y = (
-        shared.select("centre", "hash", *[F.col(c).alias(f"{d}_{c}") for c in ("doc_id", "component", "weight", "left")])
-        for d in "ab"
+        shared.select("centre", "hash", *[F.col(c).alias(f"{d}_{c}") for c in shared.columns[2:]]) for d in "ab"
     )
-    enough = f"least(a_left, b_left) * {twice} >= a_weight + b_weight"
+    # What two differences share is at most what is behind, and at most what has its bit in both.
+    most = f"least(a_left, b_left, {at_most()})"
+    # A rarer hash that both have makes the pair already, with more behind it.
+    first = " AND ".join(f"a_{w} & b_{w} = 0" for w in FRONT)
+    enough = f"{most} * {twice} >= a_weight + b_weight"
     return (
         x.join(y, ["centre", "hash"])
-        .where(f"a_doc_id < b_doc_id AND a_component <> b_component AND {enough}")
+        .where(f"a_doc_id < b_doc_id AND a_component <> b_component AND {first} AND {enough}")
         .select(F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b"))
         .distinct()
     )
 
 
+def at_most() -> str:
+    """By ``BOUNDS`` of a and b, what their differences share at most."""
+
+    def of(n, words, a, b):
+        return " - ".join([f"{a}_{n}", *(f"bit_count({a}_{w} & ~{b}_{w})" for w in words)])
+
+    parts = (f"least({of(n, words, 'a', 'b')}, {of(n, words, 'b', 'a')})" for n, words in WORDS.items())
+    return " + ".join(parts)
+
+
 def alike(pairs: DataFrame, sketches: DataFrame, limit: int) -> DataFrame:
     """The pairs whose sketches differ in at most ``limit`` bits."""
     for d in "ab":
