@@ -5,6 +5,7 @@ import os
 import random
 import tracemalloc
 
+import numpy as np
 import pytest
 from lamina.llm import exact_dedup, near_dedup, substring_dedup, suffix_array
 from lamina.session import Staging
@@ -290,3 +291,105 @@ def test_what_finding_copies_needs_is_released_and_texts_are_compact(spark, tmp_
     groups = [m.row_group(i) for f in files for m in [pq.read_metadata(f)] for i in range(m.num_row_groups)]
     assert {g.column(1).compression for g in groups} == {"ZSTD"}
     staging.release()
+
+
+def border_rows(n):
+    """One passage that ends otherwise in every document, in some pairs of them alike."""
+    draw = random.Random(8)
+    rows = []
+    for i in range(n):
+        tail = "".join(draw.choices("abcdefghij ", k=draw.choice([5, 20, 40, 60])))
+        rows += [(2 * i, f"{i} {PASSAGE}{tail} {i}", "a"), (2 * i + 1, f"{-i} {PASSAGE}{tail}{-i}", "a")]
+    return [*rows, (9999, "-" * 300 + PASSAGE, "b"), (9998, "+" + "-" * 200, "b"), (9998, "ab" * 90, "b")]
+
+
+def test_a_hot_anchor_is_dealt_by_what_its_windows_hold(spark, monkeypatch):
+    rows = border_rows(40)
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    monkeypatch.setattr(substring_dedup, "HOT_CHUNKS", 2)
+    found = sorted((repr(r[0]), *r[1:]) for r in substring_dedup.removal_digests(docs).collect())
+    assert found == plain_removal(rows)
+
+
+def staged_runs(spark, monkeypatch, docs):
+    """The rows that go on to be compared, as they are staged."""
+    held, write = [], Staging.write
+
+    def seen(self, df, label):
+        out = write(self, df, label)
+        if label == "substring-runs":
+            held.extend(out.where("bucket >= 0").collect())
+        return out
+
+    monkeypatch.setattr(Staging, "write", seen)
+    found = sorted((repr(r[0]), *r[1:]) for r in substring_dedup.removal_digests(docs).collect())
+    return found, held
+
+
+def test_windows_of_a_hot_anchor_go_together(spark, monkeypatch):
+    """Some of a run at a time: one by one their texts would come dozens of times."""
+    rows = border_rows(40)
+    monkeypatch.setattr(substring_dedup, "HOT_CHUNKS", 2)
+    found, held = staged_runs(spark, monkeypatch, spark.createDataFrame(rows, SCHEMA).repartition(1))
+    assert found == plain_removal(rows)
+    texts = [substring_dedup.unsqueeze(bytes(r.payload)[8:]) for r in held]
+    windows = sum(
+        int((np.frombuffer(t, substring_dedup.ENTRY, int.from_bytes(bytes(r.payload)[:8], "little"))["size"] - 49).sum())
+        for r, t in zip(held, texts)
+    )
+    assert windows and sum(map(len, texts)) < 25 * windows
+
+
+def test_texts_that_share_twenty_bytes_are_not_compared(spark, monkeypatch):
+    """Whatever the rest of a window is unlike in, its text would cross the network for nothing."""
+    draw = random.Random(9)
+    mine = lambda: "".join(draw.choices("klmnopqrstuv ", k=200))
+    rows = [(i, f"{mine()}the same few words of all{mine()}", "a") for i in range(30)]
+    found, held = staged_runs(spark, monkeypatch, spark.createDataFrame(rows, SCHEMA).repartition(5))
+    assert found == plain_removal(rows) and not held
+
+
+def test_sides_of_anchors():
+    """Equal to those by the plain definition, and unknown where an anchor comes twice in a run."""
+    draw = random.Random(3)
+    for trial in range(30):
+        sizes = [draw.randint(0, 400) for _ in range(6)]
+        data = bytes(draw.choices(draw.choice([b"ab", b"abcdefghijk", b"a"]), k=sum(sizes)))
+        runs = substring_dedup.Runs(list(range(6)), sizes, data, sides=True, grams=True)
+        for k, (a, b) in enumerate(zip(runs.start.tolist(), runs.stop.tolist())):
+            places = [p for p in range(a, b - 19) if runs.gram[p] == runs.anchor[k]]
+            want = [substring_dedup.ANY_SIDE] * 2
+            if len(places) == 1:
+                far = ((places[0] - 15, places[0] - 15 >= a), (places[0] + 15, places[0] + 35 <= b))
+                want = [2 + (int(runs.gram[p]) >> 8) % ((1 << 24) - 2) if there else 1 for p, there in far]
+            assert [runs.left[k], runs.right[k]] == want
+
+
+def test_reports_come_back_as_they_were():
+    draw = np.random.default_rng(2)
+    for ids in ([5, 5], [0, 255], [-(1 << 63) + 1, (1 << 63) - 1], [7, 70_000], [-3, 1 << 40]):
+        rows = np.zeros(50, substring_dedup.SIDES)
+        for name, size in substring_dedup.PACKED.items():
+            rows[name] = draw.integers(0, 1 << (8 * size), 50)
+        rows["doc"] = draw.choice(ids, 50)
+        begin = np.array([0, 1, 20])
+        parts = [*substring_dedup.packed_reports(rows, begin), substring_dedup.packed_report(rows[:3])]
+        back, counts = substring_dedup.unpacked_reports(parts)
+        assert counts.tolist() == [1, 19, 30, 3] and (back == np.concatenate([rows, rows[:3]])).all()
+
+
+def test_columns_travel_with_their_texts(spark):
+    """Null texts, names and types of whatever else there is, and texts staged once."""
+    kind = "text string, doc_id long, `a b` struct<x:array<int>,`y.z`:map<string,timestamp>>, whole decimal(30,3)"
+    rows = [(t, i, ([i, None], {"k": None}) if i else None, None) for i, t, _ in ROWS]
+    docs, staging = spark.createDataFrame(rows, kind), Staging(spark)
+    left = substring_dedup.with_kept_texts(docs, staging)
+    assert [(f.name, f.dataType) for f in left.schema] == [(f.name, f.dataType) for f in docs.schema]
+    kept = sorted((repr(r[1]), repr(r[2]), r[3], r[0] is None) for r in left.collect())
+    assert kept == sorted((repr(r[1]), repr(r[2]), r[3], r[0] is None) for r in docs.collect())
+    plain = {i: (n, gone) for i, n, gone, *_ in plain_removal(ROWS)}
+    for r in left.collect():
+        if plain[repr(r.doc_id)][1] == 0:
+            assert (r.text, r.doc_id) in {(t, i) for i, t, _ in ROWS}
+    assert len(staging.paths) == 2  # the chunks and the spans
+    staging.release()
