@@ -67,7 +67,7 @@ class PlainIds(IdEncoder):
         self.of_unit = Remembered(self.of_unit.make, WHOLE_UNITS)
         self.tokenize, self.space = self.units.tokenizer.model.tokenize, byte_alphabet()[32]
 
-    def unit(self, literal: str) -> list[int]:
+    def ids_of(self, literal: str) -> list[int]:
         """Ids of a unit, nothing remembered."""
         word = literal[1:]
         if literal[0] == " " and word.isascii() and word.isalpha():  # one pre-token, its own spelling
@@ -197,7 +197,7 @@ class Aligner:
         """Units by their keys, then whole texts, aligned."""
         literals = [self.b.literal(k) for k in keys]
         want = [u.encode() for u in literals] + [b" " + t.encode() for t in wholes]
-        of_a = [*map(self.a.unit, literals)]
+        of_a = [*map(self.a.ids_of, literals)]
         of_a += [np.frombuffer(self.a.encode(" " + t), IDS).tolist() for t in wholes]
         of_b = self.b.by_library(literals) if literals else []
         of_b += [np.frombuffer(e, IDS).tolist() for e in self.b.encode_batch(wholes)[0]]
