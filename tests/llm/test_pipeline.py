@@ -1,7 +1,13 @@
 """The pipeline's stages on a small table, each against what it is meant to do."""
 
+import glob
+import os
+import random
+import string
+
 import corpus_pipeline
 import pyarrow as pa
+from lamina.session import shared_folder
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -39,3 +45,18 @@ def test_batches_of_large_rows_are_small(spark):
     assert max(r.n for r in stage(spark, docs, FOLDER).collect()) < 4 << 20
     for key in ("maxRecordsPerBatch", "maxBytesPerBatch"):
         spark.conf.unset(f"spark.sql.execution.arrow.{key}")
+
+
+def test_substring_dedup_stages_its_texts_once(spark):
+    """With all other columns; a second copy of them was most of what the stage left on disk."""
+    draw = random.Random(6)
+    rows = [(i, "".join(draw.choices(string.ascii_letters, k=4000)), "en", "web", 4000) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    folder = f"{shared_folder(spark).removeprefix('file:')}/lamina"
+    before = set(glob.glob(f"{folder}/*"))
+    left = corpus_pipeline.unrepeated(spark, docs, FOLDER)
+    staged = set(glob.glob(f"{folder}/*")) - before
+    assert sum(os.path.getsize(f) for d in staged for f in glob.glob(f"{d}/*.parquet")) < 300 * 4000
+    assert sorted(tuple(r) for r in left.collect()) == rows
+    for key in ("maxRecordsPerBatch", "maxBytesPerBatch"):
+        spark.conf.unset(f"spark.sql.execution.arrow.{key}")
